@@ -1,0 +1,379 @@
+"""Avro bodies of one Arrow batch, a column at a time.
+
+Helper of the Arrow UDFs in :mod:`eventlake.operators.avro`. Reading keeps one
+cursor per row and moves all cursors over a field together with numpy, so the
+Python cost is per field and batch, not per row and field. A row whose bytes
+run out or make no sense is marked ``bad`` and never raises.
+"""
+
+from __future__ import annotations
+
+import base64
+import datetime as dt
+import decimal
+import json
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+
+# Byte widths and numpy types of the plain Avro types.
+FLOATS = {"float": (4, "<f4"), "double": (8, "<f8")}
+PRIMITIVES = {"null", "boolean", "int", "long", "float", "double", "bytes", "string"}
+
+EPOCH = dt.datetime(1970, 1, 1)
+UTC_EPOCH = EPOCH.replace(tzinfo=dt.timezone.utc)
+
+
+class Cursors:
+    """Read positions of every row of a binary Arrow array, past ``skip`` bytes."""
+
+    def __init__(self, payloads: pa.Array, skip: int):
+        ends = np.frombuffer(payloads.buffers()[1], "<i4")
+        ends = ends[payloads.offset : payloads.offset + len(payloads) + 1].astype(np.int64)
+        body = payloads.buffers()[2]
+        self.data = body.to_pybytes() if body else b""
+        # Ten spare bytes let every fixed-width read happen before its bounds check.
+        self.bytes = np.frombuffer(self.data + bytes(10), np.uint8)
+        self.start, self.end = ends[:-1], ends[1:]
+        self.skip = skip
+        self.pos = np.empty(len(payloads), np.int64)
+        self.bad = np.empty(len(payloads), bool)
+        self.rewind(np.arange(len(payloads)))
+
+    def rewind(self, rows: np.ndarray) -> None:
+        self.pos[rows] = np.minimum(self.start[rows] + self.skip, self.end[rows])
+        self.bad[rows] = False
+
+    def take(self, rows: np.ndarray, width: np.ndarray | int) -> np.ndarray:
+        """Start of the next ``width`` bytes of each row; moves past them."""
+        at = self.pos[rows]
+        fits = (width >= 0) & (width <= self.end[rows] - at)
+        self.bad[rows[~fits]] = True
+        self.pos[rows] = np.where(fits, at + width, self.end[rows])
+        return at
+
+    def varints(self, rows: np.ndarray) -> np.ndarray:
+        at, end = self.pos[rows], self.end[rows]
+        total = np.zeros(len(rows), np.uint64)
+        more = np.ones(len(rows), bool)
+        for shift in range(0, 70, 7):
+            inside = at < end
+            byte = np.where(inside, self.bytes[np.minimum(at, len(self.data))], 0)
+            part = (byte & 0x7F).astype(np.uint64) << np.uint64(shift)
+            total |= np.where(more, part, np.uint64(0))
+            self.bad[rows[more & ~inside]] = True
+            at = at + (more & inside)
+            more = more & (byte > 0x7F)
+            if not more.any():
+                break
+        self.bad[rows[more]] = True
+        self.pos[rows] = at
+        return (total >> np.uint64(1)).astype(np.int64) ^ -(total & np.uint64(1)).astype(np.int64)
+
+
+Reader = Callable[[Cursors, np.ndarray], list]
+
+
+def read_rows(read: Reader, cursors: Cursors, rows: np.ndarray) -> list:
+    """Values of ``rows``; halves the set on an error until only its cause is bad."""
+    cursors.rewind(rows)
+    try:
+        return read(cursors, rows)
+    except (ValueError, ArithmeticError, LookupError, TypeError, RecursionError):
+        if len(rows) == 1:
+            cursors.bad[rows] = True
+            return [None]
+        middle = len(rows) // 2
+        return [
+            *read_rows(read, cursors, rows[:middle]),
+            *read_rows(read, cursors, rows[middle:]),
+        ]
+
+
+def _spans(cursors: Cursors, rows: np.ndarray, width, make: Callable) -> list:
+    start = cursors.take(rows, width)
+    stop = cursors.pos[rows]
+    out = []
+    for row, a, b in zip(rows.tolist(), start.tolist(), stop.tolist()):
+        try:
+            out.append(make(cursors.data[a:b]))
+        except (ValueError, ArithmeticError):
+            cursors.bad[row] = True
+            out.append(None)
+    return out
+
+
+def _guarded(make: Callable) -> Callable:
+    """``make``, with the plain number where it is outside the calendar."""
+
+    def value(number: int):
+        try:
+            return make(number)
+        except (ValueError, OverflowError):
+            return str(number)
+
+    return value
+
+
+def _logical_text(schema: dict) -> Callable | None:
+    """How a logical type becomes text, as JSON has no form for it."""
+    match schema.get("logicalType"):
+        case "date":
+            return lambda n: (EPOCH + dt.timedelta(days=n)).date().isoformat()
+        case "time-millis":
+            return lambda n: (EPOCH + dt.timedelta(milliseconds=n)).time().isoformat()
+        case "time-micros":
+            return lambda n: (EPOCH + dt.timedelta(microseconds=n)).time().isoformat()
+        case "timestamp-millis":
+            return lambda n: (UTC_EPOCH + dt.timedelta(milliseconds=n)).isoformat()
+        case "timestamp-micros":
+            return lambda n: (UTC_EPOCH + dt.timedelta(microseconds=n)).isoformat()
+        case "local-timestamp-millis":
+            return lambda n: (EPOCH + dt.timedelta(milliseconds=n)).isoformat()
+        case "local-timestamp-micros":
+            return lambda n: (EPOCH + dt.timedelta(microseconds=n)).isoformat()
+        case "decimal":
+            scale = schema.get("scale", 0)
+            return lambda raw: format(
+                decimal.Decimal(int.from_bytes(raw, "big", signed=True)).scaleb(
+                    -scale, decimal.Context(prec=max(schema.get("precision", 1), 1_000))
+                ),
+                "f",
+            )
+    return None
+
+
+def _base64(raw: bytes) -> str:
+    return base64.b64encode(raw).decode("ascii")
+
+
+def _qualified(schema: dict, space: str | None) -> tuple[str, str | None]:
+    name = schema["name"]
+    if "." in name:
+        return name, name.rpartition(".")[0]
+    space = schema.get("namespace", space)
+    return (f"{space}.{name}" if space else name), space
+
+
+def _lookup(name: str, space: str | None, known: dict):
+    qualified = f"{space}.{name}" if space and "." not in name else name
+    return known[qualified] if qualified in known else known[name]
+
+
+def reader(schema, known: dict[str, Reader] | None = None, space: str | None = None) -> Reader:
+    """Compile a schema into a function of (cursors, rows) -> one value per row."""
+    known = {} if known is None else known
+    if isinstance(schema, list):
+        return _union_reader([reader(branch, known, space) for branch in schema])
+    if isinstance(schema, str):
+        schema = {"type": schema}
+    kind = schema["type"]
+    if isinstance(kind, (list, dict)):
+        return reader(kind, known, space)
+    text = _logical_text(schema)
+
+    if kind in ("int", "long"):
+        if text is None:
+            return lambda cur, rows: cur.varints(rows).tolist()
+        shown = _guarded(text)
+        return lambda cur, rows: [shown(n) for n in cur.varints(rows).tolist()]
+    if kind in FLOATS:
+        width, dtype = FLOATS[kind]
+
+        def floats(cur: Cursors, rows: np.ndarray) -> list:
+            at = np.minimum(cur.take(rows, width), len(cur.data))
+            packed = cur.bytes[at[:, None] + np.arange(width)]
+            return packed.view(dtype).ravel().astype("f8").tolist()
+
+        return floats
+    if kind == "boolean":
+        return lambda cur, rows: (cur.bytes[np.minimum(cur.take(rows, 1), len(cur.data))] != 0).tolist()
+    if kind == "null":
+        return lambda cur, rows: [None] * len(rows)
+    if kind == "string":
+        return lambda cur, rows: _spans(cur, rows, cur.varints(rows), bytes.decode)
+    if kind == "bytes":
+        return lambda cur, rows: _spans(cur, rows, cur.varints(rows), text or _base64)
+    if kind == "array":
+        return _block_reader(reader(schema["items"], known, space), list, list.append)
+    if kind == "map":
+        value = reader(schema["values"], known, space)
+        key = reader("string")
+
+        def pairs(cur: Cursors, rows: np.ndarray) -> list:
+            return list(zip(key(cur, rows), value(cur, rows)))
+
+        return _block_reader(pairs, dict, lambda out, pair: out.__setitem__(*pair))
+    if kind == "fixed":
+        known[_qualified(schema, space)[0]] = fixed = lambda cur, rows: _spans(
+            cur, rows, schema["size"], text or _base64
+        )
+        return fixed
+    if kind == "enum":
+        symbols = schema["symbols"]
+
+        def enum(cur: Cursors, rows: np.ndarray) -> list:
+            at = cur.varints(rows)
+            cur.bad[rows[(at < 0) | (at >= len(symbols))]] = True
+            return [symbols[i] for i in np.clip(at, 0, len(symbols) - 1).tolist()]
+
+        known[_qualified(schema, space)[0]] = enum
+        return enum
+    if kind in ("record", "error"):
+        name, inner = _qualified(schema, space)
+        fields: list[tuple[str, Reader]] = []
+
+        def record(cur: Cursors, rows: np.ndarray) -> list:
+            if not fields:
+                return [{} for _ in rows]
+            names = [field for field, _ in fields]
+            columns = [read(cur, rows) for _, read in fields]
+            return [dict(zip(names, values)) for values in zip(*columns)]
+
+        known[name] = record
+        fields.extend((f["name"], reader(f["type"], known, inner)) for f in schema["fields"])
+        return record
+    return _lookup(kind, space, known)
+
+
+def _union_reader(branches: list[Reader]) -> Reader:
+    def union(cur: Cursors, rows: np.ndarray) -> list:
+        branch = cur.varints(rows)
+        out = np.empty(len(rows), object)
+        cur.bad[rows[(branch < 0) | (branch >= len(branches))]] = True
+        live = ~cur.bad[rows]
+        for index, read in enumerate(branches):
+            mine = np.flatnonzero(live & (branch == index))
+            if len(mine):
+                for at, value in zip(mine.tolist(), read(cur, rows[mine])):
+                    out[at] = value
+        return out.tolist()
+
+    return union
+
+
+def _block_reader(item: Reader, new: Callable, add: Callable) -> Reader:
+    """Arrays and maps: blocks of counted items, ended by a zero count."""
+
+    def blocks(cur: Cursors, rows: np.ndarray) -> list:
+        out = [new() for _ in rows]
+        left = np.zeros(len(rows), np.int64)
+        live = np.arange(len(rows))
+        while len(live):
+            opening = live[left[live] == 0]
+            if len(opening):
+                count = cur.varints(rows[opening])
+                sized = count < 0
+                if sized.any():
+                    cur.varints(rows[opening[sized]])
+                    count = np.abs(count)
+                # A count beyond the bytes that remain cannot be honest.
+                room = cur.end[rows[opening]] - cur.pos[rows[opening]]
+                cur.bad[rows[opening[(count < 0) | (count > room)]]] = True
+                left[opening] = count
+                live = live[(left[live] > 0) & ~cur.bad[rows[live]]]
+            for at, value in zip(live.tolist(), item(cur, rows[live]) if len(live) else ()):
+                add(out[at], value)
+            left[live] -= 1
+            live = live[~cur.bad[rows[live]]]
+        return out
+
+    return blocks
+
+
+# ---------------------------------------------------------------- writing
+
+
+def varint(number: int) -> bytes:
+    zigzag = (number << 1) ^ (number >> 63)
+    out = bytearray()
+    while zigzag > 0x7F:
+        out.append(zigzag & 0x7F | 0x80)
+        zigzag >>= 7
+    out.append(zigzag)
+    return bytes(out)
+
+
+def _column(rows: pa.Array, field: dict) -> pa.Array:
+    """One named child of a struct array or one key of a map array, else its default."""
+    name, default = field["name"], field.get("default")
+    if pa.types.is_map(rows.type):
+        found = [dict(row).get(name, default) for row in rows.to_pylist()]
+        return pa.array(found, rows.type.item_type)
+    at = rows.type.get_field_index(name)
+    return rows.flatten()[at] if at >= 0 else pa.array([default] * len(rows))
+
+
+def _required(write: Callable) -> Callable[[pa.Array], list[bytes]]:
+    def column(values: pa.Array) -> list[bytes]:
+        if values.null_count:
+            raise ValueError("null value for a field whose schema does not allow null")
+        return [write(value) for value in values.to_pylist()]
+
+    return column
+
+
+def writer(schema) -> Callable[[pa.Array], list[bytes]]:
+    """Compile a schema into a function from an Arrow array to one body per row.
+
+    Covers what message payloads are made of: records of primitives, enums,
+    nullable unions, arrays and maps of those.
+    """
+    if isinstance(schema, list):
+        if len(schema) == 1:
+            write = writer(schema[0])
+            return lambda values: [b"\0" + body for body in write(values)]
+        some = [branch for branch in schema if branch != "null"]
+        if len(schema) != 2 or len(some) != 1:
+            raise ValueError(f"cannot encode union {json.dumps(schema)}")
+        null, tag = varint(schema.index("null")), varint(schema.index(some[0]))
+        write = writer(some[0])
+
+        def optional(values: pa.Array) -> list[bytes]:
+            present = iter(write(values.drop_null()))
+            return [tag + next(present) if there else null for there in values.is_valid().to_pylist()]
+
+        return optional
+    if isinstance(schema, str):
+        schema = {"type": schema}
+    kind = schema["type"]
+    if isinstance(kind, (list, dict)):
+        return writer(kind)
+    if kind in ("int", "long"):
+        return _required(varint)
+    if kind in FLOATS:
+        dtype = FLOATS[kind][1]
+        return _required(lambda value: np.array(value, dtype).tobytes())
+    if kind == "boolean":
+        return _required(lambda value: b"\1" if value else b"\0")
+    if kind == "null":
+        return lambda values: [b""] * len(values)
+    if kind == "string":
+        return _required(lambda value: varint(len(raw := value.encode())) + raw)
+    if kind == "bytes":
+        return _required(lambda value: varint(len(value)) + value)
+    if kind == "enum":
+        codes = {symbol: varint(at) for at, symbol in enumerate(schema["symbols"])}
+        return _required(codes.__getitem__)
+    if kind == "array":
+        write = writer(schema["items"])
+
+        def items(values: pa.Array) -> list[bytes]:
+            bodies = iter(write(values.flatten()))
+            counts = values.value_lengths().to_pylist()
+            return [
+                varint(n) + b"".join(next(bodies) for _ in range(n)) + b"\0" if n else b"\0"
+                for n in counts
+            ]
+
+        return items
+    if kind == "record":
+        fields = [(field, writer(field["type"])) for field in schema["fields"]]
+
+        def record(values: pa.Array) -> list[bytes]:
+            columns = [write(_column(values, field)) for field, write in fields]
+            return [b"".join(parts) for parts in zip(*columns)] or [b""] * len(values)
+
+        return record
+    raise ValueError(f"cannot encode Avro type {kind!r}")
