@@ -11,12 +11,16 @@ from __future__ import annotations
 import base64
 import datetime as dt
 import decimal
-import json
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Sequence
+from itertools import islice
+from json.encoder import encode_basestring_ascii
 
 import numpy as np
 import pyarrow as pa
 
+from eventlake.functions.payload import flat_json, to_text
+
 # Byte widths and numpy types of the plain Avro types.
 FLOATS = {"float": (4, "<f4"), "double": (8, "<f8")}
 PRIMITIVES = {"null", "boolean", "int", "long", "float", "double", "bytes", "string"}
@@ -92,16 +96,10 @@ def read_rows(read: Reader, cursors: Cursors, rows: np.ndarray) -> list:
 
 
 def _spans(cursors: Cursors, rows: np.ndarray, width, make: Callable) -> list:
-    start = cursors.take(rows, width)
-    stop = cursors.pos[rows]
-    out = []
-    for row, a, b in zip(rows.tolist(), start.tolist(), stop.tolist()):
-        try:
-            out.append(make(cursors.data[a:b]))
-        except (ValueError, ArithmeticError):
-            cursors.bad[row] = True
-            out.append(None)
-    return out
+    """``make`` of the next ``width`` bytes of each row."""
+    start = cursors.take(rows, width).tolist()
+    data, stop = cursors.data, cursors.pos[rows].tolist()
+    return [make(data[a:b]) for a, b in zip(start, stop)]
 
 
 def _guarded(make: Callable) -> Callable:
@@ -243,6 +241,8 @@ def _union_reader(branches: list[Reader]) -> Reader:
         out = np.empty(len(rows), object)
         cur.bad[rows[(branch < 0) | (branch >= len(branches))]] = True
         live = ~cur.bad[rows]
+        if len(rows) and live.all() and (branch == branch[0]).all():
+            return branches[branch[0]](cur, rows)
         for index, read in enumerate(branches):
             mine = np.flatnonzero(live & (branch == index))
             if len(mine):
@@ -282,17 +282,107 @@ def _block_reader(item: Reader, new: Callable, add: Callable) -> Reader:
     return blocks
 
 
+# ------------------------------------------------------- flat records as text
+
+
+def _float_text(value: float) -> str:
+    return repr(value) if math.isfinite(value) else to_text(value)
+
+
+# How one decoded value becomes JSON text inside a flattened event.
+TOKENS: dict[type, Callable[..., str]] = {
+    str: encode_basestring_ascii,
+    int: repr,
+    float: _float_text,
+    bool: {True: "true", False: "false"}.__getitem__,
+    type(None): lambda _: "null",
+    list: lambda items: encode_basestring_ascii(to_text(items)) if items else "null",
+}
+
+
+def _tokens(values: list) -> list[str]:
+    return [TOKENS[type(value)](value) for value in values]
+
+
+def _leaves(schema, known: dict, space: str | None, path: tuple[str, ...] = ()):
+    """(path, reader) of every leaf; None in place of a reader whose keys vary by row."""
+    if isinstance(schema, dict) and isinstance(schema["type"], dict):
+        schema = schema["type"]
+    if isinstance(schema, dict) and schema["type"] == "record":
+        _, inner = _qualified(schema, space)
+        for field in schema["fields"]:
+            yield from _leaves(field["type"], known, inner, (*path, field["name"]))
+    else:
+        kinds = schema if isinstance(schema, list) else [schema]
+        kinds = [kind["type"] if isinstance(kind, dict) else kind for kind in kinds]
+        fixed = all(isinstance(k, str) and k in PRIMITIVES | {"array", "enum", "fixed"} for k in kinds)
+        yield path, reader(schema, known, space) if fixed else None
+
+
+def text_reader(schema, drop: Sequence[Sequence[str]] = ()) -> Reader:
+    """Reader of the flattened event as JSON text.
+
+    Where the schema fixes the keys, every leaf column is turned to text at
+    once. Where they vary by row (maps, unions of records), rows are flattened
+    one by one.
+    """
+    known: dict[str, Reader] = {}
+    whole = reader(schema, known)
+    is_record = isinstance(schema, dict) and schema["type"] == "record"
+    leaves = list(_leaves(schema, known, None)) if is_record else []
+
+    def by_row(cur: Cursors, rows: np.ndarray) -> list[str]:
+        values = whole(cur, rows)
+        return [flat_json(v, drop) if isinstance(v, dict) else "null" for v in values]
+
+    if not leaves or any(read is None for _, read in leaves):
+        return by_row
+
+    dropped = {tuple(path) for path in drop}
+    # A later leaf takes the place of an earlier one of the same name.
+    shown = {
+        "_".join(path): at
+        for at, (path, _) in enumerate(leaves)
+        if not any(path[: n + 1] in dropped for n in range(len(path)))
+    }
+    names = [to_text(name).replace("%", "%%") for name in shown]
+    template = "{" + ", ".join(f"{name}: %s" for name in names) + "}"
+
+    def by_column(cur: Cursors, rows: np.ndarray) -> list[str]:
+        columns = [read(cur, rows) for _, read in leaves]
+        if not shown:
+            return ["{}"] * len(rows)
+        tokens = [_tokens(columns[at]) for at in shown.values()]
+        return [template % row for row in zip(*tokens)]
+
+    return by_column
+
+
 # ---------------------------------------------------------------- writing
 
 
+def varints(numbers: np.ndarray) -> list[bytes]:
+    """Avro int or long of every number."""
+    numbers = numbers.astype(np.int64)
+    left = ((numbers << 1) ^ (numbers >> 63)).view(np.uint64)
+    groups = np.empty((len(left), 10), np.uint8)
+    size = np.ones(len(left), np.int64)
+    for at in range(10):
+        groups[:, at] = left & np.uint64(0x7F)
+        left = left >> np.uint64(7)
+        groups[:, at] |= np.where(left > 0, np.uint8(0x80), np.uint8(0))
+        size += left > 0
+    data = groups.tobytes()
+    return [data[at : at + n] for at, n in zip(range(0, len(data), 10), size.tolist())]
+
+
 def varint(number: int) -> bytes:
-    zigzag = (number << 1) ^ (number >> 63)
-    out = bytearray()
-    while zigzag > 0x7F:
-        out.append(zigzag & 0x7F | 0x80)
-        zigzag >>= 7
-    out.append(zigzag)
-    return bytes(out)
+    return varints(np.array([number]))[0]
+
+
+def _sized(bodies: list[bytes]) -> list[bytes]:
+    sizes = varints(np.fromiter(map(len, bodies), np.int64, len(bodies)))
+    return [size + body for size, body in zip(sizes, bodies)]
 
 
 def _column(rows: pa.Array, field: dict) -> pa.Array:
@@ -305,75 +395,89 @@ def _column(rows: pa.Array, field: dict) -> pa.Array:
     return rows.flatten()[at] if at >= 0 else pa.array([default] * len(rows))
 
 
-def _required(write: Callable) -> Callable[[pa.Array], list[bytes]]:
+Writer = Callable[[pa.Array], list[bytes]]
+
+
+def _required(write: Writer) -> Writer:
     def column(values: pa.Array) -> list[bytes]:
         if values.null_count:
             raise ValueError("null value for a field whose schema does not allow null")
-        return [write(value) for value in values.to_pylist()]
+        return write(values)
 
     return column
 
 
-def writer(schema) -> Callable[[pa.Array], list[bytes]]:
+def _optional_writer(schema: list) -> Writer:
+    some = [branch for branch in schema if branch != "null"]
+    if len(schema) != 2 or len(some) != 1:
+        raise ValueError(f"cannot encode union {to_text(schema)}")
+    null, tag = varint(schema.index("null")), varint(schema.index(some[0]))
+    write = writer(some[0])
+
+    def optional(values: pa.Array) -> list[bytes]:
+        present = iter(write(values.drop_null()))
+        return [tag + next(present) if there else null for there in values.is_valid().to_pylist()]
+
+    return optional
+
+
+def _array_writer(write: Writer) -> Writer:
+    def items(values: pa.Array) -> list[bytes]:
+        bodies = iter(write(values.flatten()))
+        lengths = values.value_lengths()
+        counts = varints(lengths.to_numpy())
+        return [
+            b"".join((count, *islice(bodies, n), b"\0")) if n else b"\0"
+            for count, n in zip(counts, lengths.to_pylist())
+        ]
+
+    return items
+
+
+def _record_writer(fields: list[dict]) -> Writer:
+    writers = [(field, writer(field["type"])) for field in fields]
+
+    def record(values: pa.Array) -> list[bytes]:
+        columns = [write(_column(values, field)) for field, write in writers]
+        return list(map(b"".join, zip(*columns))) if columns else [b""] * len(values)
+
+    return record
+
+
+def writer(schema) -> Writer:
     """Compile a schema into a function from an Arrow array to one body per row.
 
     Covers what message payloads are made of: records of primitives, enums,
-    nullable unions, arrays and maps of those.
+    nullable unions, arrays and records of those.
     """
     if isinstance(schema, list):
-        if len(schema) == 1:
-            write = writer(schema[0])
-            return lambda values: [b"\0" + body for body in write(values)]
-        some = [branch for branch in schema if branch != "null"]
-        if len(schema) != 2 or len(some) != 1:
-            raise ValueError(f"cannot encode union {json.dumps(schema)}")
-        null, tag = varint(schema.index("null")), varint(schema.index(some[0]))
-        write = writer(some[0])
-
-        def optional(values: pa.Array) -> list[bytes]:
-            present = iter(write(values.drop_null()))
-            return [tag + next(present) if there else null for there in values.is_valid().to_pylist()]
-
-        return optional
+        return _optional_writer(schema)
     if isinstance(schema, str):
         schema = {"type": schema}
     kind = schema["type"]
     if isinstance(kind, (list, dict)):
         return writer(kind)
-    if kind in ("int", "long"):
-        return _required(varint)
-    if kind in FLOATS:
-        dtype = FLOATS[kind][1]
-        return _required(lambda value: np.array(value, dtype).tobytes())
-    if kind == "boolean":
-        return _required(lambda value: b"\1" if value else b"\0")
     if kind == "null":
         return lambda values: [b""] * len(values)
-    if kind == "string":
-        return _required(lambda value: varint(len(raw := value.encode())) + raw)
-    if kind == "bytes":
-        return _required(lambda value: varint(len(value)) + value)
+    if kind == "record":
+        return _required(_record_writer(schema["fields"]))
+    if kind == "array":
+        return _required(_array_writer(writer(schema["items"])))
+    if kind in ("int", "long"):
+        return _required(lambda values: varints(values.to_numpy()))
+    if kind in ("string", "bytes"):
+        return _required(lambda values: _sized(values.cast(pa.binary()).to_pylist()))
+    if kind == "boolean":
+        return _required(lambda values: [b"\1" if value else b"\0" for value in values.to_pylist()])
     if kind == "enum":
         codes = {symbol: varint(at) for at, symbol in enumerate(schema["symbols"])}
-        return _required(codes.__getitem__)
-    if kind == "array":
-        write = writer(schema["items"])
-
-        def items(values: pa.Array) -> list[bytes]:
-            bodies = iter(write(values.flatten()))
-            counts = values.value_lengths().to_pylist()
-            return [
-                varint(n) + b"".join(next(bodies) for _ in range(n)) + b"\0" if n else b"\0"
-                for n in counts
-            ]
-
-        return items
-    if kind == "record":
-        fields = [(field, writer(field["type"])) for field in schema["fields"]]
+        return _required(lambda values: [codes[symbol] for symbol in values.to_pylist()])
+    if kind in FLOATS:
+        width, dtype = FLOATS[kind]
 
-        def record(values: pa.Array) -> list[bytes]:
-            columns = [write(_column(values, field)) for field, write in fields]
-            return [b"".join(parts) for parts in zip(*columns)] or [b""] * len(values)
+        def floats(values: pa.Array) -> list[bytes]:
+            data = values.to_numpy(zero_copy_only=False).astype(dtype).tobytes()
+            return [data[at : at + width] for at in range(0, len(data), width)]
 
-        return record
+        return _required(floats)
     raise ValueError(f"cannot encode Avro type {kind!r}")

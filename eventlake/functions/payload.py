@@ -17,17 +17,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
 
+# JSON text with ", " and ": " between parts and nothing outside ASCII.
+to_text = json.JSONEncoder().encode
+
+
 def flat_items(node: dict, prefix: str = "") -> Iterator[tuple[str, object]]:
     """Leaves of a nested mapping under ``_``-joined names; lists as JSON text."""
     for key, child in node.items():
-        name = f"{prefix}_{key}" if prefix else key
-        match child:
-            case dict():
-                yield from flat_items(child, name)
-            case list():
-                yield name, (json.dumps(child) if child else None)
-            case _:
-                yield name, child
+        kind = type(child)
+        if kind is dict:
+            yield from flat_items(child, f"{prefix}{key}_" if prefix or key else "")
+        elif kind is list:
+            yield prefix + key, (to_text(child) if child else None)
+        else:
+            yield prefix + key, child
 
 
 def without_path(event: dict, path: Sequence[str]) -> None:
@@ -47,7 +50,7 @@ def flat_json(event: dict, paths: Sequence[Sequence[str]] = ()) -> str:
     for path in paths:
         without_path(event, path)
     # dict(): a later leaf replaces an earlier one of the same name in place.
-    return json.dumps(dict(flat_items(event)))
+    return to_text(dict(flat_items(event)))
 
 
 def flatten_text(value: Column, drop: Sequence[str] = ()) -> Column:

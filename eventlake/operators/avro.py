@@ -11,10 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.functions.avro_batch import Cursors, Reader, read_rows, reader, writer
+from eventlake.functions.avro_batch import Cursors, Reader, read_rows, text_reader, writer
 from eventlake.functions.digest import payload_base64
 from eventlake.functions.envelope import HEADER_BYTES
-from eventlake.functions.payload import flat_json, split_paths
+from eventlake.functions.payload import split_paths
 from eventlake.operators import registry
 
 # What is wrong with a frame. The first three keep the marker value in
@@ -29,10 +29,10 @@ DECODED_DDL = "json string, error string"
 
 
 @lru_cache(maxsize=1024)
-def compiled(body: str) -> Reader | None:
+def compiled(body: str, drop: tuple[tuple[str, ...], ...]) -> Reader | None:
     """Reader of a schema document, once per Python worker; null if it is unusable."""
     try:
-        return reader(json.loads(body))
+        return text_reader(json.loads(body), drop)
     except (ValueError, LookupError, TypeError, AttributeError, RecursionError):
         return None
 
@@ -41,36 +41,28 @@ def decode_batch(
     payloads: pa.Array,
     codes: np.ndarray,
     body_of: Callable[[int], str | None],
-    paths: Sequence[Sequence[str]],
+    drop: tuple[tuple[str, ...], ...] = (),
 ) -> pa.Array:
     """Decode one Arrow batch; rows with the same code share a schema.
 
     A negative code stands for "no schema id in the frame".
     """
-    count = len(payloads)
-    texts: list[str | None] = [None] * count
-    errors: list[str | None] = [None] * count
+    texts = np.full(len(payloads), None, object)
+    errors = np.full(len(payloads), None, object)
     cursors = Cursors(payloads, HEADER_BYTES)
     present = payloads.is_valid().to_numpy(zero_copy_only=False)
     short = present & (cursors.end - cursors.start < HEADER_BYTES)
-    for row in np.flatnonzero(short).tolist():
-        errors[row] = SHORT_FRAME
+    errors[short] = SHORT_FRAME
     for code in np.unique(codes[present & ~short]).tolist():
         rows = np.flatnonzero(present & ~short & (codes == code))
         body = body_of(code)
-        read = compiled(body) if body is not None else None
+        read = compiled(body, drop) if body is not None else None
         if read is None:
-            for row in rows.tolist():
-                errors[row] = UNKNOWN_SCHEMA
+            errors[rows] = UNKNOWN_SCHEMA
             continue
-        values = read_rows(read, cursors, rows)
-        for row, value, bad in zip(rows.tolist(), values, cursors.bad[rows].tolist()):
-            try:
-                if bad:
-                    raise ValueError
-                texts[row] = flat_json(value, paths) if isinstance(value, dict) else "null"
-            except (ValueError, RecursionError):
-                errors[row] = BAD_BODY
+        texts[rows] = read_rows(read, cursors, rows)
+        failed = rows[cursors.bad[rows]]
+        texts[failed], errors[failed] = None, BAD_BODY
     return pa.StructArray.from_arrays(
         [pa.array(texts, pa.string()), pa.array(errors, pa.string())], fields=list(DECODED)
     )
@@ -86,7 +78,7 @@ def frame_ids(payloads: pa.Array) -> np.ndarray:
 
 
 def _decoded_by_map(
-    df: DataFrame, bodies: dict[str, str], paths: list[list[str]]
+    df: DataFrame, bodies: dict[str, str], drop: tuple[tuple[str, ...], ...]
 ) -> Column:
     shared = df.sparkSession.sparkContext.broadcast(bodies)
 
@@ -94,20 +86,20 @@ def _decoded_by_map(
     def decode_frames(payloads: pa.Array) -> pa.Array:
         known = shared.value
         return decode_batch(
-            payloads, frame_ids(payloads), lambda code: known.get(str(code)), paths
+            payloads, frame_ids(payloads), lambda code: known.get(str(code)), drop
         )
 
     return decode_frames(F.col("value"))
 
 
-def _decoded_by_body(paths: list[list[str]]) -> Column:
+def _decoded_by_body(drop: tuple[tuple[str, ...], ...]) -> Column:
     @F.arrow_udf(DECODED_DDL)
     def decode_frames(payloads: pa.Array, bodies: pa.Array) -> pa.Array:
         encoded = bodies.dictionary_encode()
         texts = encoded.dictionary.to_pylist()
         codes = encoded.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
         return decode_batch(
-            payloads, codes, lambda code: texts[code] if code >= 0 else None, paths
+            payloads, codes, lambda code: texts[code] if code >= 0 else None, drop
         )
 
     return decode_frames(F.col("value"), F.col("schema_body"))
@@ -133,14 +125,14 @@ def decode_events(
     """
     if "kafka_metadata_schemaid" not in df.columns:
         raise ValueError("decode_events needs the header columns, see envelope.add_header")
-    paths = split_paths(drop)
+    keys = tuple(map(tuple, split_paths(drop)))
     bodies = registry.schema_map(schemas, max_schema_bytes)
     if bodies is None and not df.isStreaming:
         bodies = registry.schema_map(registry.schemas_for(df, schemas), max_schema_bytes)
     if bodies is not None:
-        df = df.withColumn("decoded", _decoded_by_map(df, bodies, paths))
+        df = df.withColumn("decoded", _decoded_by_map(df, bodies, keys))
     else:
-        df = registry.attach_schema(df, schemas).withColumn("decoded", _decoded_by_body(paths))
+        df = registry.attach_schema(df, schemas).withColumn("decoded", _decoded_by_body(keys))
 
     marker = F.concat(
         F.lit('{"'), F.coalesce("kafka_metadata_schemaid", F.lit("null")), F.lit('": -1}')
