@@ -182,7 +182,8 @@ def reader(schema, known: dict[str, Reader] | None = None, space: str | None = N
         def floats(cur: Cursors, rows: np.ndarray) -> list:
             at = np.minimum(cur.take(rows, width), len(cur.data))
             packed = cur.bytes[at[:, None] + np.arange(width)]
-            return packed.view(dtype).ravel().astype("f8").tolist()
+            with np.errstate(invalid="ignore"):
+                return packed.view(dtype).ravel().astype("f8").tolist()
 
         return floats
     if kind == "boolean":

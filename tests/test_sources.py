@@ -1,0 +1,142 @@
+import pytest
+from pyspark.sql import functions as F
+
+from eventlake import sources
+from eventlake.sources import messages
+
+
+@pytest.fixture
+def log(spark):
+    return spark.range(40).select(
+        F.when(F.col("id") < 20, "a").otherwise("b").alias("topic"),
+        (F.col("id") % 2).cast("int").alias("partition"),
+        F.floor(F.col("id") % 20 / 2).alias("offset"),
+    )
+
+
+def brute(log, ranges):
+    return sorted(
+        (r.topic, r.partition, r.offset)
+        for r in log.collect()
+        for topic, parts in ranges.items()
+        for partition, (start, stop) in parts.items()
+        if (r.topic, r.partition) == (topic, partition)
+        and r.offset >= start
+        and (stop == -1 or r.offset < stop)
+    )
+
+
+@pytest.mark.parametrize("terms", [messages.MAX_RANGE_TERMS, 0])
+@pytest.mark.parametrize(
+    "ranges",
+    [
+        {"a": {0: (0, 2)}},
+        {"a": {0: (0, 2), 1: (5, 6)}, "b": {0: (9, 100)}},
+        {"a": {0: (3, 3)}},
+        {"a": {0: (4, -1)}, "b": {1: (-2, 1)}},
+        {"absent": {0: (0, 10)}},
+        {},
+    ],
+)
+def test_ranges(spark, log, ranges, terms, monkeypatch):
+    monkeypatch.setattr(messages, "MAX_RANGE_TERMS", terms)
+    found = sources.event_range(log, ranges)
+    assert found.columns == log.columns
+    assert sorted(map(tuple, found.collect())) == brute(log, ranges)
+
+
+@pytest.mark.parametrize("bounds", [(-1, 5), (-3, 5), (0, -2)])
+def test_impossible_ranges(log, bounds):
+    with pytest.raises(ValueError, match="not a range"):
+        sources.event_range(log, {"a": {0: bounds}})
+
+
+def test_ranges_reach_the_scan(spark, log, tmp_path, monkeypatch):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    log.write.parquet(str(tmp_path / "log"))
+    stored = spark.read.parquet(str(tmp_path / "log"))
+    for terms in (16, 0):
+        monkeypatch.setattr(messages, "MAX_RANGE_TERMS", terms)
+        found = sources.event_range(stored, {"a": {0: (2, 5), 1: (3, 4)}})
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        pushed = plan.split("PushedFilters: [")[1].split("ReadSchema")[0]
+        assert "GreaterThanOrEqual(offset,2)" in pushed
+        assert "LessThan(offset,5)" in pushed
+        assert "SortMergeJoin" not in plan
+
+
+def test_offsets_json():
+    ranges = {"t": {0: (0, 2), 1: (5, -1)}}
+    assert sources.offsets_json(ranges, end=False) == '{"t": {"0": 0, "1": 5}}'
+    assert sources.offsets_json(ranges, end=True) == '{"t": {"0": 2, "1": -1}}'
+
+
+def test_kafka_options():
+    options = sources.kafka_options(
+        ["h1:9092", "h2:9092"],
+        ["a", "b"],
+        client={"compression.type": "gzip", "kafka.acks": "all"},
+        failOnDataLoss=True,
+    )
+    assert options == {
+        "kafka.bootstrap.servers": "h1:9092,h2:9092",
+        "subscribe": "a,b",
+        "kafka.compression.type": "gzip",
+        "kafka.acks": "all",
+        "failOnDataLoss": "True",
+    }
+
+
+class Recorder:
+    """Stands in for a reader whose connector is not on the class path."""
+
+    def __init__(self):
+        self.seen = {}
+
+    def format(self, name):
+        self.seen["format"] = name
+        return self
+
+    def options(self, **options):
+        self.seen |= options
+        return self
+
+    def load(self):
+        return self.seen
+
+    read = readStream = property(lambda self: self)
+
+
+def test_kafka_reads_get_topics_and_offsets():
+    assert sources.event_stream(Recorder(), "kafka", {"x": "1"}, topics=["a", "b"]) == {
+        "format": "kafka",
+        "x": "1",
+        "subscribe": "a,b",
+    }
+    assert sources.event_range(Recorder(), {"a": {0: (1, 3)}}, options={"x": "1"}) == {
+        "format": "kafka",
+        "x": "1",
+        "subscribe": "a",
+        "startingOffsets": '{"a": {"0": 1}}',
+        "endingOffsets": '{"a": {"0": 3}}',
+    }
+
+
+def test_stream_of_files_is_filtered_by_topic(spark, log, tmp_path):
+    path = str(tmp_path / "log")
+    log.write.parquet(path)
+    schema = "topic string, partition int, offset long"
+    stream = sources.event_stream(spark, "parquet", {"path": path}, schema, topics=["b"])
+    query = stream.writeStream.format("memory").queryName("topic_b").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert {r.topic for r in spark.table("topic_b").collect()} == {"b"}
+
+
+def test_file_stream_takes_so_many_files_per_batch(spark, tmp_path):
+    path = str(tmp_path / "files")
+    spark.range(10).repartition(5).write.parquet(path)
+    stream = sources.file_stream(spark, path, "id long", max_files=2)
+    query = stream.writeStream.format("memory").queryName("files").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [p["numInputRows"] > 0 for p in query.recentProgress].count(True) == 3
+    assert spark.table("files").count() == 10
