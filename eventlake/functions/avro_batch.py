@@ -33,7 +33,8 @@ class Cursors:
     """Read positions of every row of a binary Arrow array, past ``skip`` bytes."""
 
     def __init__(self, payloads: pa.Array, skip: int):
-        ends = np.frombuffer(payloads.buffers()[1], "<i4")
+        wide = pa.types.is_large_binary(payloads.type)
+        ends = np.frombuffer(payloads.buffers()[1], "<i8" if wide else "<i4")
         ends = ends[payloads.offset : payloads.offset + len(payloads) + 1].astype(np.int64)
         body = payloads.buffers()[2]
         self.data = body.to_pybytes() if body else b""

@@ -21,16 +21,21 @@ from pyspark.sql.types import ArrayType, DataType, StructType
 to_text = json.JSONEncoder().encode
 
 
-def flat_items(node: dict, prefix: str = "") -> Iterator[tuple[str, object]]:
-    """Leaves of a nested mapping under ``_``-joined names; lists as JSON text."""
+def flat_leaves(node: dict, prefix: str = "", into: dict | None = None) -> dict:
+    """Leaves of a nested mapping under ``_``-joined names; lists as JSON text.
+
+    Of two leaves with one name the later replaces the earlier in its place.
+    """
+    leaves = {} if into is None else into
     for key, child in node.items():
         kind = type(child)
         if kind is dict:
-            yield from flat_items(child, f"{prefix}{key}_" if prefix or key else "")
+            flat_leaves(child, f"{prefix}{key}_" if prefix or key else "", leaves)
         elif kind is list:
-            yield prefix + key, (to_text(child) if child else None)
+            leaves[prefix + key] = to_text(child) if child else None
         else:
-            yield prefix + key, child
+            leaves[prefix + key] = child
+    return leaves
 
 
 def without_path(event: dict, path: Sequence[str]) -> None:
@@ -49,8 +54,7 @@ def split_paths(paths: Sequence[str]) -> list[list[str]]:
 def flat_json(event: dict, paths: Sequence[Sequence[str]] = ()) -> str:
     for path in paths:
         without_path(event, path)
-    # dict(): a later leaf replaces an earlier one of the same name in place.
-    return to_text(dict(flat_items(event)))
+    return to_text(flat_leaves(event))
 
 
 def flatten_text(value: Column, drop: Sequence[str] = ()) -> Column:

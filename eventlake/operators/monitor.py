@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,10 +64,14 @@ def no_data_gaps(
     ts: str,
     limit_seconds: int = 300,
     keys: Sequence[str] = (),
+    until: dt.datetime | None = None,
     buckets_per_chunk: int = 4096,
 ) -> DataFrame:
     """Periods longer than the limit without a row, per key or over all rows.
 
+    With ``until``, the time of the check, the period since the last row counts
+    as well.
+
     Rows are first reduced to the earliest and latest time per bucket of the
     limit's width, within which no gap can exceed the limit. Neighbours are
     then compared inside chunks of buckets, and chunk ends with each other, so
@@ -94,6 +99,11 @@ def no_data_gaps(
     gaps = between(buckets, [*keys, "chunk"], "bucket").unionByName(
         between(chunks, list(keys), "chunk")
     )
+    if until is not None:
+        last = buckets.groupBy(*keys).agg(F.max("last_at").alias("gap_start"))
+        kind = df.schema[ts].dataType
+        silent = last.filter(F.col("gap_start").isNotNull())
+        gaps = gaps.unionByName(silent.withColumn("gap_end", F.lit(until).cast(kind)))
     limit = F.make_dt_interval(secs=F.lit(limit_seconds))
     return gaps.filter(F.col("gap_end") - F.col("gap_start") > limit)
 

@@ -56,8 +56,9 @@ def ingest(
     if len(routes) != 1:
         raise ValueError("the stream sink has one destination")
     (route,) = routes
+    landed = transform(stream)
     return sinks.landing_stream(
-        transform(stream), route.destination, route.columns, checkpoint, trigger, route.partition
+        landed if route.where is None else landed.filter(route.where), route.destination, route.columns, checkpoint, trigger, route.partition
     )
 
 
@@ -82,9 +83,7 @@ def backfill(
     messages = sources.event_range(source, ranges, fmt, options)
     if messages.isEmpty():
         return False
-    owned = [
-        sinks.Route(f"{r.destination}/run_id={run_id}", r.columns, r.partition) for r in routes
-    ]
+    owned = [route.below(f"run_id={run_id}") for route in routes]
     sinks.fan_out(transform(messages), owned, mode="overwrite")
     return True
 

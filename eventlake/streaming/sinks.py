@@ -7,7 +7,7 @@ committed, and Spark runs it again from the checkpoint.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -28,11 +28,20 @@ Trigger = Mapping[str, object]
 
 @dataclass(frozen=True)
 class Route:
-    """One destination of a fan-out."""
+    """One destination of a fan-out.
+
+    ``where`` is a SQL condition on the rows it takes, for instance
+    ``decode_error IS NOT NULL`` for a quarantine zone.
+    """
 
     destination: str
     columns: Sequence[str]
-    partition: Sequence[str]
+    partition: Sequence[str] = TIME_PARTITIONS
+    where: str | None = None
+
+    def below(self, folder: str) -> Route:
+        """The same route into a folder of its destination."""
+        return replace(self, destination=f"{self.destination}/{folder}")
 
 
 def _check_columns(df: DataFrame, columns: Sequence[str], partition: Sequence[str]) -> None:
@@ -79,16 +88,13 @@ def fan_out(df: DataFrame, routes: Sequence[Route], mode: str = "append") -> Non
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for route in routes:
-            write_landing(df, route.destination, route.columns, route.partition, mode)
+            rows = df if route.where is None else df.filter(route.where)
+            write_landing(rows, route.destination, route.columns, route.partition, mode)
     finally:
         if len(routes) > 1:
             df.unpersist()
 
 
-def batch_path(destination: str, run_id: str, batch_id: int) -> str:
-    return f"{destination}/run_id={run_id}/batch_id={batch_id}"
-
-
 def landing_batches(
     df: DataFrame,
     transform: Callable[[DataFrame], DataFrame],
@@ -111,10 +117,7 @@ def landing_batches(
         run = run_id or context.getLocalProperty("sql.streaming.queryId")
         if not run:
             raise ValueError("the stream has no id in this session: pass run_id")
-        owned = [
-            Route(batch_path(r.destination, run, batch_id), r.columns, r.partition)
-            for r in routes
-        ]
+        owned = [route.below(f"run_id={run}/batch_id={batch_id}") for route in routes]
         fan_out(transform(batch), owned, mode="overwrite")
 
     writer = df.writeStream.outputMode("append").trigger(**trigger)

@@ -196,6 +196,16 @@ def test_store_above_the_bound_is_cut_to_the_ids_in_use(spark):
     ]
 
 
+def test_wide_arrow_types(spark):
+    spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")
+    try:
+        test_damaged_frames(spark, {})
+        test_encode_events_frames_structs_and_maps(spark)
+        test_every_type(spark)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.useLargeVarTypes")
+
+
 def test_split_errors_keeps_every_row(spark):
     rows = spark.createDataFrame([(GOOD,), (GOOD[:-1],), (None,)], "value binary")
     store = spark.createDataFrame([("3", json.dumps(FLAT))], "schema_id string, body string")

@@ -30,7 +30,7 @@ def test_gaps(ticks, limit, chunk):
     rows, df = ticks
     found = monitor.no_data_gaps(df, "ts", limit, buckets_per_chunk=chunk)
     assert sorted(map(tuple, found.collect())) == brute_gaps(rows, limit)
-    found = monitor.no_data_gaps(df, "ts", limit, ["key"], chunk).collect()
+    found = monitor.no_data_gaps(df, "ts", limit, ["key"], buckets_per_chunk=chunk).collect()
     for key in "ab":
         mine = sorted((r.gap_start, r.gap_end) for r in found if r.key == key)
         assert mine == brute_gaps([r for r in rows if r[0] == key], limit)
@@ -42,6 +42,24 @@ def test_a_gap_of_exactly_the_limit_is_none(spark):
     assert [(g.gap_end - g.gap_start).total_seconds() for g in gaps.collect()] == [301]
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_silence_up_to_the_time_of_the_check(spark, kind):
+    rows = [("a", START), ("b", START + dt.timedelta(seconds=400)), ("c", None)]
+    df = spark.createDataFrame(rows, f"key string, ts {kind}")
+    check = START + dt.timedelta(seconds=600)
+    gaps = monitor.no_data_gaps(df, "ts", 300, ["key"], until=check)
+    assert [tuple(g) for g in gaps.collect()] == [("a", START, check)]
+    assert monitor.no_data_gaps(df, "ts", 500, until=check).count() == 0
+    assert monitor.no_data_gaps(df.limit(0), "ts", 500, until=check).count() == 0
+
+
+def test_neighbours_are_compared_over_one_shared_exchange(ticks):
+    _, df = ticks
+    gaps = monitor.no_data_gaps(df, "ts")
+    gaps.collect()
+    assert "ReusedExchange" in gaps._jdf.queryExecution().executedPlan().toString()
+
+
 def test_error_rate_and_alarm(spark):
     rows = [(START + dt.timedelta(seconds=s), s % 2) for s in (0, 1, 3, 299, 300, 301)]
     df = spark.createDataFrame(rows, "ts timestamp_ntz, bad int")

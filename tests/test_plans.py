@@ -1,0 +1,78 @@
+"""What the plans of the hot paths must and must not contain."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventlake import registry, sinks, transforms
+from eventlake.plans import samples
+from eventlake.scratch import new_folder
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def events(spark, sf_dir):
+    return samples.table(spark, sf_dir, "events")
+
+
+@pytest.fixture(scope="module")
+def frames(spark, events):
+    folder = new_folder(spark, "frames")
+    samples.avro_messages(events).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def test_avro_is_decoded_in_one_python_pass_without_a_shuffle(events, frames):
+    landed = plan(transforms.decode_avro(frames, samples.avro_schemas(events)))
+    assert landed.count("ArrowEvalPython") == 1
+    assert "BatchEvalPython" not in landed
+    assert "Exchange" not in landed and "Join" not in landed
+
+
+def test_json_is_flattened_in_one_python_pass_without_a_shuffle(frames):
+    landed = plan(transforms.decode_json(frames))
+    assert landed.count("ArrowEvalPython") == 1
+    assert "Exchange" not in landed
+
+
+@pytest.mark.parametrize("transform", [transforms.decode_avro, transforms.decode_json])
+def test_nothing_is_decoded_for_metadata_alone(events, frames, transform):
+    landed = transform(frames, samples.avro_schemas(events))
+    slim = plan(landed.select("kafka_metadata_topic", "kafka_metadata_offset", "counterparty"))
+    assert "Python" not in slim
+    assert "ReadSchema: struct<topic:string,offset:bigint>" in slim
+
+
+def test_a_large_store_is_not_broadcast(spark, frames):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        schemas = spark.createDataFrame([("1", "x")], "schema_id string, body string")
+        headed = frames.withColumn("kafka_metadata_schemaid", F.hex("key"))
+        assert "Broadcast" not in plan(registry.attach_schema(headed, schemas))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ids_are_deduplicated_before_the_shuffle(frames):
+    headed = frames.withColumn("kafka_metadata_schemaid", F.hex("key"))
+    steps = [line for line in plan(registry.schema_ids(headed)).splitlines() if "Hash" in line or "Exch" in line]
+    assert ["Exchange" in step for step in steps] == [False, True, False]
+
+
+def test_the_landing_stream_does_not_shuffle(spark, frames, tmp_path):
+    stream = spark.readStream.schema(frames.schema).parquet(frames.inputFiles()[0].rsplit("/", 1)[0])
+    landed = transforms.decode_json(stream)
+    columns = ["events", "year", "month", "ts"]
+    query = sinks.landing_stream(
+        landed, str(tmp_path / "zone"), columns, str(tmp_path / "c"), {"availableNow": True}
+    )
+    query.awaitTermination()
+    assert "Exchange" not in query._jsq.explainInternal(True)
+
+
+def test_scratch_is_the_shared_folder_of_the_session(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert new_folder(spark, "x").startswith(shared + "/x-")
+    assert new_folder(spark, "x") != new_folder(spark, "x")

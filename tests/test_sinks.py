@@ -75,6 +75,14 @@ def test_fan_out_computes_the_rows_once(spark, tmp_path):
     assert by_topic.filter("topic = 't1'").count() == 3
 
 
+def test_a_route_can_take_some_of_the_rows(spark, tmp_path):
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    routes = [sinks.Route(good, COLUMNS), sinks.Route(bad, COLUMNS, where="id >= 7")]
+    sinks.fan_out(batch(spark, 0, 10), routes)
+    assert ids(sinks.read_landing(spark, good, DDL)) == list(range(10))
+    assert ids(sinks.read_landing(spark, bad, DDL)) == [7, 8, 9]
+
+
 @pytest.fixture
 def source(spark, tmp_path):
     """A folder of files, and a stream over it that takes one file per batch."""
@@ -103,8 +111,8 @@ def test_replayed_batch_replaces_itself(spark, tmp_path, source):
         moved = df.withColumn("ts", F.lit(2024010100 + len(attempts)))
         if len(attempts) == 1:
             run = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-            path = sinks.batch_path(zone, run, 0)
-            sinks.write_landing(moved, path, COLUMNS, mode="overwrite")
+            first = route.below(f"run_id={run}/batch_id=0")
+            sinks.write_landing(moved, first.destination, COLUMNS, mode="overwrite")
             raise RuntimeError("lost driver")
         return moved
 
@@ -174,6 +182,22 @@ def test_registered_landing_keeps_the_month_as_text(spark, tmp_path):
     assert spark.table("landed_zone").count() == 6
 
 
+def test_registered_batch_directories(spark, tmp_path, source):
+    _, stream = source
+    zone = str(tmp_path / "zone")
+    route = sinks.Route(zone, COLUMNS)
+    query = sinks.landing_batches(stream(), lambda df: df, [route], str(tmp_path / "c"), NOW, "r1")
+    query.awaitTermination()
+    schema = batch(spark, 0, 0).selectExpr("*", "'' run_id", "0L batch_id").schema
+    spark.sql("drop table if exists batched_zone")
+    sinks.register_landing(
+        spark, "batched_zone", zone, schema, ("run_id", "batch_id", *sinks.TIME_PARTITIONS)
+    )
+    rows = spark.table("batched_zone").collect()
+    assert {(r.run_id, r.batch_id, r.month) for r in rows} == {("r1", 0, "01")}
+    assert len(rows) == 10
+
+
 def test_registered_stream_landing(spark, tmp_path, source):
     _, stream = source
     path = str(tmp_path / "zone")
