@@ -360,7 +360,10 @@ def avro_quarantine(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(frame)
     )
     rows = envelope.add_header(samples.avro_messages(events).withColumn("value", damaged))
-    good, bad = avro.split_errors(avro.decode_events(rows, samples.avro_schemas(events)))
+    decoded = avro.decode_events(rows, samples.avro_schemas(events))
+    folder = new_folder(spark, "decoded")
+    decoded.select("offset", "events", "decode_error").write.parquet(folder)
+    good, bad = avro.split_errors(spark.read.parquet(folder))
     sides = good.withColumn("quarantined", F.lit(False)).unionByName(
         bad.withColumn("quarantined", F.lit(True))
     )

@@ -19,6 +19,9 @@ MAGIC = "0"
 # Fixed values: (text the topic contains, counterparty it stands for).
 COUNTERPARTY_RULES = (("test", "core"),)
 
+# Columns that carry the processing time.
+TIME_PARTITIONS = ("year", "month", "ts")
+
 # Source column -> landed column.
 METADATA_NAMES = {
     "topic": "kafka_metadata_topic",

@@ -132,7 +132,8 @@ def decode_events(
     if bodies is not None:
         df = df.withColumn("decoded", _decoded_by_map(df, bodies, keys))
     else:
-        df = registry.attach_schema(df, schemas).withColumn("decoded", _decoded_by_body(keys))
+        joined = registry.attach_schema(df, registry.unique_schemas(schemas))
+        df = joined.withColumn("decoded", _decoded_by_body(keys))
 
     marker = F.concat(
         F.lit('{"'), F.coalesce("kafka_metadata_schemaid", F.lit("null")), F.lit('": -1}')

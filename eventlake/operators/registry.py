@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.scratch import new_folder
+
 # Largest schema store, in bytes of document text, that is shipped to every
 # executor. Beyond it schemas are joined to the rows.
 MAX_SCHEMA_BYTES = 32 * 1024 * 1024
@@ -107,16 +109,33 @@ def missing_schemas(df: DataFrame, schemas: DataFrame) -> DataFrame:
 def attach_schema(df: DataFrame, schemas: DataFrame) -> DataFrame:
     """Left join of the rows with their schema document as ``schema_body``.
 
-    No broadcast is forced: the planner broadcasts a store it knows to be
-    below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles,
-    where adaptive execution splits an id that holds a large share of the rows.
+    ``schemas`` has one row per id, see :func:`unique_schemas`. No broadcast is
+    forced: the planner broadcasts a store it knows to be below
+    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, where
+    adaptive execution splits an id that holds a large share of the rows.
     """
-    bodies = schemas.groupBy(F.col("schema_id").alias("kafka_metadata_schemaid")).agg(
-        F.min("body").alias("schema_body")
+    bodies = schemas.select(
+        F.col("schema_id").alias("kafka_metadata_schemaid"), F.col("body").alias("schema_body")
     )
     return df.join(bodies, "kafka_metadata_schemaid", "left")
 
 
+def _one_per_id(schemas: DataFrame) -> DataFrame:
+    return schemas.groupBy("schema_id").agg(F.min("body").alias("body"))
+
+
+def unique_schemas(schemas: DataFrame) -> DataFrame:
+    """One row per id, written to the shared scratch folder and read back.
+
+    Read from a table the schemas are shuffled right below the join. An
+    aggregate in between would keep adaptive execution from splitting a hot id.
+    """
+    spark = schemas.sparkSession
+    folder = new_folder(spark, "schemas")
+    _one_per_id(schemas).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def schema_map(schemas: DataFrame, max_bytes: int = MAX_SCHEMA_BYTES) -> dict[str, str] | None:
     """The store as id -> document, or None when it is larger than ``max_bytes``.
 
@@ -127,5 +146,4 @@ def schema_map(schemas: DataFrame, max_bytes: int = MAX_SCHEMA_BYTES) -> dict[st
     size = schemas.agg(F.coalesce(F.sum(text), F.lit(0)).alias("bytes")).first().bytes
     if size > max_bytes:
         return None
-    unique = schemas.groupBy("schema_id").agg(F.min("body").alias("body"))
-    return {row.schema_id: row.body for row in unique.collect()}
+    return {row.schema_id: row.body for row in _one_per_id(schemas).collect()}

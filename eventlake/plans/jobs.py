@@ -3,20 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlake import sources
+from eventlake.functions import envelope
 from eventlake.operators import ack, registry
 from eventlake.plans.transforms import TRANSFORMS
 from eventlake.streaming import sinks
 
 SchemaSource = Callable[[SparkSession], DataFrame]
 
+# Columns known before a message is decoded.
+ENVELOPE = {
+    "kafka_metadata_topic",
+    "kafka_metadata_offset",
+    "kafka_metadata_partition",
+    "counterparty",
+    "key",
+    *envelope.TIME_PARTITIONS,
+}
+
 
 def _transform(
-    event_type: str, schemas: SchemaSource | None, drop: Sequence[str], as_of: Column | str | None
+    event_type: str,
+    schemas: SchemaSource | None,
+    drop: Sequence[str],
+    as_of: Column | str | None,
+    arrange: Sequence[str] = (),
 ) -> Callable[[DataFrame], DataFrame]:
     if event_type not in TRANSFORMS:
         raise ValueError(f"unknown event type {event_type!r}, expected one of {[*TRANSFORMS]}")
@@ -25,11 +41,21 @@ def _transform(
 
     def apply(df: DataFrame) -> DataFrame:
         known = schemas(df.sparkSession) if schemas is not None else None
-        return TRANSFORMS[event_type](df, schemas=known, drop=drop, as_of=as_of)
+        return TRANSFORMS[event_type](df, schemas=known, drop=drop, as_of=as_of, arrange=arrange)
 
     return apply
 
 
+def _arranged(routes: Sequence[sinks.Route]) -> tuple[Sequence[str], Sequence[sinks.Route]]:
+    """Columns to shuffle the undecoded messages by, and the routes that remain to be.
+
+    With one route the shuffle before its write moves to before the decoding.
+    """
+    if len(routes) == 1 and routes[0].rebalance and set(routes[0].partition) <= ENVELOPE:
+        return routes[0].partition, [replace(routes[0], rebalance=False)]
+    return (), routes
+
+
 def ingest(
     stream: DataFrame,
     routes: Sequence[sinks.Route],
@@ -48,15 +74,16 @@ def ingest(
     sink, which therefore sees schemas that arrive later, and once at the start
     for the ``stream`` sink.
     """
-    transform = _transform(event_type, schemas, drop, as_of)
     if sink == "batch":
+        arrange, routes = _arranged(routes)
+        transform = _transform(event_type, schemas, drop, as_of, arrange)
         return sinks.landing_batches(stream, transform, routes, checkpoint, trigger, run_id)
     if sink != "stream":
         raise ValueError(f"unknown sink {sink!r}, expected 'batch' or 'stream'")
     if len(routes) != 1:
         raise ValueError("the stream sink has one destination")
     (route,) = routes
-    landed = transform(stream)
+    landed = _transform(event_type, schemas, drop, as_of)(stream)
     return sinks.landing_stream(
         landed if route.where is None else landed.filter(route.where), route.destination, route.columns, checkpoint, trigger, route.partition
     )
@@ -79,7 +106,14 @@ def backfill(
     False when the slice is empty. The test for that reads the slice before it
     is decoded. Running the same ``run_id`` again replaces what it landed.
     """
-    transform = _transform(event_type, schemas, drop, as_of)
+    if as_of is None:
+        # Processing time puts all rows of a slice into one partition already.
+        routes = [
+            replace(r, rebalance=r.rebalance and not set(r.partition) <= {*envelope.TIME_PARTITIONS})
+            for r in routes
+        ]
+    arrange, routes = _arranged(routes)
+    transform = _transform(event_type, schemas, drop, as_of, arrange)
     messages = sources.event_range(source, ranges, fmt, options)
     if messages.isEmpty():
         return False

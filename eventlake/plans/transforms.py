@@ -13,27 +13,37 @@ from eventlake.operators import avro
 BAD_JSON = "bad_json"
 
 
+def _enveloped(df: DataFrame, as_of: Column | str | None, arrange: Sequence[str]) -> DataFrame:
+    """Envelope columns, and rows of one landing partition brought together.
+
+    The shuffle, if any, happens here: undecoded messages are several times
+    smaller than landed rows, and evenly sized tasks even out the decoding.
+    """
+    enveloped = envelope.add_envelope(df, as_of)
+    return enveloped.hint("rebalance", *arrange) if arrange else enveloped
+
+
 def decode_avro(
     df: DataFrame,
     schemas: DataFrame,
     drop: Sequence[str] = (),
     as_of: Column | str | None = None,
+    arrange: Sequence[str] = (),
 ) -> DataFrame:
     """Framed Avro messages to landed rows.
 
     Works on bounded and streaming input. On a stream the schemas are those of
     the moment it starts; inside a micro-batch they are those of the batch.
     """
-    decoded = avro.decode_events(envelope.add_header(df), schemas, drop)
+    framed = envelope.add_header(_enveloped(df, as_of, arrange))
     raw = F.col("value")
-    rendered = decoded.withColumns(
+    return avro.decode_events(framed, schemas, drop).withColumns(
         {
             "kafka_metadata_hashed_payload": digest.payload_base64(raw),
             "payload_sha256": digest.payload_sha256(raw),
             "value": digest.payload_hex(raw),
         }
     )
-    return envelope.add_envelope(rendered, as_of)
 
 
 def decode_json(
@@ -41,28 +51,27 @@ def decode_json(
     schemas: DataFrame | None = None,
     drop: Sequence[str] = (),
     as_of: Column | str | None = None,
+    arrange: Sequence[str] = (),
 ) -> DataFrame:
     """JSON messages to landed rows; ``schemas`` is not used.
 
     A payload that is not a JSON object keeps its bytes in ``value``, has null
     ``events`` and is marked in ``decode_error``.
     """
-    flat = F.col("flat")
-    landed = F.coalesce(flat, F.col("value"))
-    rendered = df.withColumn("flat", payload.flatten_text(F.col("value"), drop)).withColumns(
+    flat, raw = F.col("flat"), F.col("value")
+    landed = F.coalesce(flat, raw)
+    flattened = _enveloped(df, as_of, arrange).withColumn("flat", payload.flatten_text(raw, drop))
+    return flattened.withColumns(
         {
             "kafka_metadata_schemaid": F.lit("json"),
             "kafka_magic_byte": F.lit("json"),
             "kafka_metadata_hashed_payload": digest.payload_sha256(landed),
-            "payload_sha256": digest.payload_sha256(F.col("value")),
+            "payload_sha256": digest.payload_sha256(raw),
             "events": digest.payload_base64(flat),
-            "decode_error": F.when(
-                flat.isNull() & F.col("value").isNotNull(), F.lit(BAD_JSON)
-            ),
+            "decode_error": F.when(flat.isNull() & raw.isNotNull(), F.lit(BAD_JSON)),
             "value": landed,
         }
-    )
-    return envelope.add_envelope(rendered.drop("flat"), as_of)
+    ).drop("flat")
 
 
 def drop_keys_first(
@@ -70,11 +79,12 @@ def drop_keys_first(
     schemas: DataFrame,
     drop: Sequence[str] = (),
     as_of: Column | str | None = None,
+    arrange: Sequence[str] = (),
 ) -> DataFrame:
     """Framed Avro messages without some of their keys."""
     if not drop:
         raise ValueError("avro_drop_select_keys needs the keys to drop")
-    return decode_avro(df, schemas, drop, as_of)
+    return decode_avro(df, schemas, drop, as_of, arrange)
 
 
 # Event type -> transformation.

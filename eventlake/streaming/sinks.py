@@ -14,23 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from eventlake.functions.envelope import TIME_PARTITIONS
 from eventlake.operators import align
 
-# Default time partitions of a landing zone.
-TIME_PARTITIONS = ("year", "month", "ts")
-
-# Column types a landing zone is read back with; inference would turn the
-# two-digit month into a number.
-PARTITION_DDL = {"year": "int", "month": "string", "ts": "int"}
-
 Trigger = Mapping[str, object]
 
 
 @dataclass(frozen=True)
 class Route:
-    """One destination of a fan-out.
+    """One destination of landed rows.
 
-    ``where`` is a SQL condition on the rows it takes, for instance
+    ``rebalance`` as in :func:`write_landing`. ``where`` is a SQL condition on the rows it takes, for instance
     ``decode_error IS NOT NULL`` for a quarantine zone.
     """
 
@@ -38,6 +32,7 @@ class Route:
     columns: Sequence[str]
     partition: Sequence[str] = TIME_PARTITIONS
     where: str | None = None
+    rebalance: bool = True
 
     def below(self, folder: str) -> Route:
         """The same route into a folder of its destination."""
@@ -74,8 +69,9 @@ def write_landing(
     rows = df.select(*columns)
     if rebalance:
         rows = rows.hint("rebalance", *partition)
-    writer = rows.write.mode(mode).option("compression", "snappy")
-    writer.partitionBy(*partition).parquet(destination)
+    # Static: an overwrite replaces the destination, whatever the session's default.
+    writer = rows.write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.option("compression", "snappy").partitionBy(*partition).parquet(destination)
 
 
 def fan_out(df: DataFrame, routes: Sequence[Route], mode: str = "append") -> None:
@@ -89,7 +85,9 @@ def fan_out(df: DataFrame, routes: Sequence[Route], mode: str = "append") -> Non
     try:
         for route in routes:
             rows = df if route.where is None else df.filter(route.where)
-            write_landing(rows, route.destination, route.columns, route.partition, mode)
+            write_landing(
+                rows, route.destination, route.columns, route.partition, mode, route.rebalance
+            )
     finally:
         if len(routes) > 1:
             df.unpersist()
@@ -175,7 +173,11 @@ def message_stream(
 def read_landing(
     spark: SparkSession, path: str, schema: StructType | str, batches: bool = False
 ) -> DataFrame:
-    """Read a landing zone with declared types; ``batches`` for per-batch directories."""
+    """Read a landing zone with declared types; ``batches`` for per-batch directories.
+
+    The types are declared because inference would make the two-digit month a
+    number.
+    """
     extra = ", run_id string, batch_id long" if batches else ""
     ddl = schema if isinstance(schema, str) else _ddl(schema)
     return spark.read.schema(ddl + extra).parquet(path)

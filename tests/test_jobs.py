@@ -134,6 +134,35 @@ def test_backfill_is_bounded_and_repeatable(spark, world):
     assert landed(spark.read.schema(DDL + ", run_id string").parquet(zone)) == FIRST[:2]
 
 
+def test_backfill_by_processing_time_writes_where_it_decodes(spark, world):
+    """Three input files give three output files: no shuffle in between."""
+    add(spark, world, [framed(1, 11)], first=3)
+    add(spark, world, [framed(1, 12)], first=4)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2KB")
+    spark.conf.set("spark.sql.files.openCostInBytes", "2KB")
+    try:
+        log = spark.read.parquet(str(world / "log"))
+        route = sinks.Route(str(world / "zone"), COLUMNS)
+        options = {"schemas": lambda s: registry.read_schema_store(s, str(world / "store"))}
+        jobs.backfill(log, {"eu-live.events.v1": {0: (0, -1)}}, [route], run_id="r", **options)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    rows = spark.read.schema(DDL + ", run_id string").parquet(route.destination)
+    assert len(landed(rows)) == 5
+    assert len(rows.inputFiles()) == 3
+
+
+def test_several_routes_of_one_stream(spark, world):
+    good = sinks.Route(str(world / "good"), COLUMNS, where="decode_error IS NULL")
+    bad = sinks.Route(str(world / "bad"), COLUMNS, ("decode_error",), "decode_error IS NOT NULL")
+    stream = sources.event_stream(spark, "parquet", {"path": str(world / "log")}, MESSAGES)
+    store = {"schemas": lambda s: registry.read_schema_store(s, str(world / "store"))}
+    jobs.ingest(stream, [good, bad], str(world / "c"), NOW, run_id="r", **store).awaitTermination()
+    assert landed(sinks.read_landing(spark, good.destination, DDL, batches=True)) == FIRST[:1]
+    assert landed(sinks.read_landing(spark, bad.destination, DDL, batches=True)) == FIRST[1:]
+
+
 ACK = {
     "type": "record",
     "name": "Ack",

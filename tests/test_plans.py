@@ -55,6 +55,42 @@ def test_a_large_store_is_not_broadcast(spark, frames):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_messages_are_shuffled_before_they_are_decoded(events, frames):
+    steps = plan(
+        transforms.decode_avro(
+            frames, samples.avro_schemas(events), as_of="timestamp", arrange=["year", "month"]
+        )
+    )
+    assert steps.count("Exchange") == 1
+    assert steps.index("ArrowEvalPython") < steps.index("Exchange")
+
+
+def test_an_id_with_most_rows_is_split_by_the_join(spark, tmp_path):
+    """One schema id holds nine rows in ten and the store is joined, not broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    rows = spark.range(0, 100_000, numPartitions=8).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 1000).otherwise(7).cast("string").alias("kafka_metadata_schemaid"),
+        F.sha2(F.col("id").cast("string"), 512).alias("pad"),
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    schemas = spark.range(1000).selectExpr("cast(id as string) schema_id", "'x' body")
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = registry.attach_schema(spark.read.parquet(str(tmp_path / "rows")), schemas)
+        assert len(joined.collect()) == 100_000
+        assert "skew=true" in plan(joined)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 def test_ids_are_deduplicated_before_the_shuffle(frames):
     headed = frames.withColumn("kafka_metadata_schemaid", F.hex("key"))
     steps = [line for line in plan(registry.schema_ids(headed)).splitlines() if "Hash" in line or "Exch" in line]

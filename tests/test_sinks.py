@@ -99,8 +99,11 @@ def landing(spark, path):
     return sinks.read_landing(spark, path, DDL, batches=True)
 
 
-def test_replayed_batch_replaces_itself(spark, tmp_path, source):
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_replayed_batch_replaces_itself(spark, tmp_path, source, mode, request):
     """The job dies after its write; the replay lands under another time."""
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.sources.partitionOverwriteMode"))
     add, stream = source
     zone, checkpoint = str(tmp_path / "zone"), str(tmp_path / "checkpoint")
     route = sinks.Route(zone, COLUMNS, ("year", "month", "ts"))
