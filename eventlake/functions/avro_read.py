@@ -1,6 +1,6 @@
-"""Avro bodies of one Arrow batch, a column at a time.
+"""Reading the Avro bodies of one Arrow batch, a field at a time.
 
-Helper of the Arrow UDFs in :mod:`eventlake.operators.avro`. Reading keeps one
+Helper of the decoding UDFs in :mod:`eventlake.operators.avro`. It keeps one
 cursor per row and moves all cursors over a field together with numpy, so the
 Python cost is per field and batch, not per row and field. A row whose bytes
 run out or make no sense is marked ``bad`` and never raises.
@@ -13,7 +13,6 @@ import datetime as dt
 import decimal
 import math
 from collections.abc import Callable, Sequence
-from itertools import islice
 from json.encoder import encode_basestring_ascii
 
 import numpy as np
@@ -103,43 +102,44 @@ def _spans(cursors: Cursors, rows: np.ndarray, width, make: Callable) -> list:
     return [make(data[a:b]) for a, b in zip(start, stop)]
 
 
-def _guarded(make: Callable) -> Callable:
-    """``make``, with the plain number where it is outside the calendar."""
+def _decimal(schema: dict) -> Callable[[bytes], str]:
+    # Wide enough that moving the point never rounds.
+    exact = decimal.Context(prec=10_000)
+    shift = -schema.get("scale", 0)
 
-    def value(number: int):
+    def text(raw: bytes) -> str:
+        unscaled = decimal.Decimal(int.from_bytes(raw, "big", signed=True))
+        return format(unscaled.scaleb(shift, exact), "f")
+
+    return text
+
+
+def _since(start: dt.datetime, unit: str, part: Callable) -> Callable[[int], str]:
+    def text(count: int) -> str:
         try:
-            return make(number)
-        except (ValueError, OverflowError):
-            return str(number)
+            return part(start + dt.timedelta(**{unit: count})).isoformat()
+        except OverflowError:
+            # Outside the calendar: the plain number.
+            return str(count)
 
-    return value
+    return text
 
 
 def _logical_text(schema: dict) -> Callable | None:
     """How a logical type becomes text, as JSON has no form for it."""
-    match schema.get("logicalType"):
-        case "date":
-            return lambda n: (EPOCH + dt.timedelta(days=n)).date().isoformat()
-        case "time-millis":
-            return lambda n: (EPOCH + dt.timedelta(milliseconds=n)).time().isoformat()
-        case "time-micros":
-            return lambda n: (EPOCH + dt.timedelta(microseconds=n)).time().isoformat()
-        case "timestamp-millis":
-            return lambda n: (UTC_EPOCH + dt.timedelta(milliseconds=n)).isoformat()
-        case "timestamp-micros":
-            return lambda n: (UTC_EPOCH + dt.timedelta(microseconds=n)).isoformat()
-        case "local-timestamp-millis":
-            return lambda n: (EPOCH + dt.timedelta(milliseconds=n)).isoformat()
-        case "local-timestamp-micros":
-            return lambda n: (EPOCH + dt.timedelta(microseconds=n)).isoformat()
-        case "decimal":
-            scale = schema.get("scale", 0)
-            return lambda raw: format(
-                decimal.Decimal(int.from_bytes(raw, "big", signed=True)).scaleb(
-                    -scale, decimal.Context(prec=max(schema.get("precision", 1), 1_000))
-                ),
-                "f",
-            )
+    name = schema.get("logicalType", "")
+    if name == "decimal":
+        return _decimal(schema)
+    if name == "date":
+        return _since(EPOCH, "days", dt.datetime.date)
+    for unit in ("millis", "micros"):
+        step = "milliseconds" if unit == "millis" else "microseconds"
+        if name == f"time-{unit}":
+            return _since(EPOCH, step, dt.datetime.time)
+        if name == f"timestamp-{unit}":
+            return _since(UTC_EPOCH, step, lambda moment: moment)
+        if name == f"local-timestamp-{unit}":
+            return _since(EPOCH, step, lambda moment: moment)
     return None
 
 
@@ -175,8 +175,7 @@ def reader(schema, known: dict[str, Reader] | None = None, space: str | None = N
     if kind in ("int", "long"):
         if text is None:
             return lambda cur, rows: cur.varints(rows).tolist()
-        shown = _guarded(text)
-        return lambda cur, rows: [shown(n) for n in cur.varints(rows).tolist()]
+        return lambda cur, rows: [text(n) for n in cur.varints(rows).tolist()]
     if kind in FLOATS:
         width, dtype = FLOATS[kind]
 
@@ -358,128 +357,3 @@ def text_reader(schema, drop: Sequence[Sequence[str]] = ()) -> Reader:
         return [template % row for row in zip(*tokens)]
 
     return by_column
-
-
-# ---------------------------------------------------------------- writing
-
-
-def varints(numbers: np.ndarray) -> list[bytes]:
-    """Avro int or long of every number."""
-    numbers = numbers.astype(np.int64)
-    left = ((numbers << 1) ^ (numbers >> 63)).view(np.uint64)
-    groups = np.empty((len(left), 10), np.uint8)
-    size = np.ones(len(left), np.int64)
-    for at in range(10):
-        groups[:, at] = left & np.uint64(0x7F)
-        left = left >> np.uint64(7)
-        groups[:, at] |= np.where(left > 0, np.uint8(0x80), np.uint8(0))
-        size += left > 0
-    data = groups.tobytes()
-    return [data[at : at + n] for at, n in zip(range(0, len(data), 10), size.tolist())]
-
-
-def varint(number: int) -> bytes:
-    return varints(np.array([number]))[0]
-
-
-def _sized(bodies: list[bytes]) -> list[bytes]:
-    sizes = varints(np.fromiter(map(len, bodies), np.int64, len(bodies)))
-    return [size + body for size, body in zip(sizes, bodies)]
-
-
-def _column(rows: pa.Array, field: dict) -> pa.Array:
-    """One named child of a struct array or one key of a map array, else its default."""
-    name, default = field["name"], field.get("default")
-    if pa.types.is_map(rows.type):
-        found = [dict(row).get(name, default) for row in rows.to_pylist()]
-        return pa.array(found, rows.type.item_type)
-    at = rows.type.get_field_index(name)
-    return rows.flatten()[at] if at >= 0 else pa.array([default] * len(rows))
-
-
-Writer = Callable[[pa.Array], list[bytes]]
-
-
-def _required(write: Writer) -> Writer:
-    def column(values: pa.Array) -> list[bytes]:
-        if values.null_count:
-            raise ValueError("null value for a field whose schema does not allow null")
-        return write(values)
-
-    return column
-
-
-def _optional_writer(schema: list) -> Writer:
-    some = [branch for branch in schema if branch != "null"]
-    if len(schema) != 2 or len(some) != 1:
-        raise ValueError(f"cannot encode union {to_text(schema)}")
-    null, tag = varint(schema.index("null")), varint(schema.index(some[0]))
-    write = writer(some[0])
-
-    def optional(values: pa.Array) -> list[bytes]:
-        present = iter(write(values.drop_null()))
-        return [tag + next(present) if there else null for there in values.is_valid().to_pylist()]
-
-    return optional
-
-
-def _array_writer(write: Writer) -> Writer:
-    def items(values: pa.Array) -> list[bytes]:
-        bodies = iter(write(values.flatten()))
-        lengths = values.value_lengths()
-        counts = varints(lengths.to_numpy())
-        return [
-            b"".join((count, *islice(bodies, n), b"\0")) if n else b"\0"
-            for count, n in zip(counts, lengths.to_pylist())
-        ]
-
-    return items
-
-
-def _record_writer(fields: list[dict]) -> Writer:
-    writers = [(field, writer(field["type"])) for field in fields]
-
-    def record(values: pa.Array) -> list[bytes]:
-        columns = [write(_column(values, field)) for field, write in writers]
-        return list(map(b"".join, zip(*columns))) if columns else [b""] * len(values)
-
-    return record
-
-
-def writer(schema) -> Writer:
-    """Compile a schema into a function from an Arrow array to one body per row.
-
-    Covers what message payloads are made of: records of primitives, enums,
-    nullable unions, arrays and records of those.
-    """
-    if isinstance(schema, list):
-        return _optional_writer(schema)
-    if isinstance(schema, str):
-        schema = {"type": schema}
-    kind = schema["type"]
-    if isinstance(kind, (list, dict)):
-        return writer(kind)
-    if kind == "null":
-        return lambda values: [b""] * len(values)
-    if kind == "record":
-        return _required(_record_writer(schema["fields"]))
-    if kind == "array":
-        return _required(_array_writer(writer(schema["items"])))
-    if kind in ("int", "long"):
-        return _required(lambda values: varints(values.to_numpy()))
-    if kind in ("string", "bytes"):
-        return _required(lambda values: _sized(values.cast(pa.binary()).to_pylist()))
-    if kind == "boolean":
-        return _required(lambda values: [b"\1" if value else b"\0" for value in values.to_pylist()])
-    if kind == "enum":
-        codes = {symbol: varint(at) for at, symbol in enumerate(schema["symbols"])}
-        return _required(lambda values: [codes[symbol] for symbol in values.to_pylist()])
-    if kind in FLOATS:
-        width, dtype = FLOATS[kind]
-
-        def floats(values: pa.Array) -> list[bytes]:
-            data = values.to_numpy(zero_copy_only=False).astype(dtype).tobytes()
-            return [data[at : at + width] for at in range(0, len(data), width)]
-
-        return _required(floats)
-    raise ValueError(f"cannot encode Avro type {kind!r}")

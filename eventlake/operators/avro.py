@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.functions.avro_batch import Cursors, Reader, read_rows, text_reader, writer
+from eventlake.functions.avro_read import Cursors, Reader, read_rows, text_reader
+from eventlake.functions.avro_write import writer
 from eventlake.functions.digest import payload_base64
 from eventlake.functions.envelope import HEADER_BYTES
 from eventlake.functions.payload import split_paths

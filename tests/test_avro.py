@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from slow_avro import encode, frame
 
 from eventlake import ack, avro, envelope
-from eventlake.functions.avro_batch import Cursors, read_rows, reader, varints, writer
+from eventlake.functions.avro_read import Cursors, read_rows, reader
+from eventlake.functions.avro_write import varints, writer
 
 
 def record(*fields, name="R", **extra):
