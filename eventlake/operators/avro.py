@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +28,8 @@ DECODED = pa.struct([("json", pa.string()), ("error", pa.string())])
 DECODED_DDL = "json string, error string"
 
 
-@lru_cache(maxsize=1024)
-def compiled(body: str, drop: tuple[tuple[str, ...], ...]) -> Reader | None:
-    """Reader of a schema document, once per Python worker; null if it is unusable."""
+def compiled(body: str | None, drop: tuple[tuple[str, ...], ...]) -> Reader | None:
+    """Reader of a schema document, or None where there is no usable one."""
     try:
         return text_reader(json.loads(body), drop)
     except (ValueError, LookupError, TypeError, AttributeError, RecursionError):
@@ -41,13 +39,9 @@ def compiled(body: str, drop: tuple[tuple[str, ...], ...]) -> Reader | None:
 def decode_batch(
     payloads: pa.Array,
     codes: np.ndarray,
-    body_of: Callable[[int], str | None],
-    drop: tuple[tuple[str, ...], ...] = (),
+    read_of: Callable[[int], Reader | None],
 ) -> pa.Array:
-    """Decode one Arrow batch; rows with the same code share a schema.
-
-    A negative code stands for "no schema id in the frame".
-    """
+    """Decode one Arrow batch; rows with the same code share a reader."""
     texts = np.full(len(payloads), None, object)
     errors = np.full(len(payloads), None, object)
     cursors = Cursors(payloads, HEADER_BYTES)
@@ -56,8 +50,7 @@ def decode_batch(
     errors[short] = SHORT_FRAME
     for code in np.unique(codes[present & ~short]).tolist():
         rows = np.flatnonzero(present & ~short & (codes == code))
-        body = body_of(code)
-        read = compiled(body, drop) if body is not None else None
+        read = read_of(code)
         if read is None:
             errors[rows] = UNKNOWN_SCHEMA
             continue
@@ -83,12 +76,17 @@ def _decoded_by_map(
 ) -> Column:
     shared = df.sparkSession.sparkContext.broadcast(bodies)
 
+    readers: dict[int, Reader | None] = {}
+
+    def read_of(schema_id: int) -> Reader | None:
+        # Kept for the batches of a task.
+        if schema_id not in readers:
+            readers[schema_id] = compiled(shared.value.get(str(schema_id)), drop)
+        return readers[schema_id]
+
     @F.arrow_udf(DECODED_DDL)
     def decode_frames(payloads: pa.Array) -> pa.Array:
-        known = shared.value
-        return decode_batch(
-            payloads, frame_ids(payloads), lambda code: known.get(str(code)), drop
-        )
+        return decode_batch(payloads, frame_ids(payloads), read_of)
 
     return decode_frames(F.col("value"))
 
@@ -100,7 +98,7 @@ def _decoded_by_body(drop: tuple[tuple[str, ...], ...]) -> Column:
         texts = encoded.dictionary.to_pylist()
         codes = encoded.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
         return decode_batch(
-            payloads, codes, lambda code: texts[code] if code >= 0 else None, drop
+            payloads, codes, lambda code: compiled(texts[code] if code >= 0 else None, drop)
         )
 
     return decode_frames(F.col("value"), F.col("schema_body"))

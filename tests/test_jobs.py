@@ -1,5 +1,8 @@
 import base64
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from slow_avro import frame
@@ -193,3 +196,22 @@ def test_acknowledgements(spark, tmp_path):
     }
     with pytest.raises(ValueError, match="no schema"):
         jobs.produce_acks(stream, parties, "z", "c", NOW)
+
+
+def test_executors_need_not_have_the_package(tmp_path):
+    """Workers started elsewhere can decode, encode and flatten."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+import __spark_entry__ as contract
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+for name in ("avro_roundtrip", "avro_roundtrip_joined", "flatten_text", "ack_frames"):
+    assert contract.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+    contract.queries()[name](spark, "/root/testdata/sf0.001").collect()
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=300
+    )
+    assert done.returncode == 0, done.stderr[-3000:]
