@@ -11,14 +11,12 @@ from __future__ import annotations
 import base64
 import datetime as dt
 import decimal
-import math
 from collections.abc import Callable, Sequence
-from json.encoder import encode_basestring_ascii
 
 import numpy as np
 import pyarrow as pa
 
-from eventlake.functions.payload import flat_json, to_text
+from eventlake.functions.payload import LEAVES, flat_json, quote
 
 # Byte widths and numpy types of the plain Avro types.
 FLOATS = {"float": (4, "<f4"), "double": (8, "<f8")}
@@ -286,23 +284,8 @@ def _block_reader(item: Reader, new: Callable, add: Callable) -> Reader:
 # ------------------------------------------------------- flat records as text
 
 
-def _float_text(value: float) -> str:
-    return repr(value) if math.isfinite(value) else to_text(value)
-
-
-# How one decoded value becomes JSON text inside a flattened event.
-TOKENS: dict[type, Callable[..., str]] = {
-    str: encode_basestring_ascii,
-    int: repr,
-    float: _float_text,
-    bool: {True: "true", False: "false"}.__getitem__,
-    type(None): lambda _: "null",
-    list: lambda items: encode_basestring_ascii(to_text(items)) if items else "null",
-}
-
-
-def _tokens(values: list) -> list[str]:
-    return [TOKENS[type(value)](value) for value in values]
+def _texts(values: list) -> list[str]:
+    return [LEAVES[type(value)](value) for value in values]
 
 
 def _leaves(schema, known: dict, space: str | None, path: tuple[str, ...] = ()):
@@ -346,14 +329,14 @@ def text_reader(schema, drop: Sequence[Sequence[str]] = ()) -> Reader:
         for at, (path, _) in enumerate(leaves)
         if not any(path[: n + 1] in dropped for n in range(len(path)))
     }
-    names = [to_text(name).replace("%", "%%") for name in shown]
+    names = [quote(name).replace("%", "%%") for name in shown]
     template = "{" + ", ".join(f"{name}: %s" for name in names) + "}"
 
     def by_column(cur: Cursors, rows: np.ndarray) -> list[str]:
         columns = [read(cur, rows) for _, read in leaves]
         if not shown:
             return ["{}"] * len(rows)
-        tokens = [_tokens(columns[at]) for at in shown.values()]
-        return [template % row for row in zip(*tokens)]
+        texts = [_texts(columns[at]) for at in shown.values()]
+        return [template % row for row in zip(*texts)]
 
     return by_column

@@ -9,7 +9,9 @@ function produces; that route is one Arrow-batched UDF (:func:`flatten_text`).
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
+from json.encoder import encode_basestring_ascii
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,12 +19,42 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
 
+from_text = json.JSONDecoder().decode
+
 # JSON text with ", " and ": " between parts and nothing outside ASCII.
 to_text = json.JSONEncoder().encode
+quote = encode_basestring_ascii
+
+
+def _float_text(value: float) -> str:
+    return repr(value) if math.isfinite(value) else to_text(value)
+
+
+SCALARS: dict[type, Callable[..., str]] = {
+    str: quote,
+    int: repr,
+    float: _float_text,
+    bool: {True: "true", False: "false"}.__getitem__,
+    type(None): lambda _: "null",
+}
+
 
+def _list_text(items: list) -> str:
+    """A list as the text of its JSON text; null for an empty one."""
+    if not items:
+        return "null"
+    try:
+        return quote("[" + ", ".join([SCALARS[type(item)](item) for item in items]) + "]")
+    except KeyError:
+        return quote(to_text(items))
 
-def flat_leaves(node: dict, prefix: str = "", into: dict | None = None) -> dict:
-    """Leaves of a nested mapping under ``_``-joined names; lists as JSON text.
+
+# How a leaf of an event becomes JSON text.
+LEAVES = SCALARS | {list: _list_text}
+
+
+def flat_leaves(node: dict, prefix: str = "", into: dict | None = None) -> dict[str, str]:
+    """JSON text of the leaves of a nested mapping, under ``_``-joined names.
 
     Of two leaves with one name the later replaces the earlier in its place.
     """
@@ -31,10 +63,8 @@ def flat_leaves(node: dict, prefix: str = "", into: dict | None = None) -> dict:
         kind = type(child)
         if kind is dict:
             flat_leaves(child, f"{prefix}{key}_" if prefix or key else "", leaves)
-        elif kind is list:
-            leaves[prefix + key] = to_text(child) if child else None
         else:
-            leaves[prefix + key] = child
+            leaves[prefix + key] = LEAVES[kind](child)
     return leaves
 
 
@@ -47,6 +77,14 @@ def without_path(event: dict, path: Sequence[str]) -> None:
         event.pop(last, None)
 
 
+def parsed(raw: bytes) -> object:
+    """Value of JSON bytes in any of the encodings JSON may come in."""
+    if raw[:1] == b"{" and raw[1:2] != b"\0":
+        # Nothing but UTF-8 starts like this, so the detection can be skipped.
+        return from_text(raw.decode("utf-8", "surrogatepass"))
+    return json.loads(raw)
+
+
 def split_paths(paths: Sequence[str]) -> list[list[str]]:
     return [path.split(".") for path in paths]
 
@@ -54,7 +92,8 @@ def split_paths(paths: Sequence[str]) -> list[list[str]]:
 def flat_json(event: dict, paths: Sequence[Sequence[str]] = ()) -> str:
     for path in paths:
         without_path(event, path)
-    return to_text(flat_leaves(event))
+    parts = [f"{quote(name)}: {text}" for name, text in flat_leaves(event).items()]
+    return "{" + ", ".join(parts) + "}"
 
 
 def flatten_text(value: Column, drop: Sequence[str] = ()) -> Column:
@@ -69,7 +108,7 @@ def flatten_text(value: Column, drop: Sequence[str] = ()) -> Column:
         if raw is None:
             return None
         try:
-            event = json.loads(raw)
+            event = parsed(raw)
             return flat_json(event, paths).encode() if isinstance(event, dict) else None
         except (ValueError, RecursionError):
             return None

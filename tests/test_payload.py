@@ -37,6 +37,13 @@ CASES = [
     (None, (), None),
     ("[" * 100_000, (), None),
     (b"\xff\xfe\x00", (), None),
+    ('{"a":1}'.encode("utf-16"), (), '{"a": 1}'),
+    ('{"a":1}'.encode("utf-16-le"), (), '{"a": 1}'),
+    ('{"a":1}'.encode("utf-8-sig"), (), '{"a": 1}'),
+    (b' \n{"a":"\xed\xa0\x80"} ', (), '{"a": "\\ud800"}'),
+    (b'{"a":"\xff"}', (), None),
+    ('{"a":1} x', (), None),
+    ('{"a":NaN,"a":2}', (), '{"a": 2}'),
 ]
 
 
