@@ -415,7 +415,7 @@ def _ack_registry(spark: SparkSession, sf: str) -> DataFrame:
 def ack_stream(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark, "acks")
     samples.ack_results(_events(spark, sf)).write.parquet(f"{folder}/results")
-    results = sources.file_stream(spark, f"{folder}/results", ack.ACK_SCHEMA, max_files=40)
+    results = sources.file_stream(spark, f"{folder}/results", ack.RESULT_DDL, max_files=40)
     query = jobs.produce_acks(
         results,
         _ack_registry(spark, sf),

@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
 
-from_text = json.JSONDecoder().decode
-
 # JSON text with ", " and ": " between parts and nothing outside ASCII.
 to_text = json.JSONEncoder().encode
 quote = encode_basestring_ascii
@@ -81,7 +79,7 @@ def parsed(raw: bytes) -> object:
     """Value of JSON bytes in any of the encodings JSON may come in."""
     if raw[:1] == b"{" and raw[1:2] != b"\0":
         # Nothing but UTF-8 starts like this, so the detection can be skipped.
-        return from_text(raw.decode("utf-8", "surrogatepass"))
+        return json.loads(raw.decode("utf-8", "surrogatepass"))
     return json.loads(raw)
 
 

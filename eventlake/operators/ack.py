@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from eventlake.operators.avro import encode_events
 
 # Declared schema of the result files.
-ACK_SCHEMA = (
+RESULT_DDL = (
     "event_id string, transaction_id string, source_topic string, errors string, "
     "year int, month int, ts long"
 )

@@ -32,7 +32,7 @@ def read_documents(
     )
     path = F.col("_metadata.file_path")
     return files.text(f"{root}/{prefix}", wholetext=True).select(
-        F.regexp_extract(path, f"/{prefix}/(.*)$", 1).alias("subject"),
+        F.regexp_extract(path, f"^.*/{prefix}/(.*)$", 1).alias("subject"),
         F.col("value").alias("body"),
     )
 
@@ -140,10 +140,13 @@ def schema_map(schemas: DataFrame, max_bytes: int = MAX_SCHEMA_BYTES) -> dict[st
     """The store as id -> document, or None when it is larger than ``max_bytes``.
 
     The size is aggregated on the executors first, so nothing unbounded reaches
-    the driver.
+    the driver. The store is read once for both steps.
     """
-    text = F.coalesce(F.octet_length("schema_id") + F.octet_length("body"), F.lit(0))
-    size = schemas.agg(F.coalesce(F.sum(text), F.lit(0)).alias("bytes")).first().bytes
-    if size > max_bytes:
-        return None
-    return {row.schema_id: row.body for row in _one_per_id(schemas).collect()}
+    unique = _one_per_id(schemas).persist()
+    try:
+        text = F.octet_length("schema_id") + F.coalesce(F.octet_length("body"), F.lit(0))
+        if (unique.agg(F.sum(text)).first()[0] or 0) > max_bytes:
+            return None
+        return {row.schema_id: row.body for row in unique.collect()}
+    finally:
+        unique.unpersist()

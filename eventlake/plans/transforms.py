@@ -74,7 +74,7 @@ def decode_json(
     ).drop("flat")
 
 
-def drop_keys_first(
+def decode_avro_dropping(
     df: DataFrame,
     schemas: DataFrame,
     drop: Sequence[str] = (),
@@ -91,5 +91,5 @@ def drop_keys_first(
 TRANSFORMS = {
     "avro": decode_avro,
     "json": decode_json,
-    "avro_drop_select_keys": drop_keys_first,
+    "avro_drop_select_keys": decode_avro_dropping,
 }

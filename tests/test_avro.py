@@ -207,6 +207,20 @@ def test_wide_arrow_types(spark):
         spark.conf.unset("spark.sql.execution.arrow.useLargeVarTypes")
 
 
+@pytest.mark.parametrize("options", [{}, {"max_schema_bytes": 0}])
+def test_streams_decode_through_either_route(spark, tmp_path, options):
+    frames = [(GOOD,), (GOOD[:-1],)]
+    spark.createDataFrame(frames, "value binary").write.parquet(str(tmp_path / "in"))
+    store = spark.createDataFrame([("3", json.dumps(FLAT))], "schema_id string, body string")
+    stream = spark.readStream.schema("value binary").parquet(str(tmp_path / "in"))
+    out = avro.decode_events(envelope.add_header(stream), store, **options)
+    name = f"decoded_{len(options)}"
+    query = out.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
+    query.awaitTermination()
+    errors = [r.decode_error for r in spark.table(name).orderBy("decode_error").collect()]
+    assert errors == [None, "bad_body"]
+
+
 def test_split_errors_keeps_every_row(spark):
     rows = spark.createDataFrame([(GOOD,), (GOOD[:-1],), (None,)], "value binary")
     store = spark.createDataFrame([("3", json.dumps(FLAT))], "schema_id string, body string")

@@ -178,12 +178,12 @@ def test_acknowledgements(spark, tmp_path):
         ("e1", "t1", "eu-events.events.v1", None, 2024, 1, 2024010100),
         ("e2", "t2", "eu-live.events.v1", "late", 2024, 1, 2024010100),
     ]
-    spark.createDataFrame(results, ack.ACK_SCHEMA).write.parquet(str(tmp_path / "results"))
+    spark.createDataFrame(results, ack.RESULT_DDL).write.parquet(str(tmp_path / "results"))
     parties = spark.createDataFrame(
         [("x", "v2.2", "0", 3, "{}"), ("x", "v2.2", "1", 11, json.dumps(ACK)), ("y", "v2.2", "0", 99, "{}")],
         "counterparty string, major_version string, minor_version string, schema_id long, body string",
     )
-    stream = sources.file_stream(spark, str(tmp_path / "results"), ack.ACK_SCHEMA, max_files=1)
+    stream = sources.file_stream(spark, str(tmp_path / "results"), ack.RESULT_DDL, max_files=1)
     sent = str(tmp_path / "sent")
     query = jobs.produce_acks(
         stream, parties, "x", str(tmp_path / "c"), NOW, fmt="parquet", options={"path": sent}
