@@ -126,12 +126,14 @@ def decode_events(
         raise ValueError("decode_events needs the header columns, see envelope.add_header")
     keys = tuple(map(tuple, split_paths(drop)))
     bodies = registry.schema_map(schemas, max_schema_bytes)
-    if bodies is None and not df.isStreaming:
-        bodies = registry.schema_map(registry.schemas_for(df, schemas), max_schema_bytes)
+    if bodies is None:
+        needed = schemas if df.isStreaming else registry.schemas_for(df, schemas)
+        schemas = registry.unique_schemas(needed)
+        bodies = registry.schema_map(schemas, max_schema_bytes)
     if bodies is not None:
         df = df.withColumn("decoded", _decoded_by_map(df, bodies, keys))
     else:
-        joined = registry.attach_schema(df, registry.unique_schemas(schemas))
+        joined = registry.attach_schema(df, schemas)
         df = joined.withColumn("decoded", _decoded_by_body(keys))
 
     marker = F.concat(

@@ -46,12 +46,16 @@ def kafka_options(
     ``client`` holds settings of the Kafka client itself and gets the
     ``kafka.`` prefix; ``connector`` holds settings of the Spark connector.
     """
+
+    def text(value: object) -> str:
+        return str(value).lower() if isinstance(value, bool) else str(value)
+
     options = {"kafka.bootstrap.servers": ",".join(servers)}
     if topics:
         options["subscribe"] = ",".join(topics)
     for name, value in (client or {}).items():
-        options[name if name.startswith("kafka.") else f"kafka.{name}"] = str(value)
-    return options | {name: str(value) for name, value in connector.items()}
+        options[name if name.startswith("kafka.") else f"kafka.{name}"] = text(value)
+    return options | {name: text(value) for name, value in connector.items()}
 
 
 def event_stream(

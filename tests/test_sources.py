@@ -83,7 +83,7 @@ def test_kafka_options():
         "subscribe": "a,b",
         "kafka.compression.type": "gzip",
         "kafka.acks": "all",
-        "failOnDataLoss": "True",
+        "failOnDataLoss": "true",
     }
 
 
@@ -134,7 +134,7 @@ def test_stream_of_files_is_filtered_by_topic(spark, log, tmp_path):
 
 def test_file_stream_takes_so_many_files_per_batch(spark, tmp_path):
     path = str(tmp_path / "files")
-    spark.range(10).repartition(5).write.parquet(path)
+    spark.range(0, 10, numPartitions=5).write.parquet(path)
     stream = sources.file_stream(spark, path, "id long", max_files=2)
     query = stream.writeStream.format("memory").queryName("files").trigger(availableNow=True).start()
     query.awaitTermination()
