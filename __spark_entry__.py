@@ -24,6 +24,12 @@ from eventlake import (
 from eventlake.plans import samples
 from eventlake.scratch import new_folder
 
+try:  # operators on training data; the rest works without them
+    import corpus_pipeline
+    from eventlake.llm import queries as llm
+except ModuleNotFoundError:
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -648,7 +654,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per operator: (spark, folder of the tables) -> DataFrame."""
-    return dict(QUERIES)
+    return QUERIES | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
 TOPIC_SQL = (
@@ -815,5 +821,5 @@ ORACLES["ingest_json"] = ORACLES["ingest_batches"]
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL with the same result for every query."""
-    return dict(ORACLES)
+    """DuckDB SQL with the same result for every query that SQL can express."""
+    return ORACLES | (llm.oracle_sql() if llm else {})
