@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import ngram_join
+from eventlake.llm import binary_records, ngram_join, packing
 from eventlake.llm.store import table
+from eventlake.scratch import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +18,25 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf, "documents"), width=3, percent=90)
 
 
+def op6_binary_records(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark, "records")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    binary_records.write_records(table(spark, sf, "documents"), folder, path, spaces=True, end_id=0)
+    index = binary_records.with_starts(binary_records.build_index(spark, folder))
+    return index.select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "position")
+
+
+def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, sf, "documents"), path, capacity=2048, spaces=False, end_id=0)
+
+
 def queries() -> dict[str, Query]:
-    return {"op2_ngram_jaccard_join": op2_ngram_jaccard_join}
+    return {
+        "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+        "op6_binary_records": op6_binary_records,
+        "op9_best_fit_packing": op9_best_fit_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
