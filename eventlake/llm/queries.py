@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventlake.llm import binary_records, ngram_join, packing
+from eventlake.llm import binary_records, fingerprint, language_id, ngram_join, packing
 from eventlake.llm.store import table
 from eventlake.scratch import new_folder
 
@@ -18,6 +19,22 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf, "documents"), width=3, percent=90)
 
 
+def op4_consistent_sampling(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf, "documents"))
+
+
+def op8_cross_parsing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = language_id.identify(docs, language_id.learn(docs, modulus=4, remainder=2))
+    return found.select(
+        "doc_id",
+        F.coalesce(language_id.held_out(F.col("doc_id"), 4, 2), F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+        "bits_per_char",
+    )
+
+
 def op6_binary_records(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark, "records")
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,7 +51,9 @@ def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+        "op4_consistent_sampling": op4_consistent_sampling,
         "op6_binary_records": op6_binary_records,
+        "op8_cross_parsing": op8_cross_parsing,
         "op9_best_fit_packing": op9_best_fit_packing,
     }
 
