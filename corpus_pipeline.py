@@ -1,18 +1,70 @@
-"""The corpus pipeline: stages over documents, each written and read again by the next."""
+"""The corpus pipeline: five stages over documents, each written and read again by the next.
+
+Stages, in order: language ID, line dedup, n-gram Jaccard join, benchmark
+decontamination, best-fit packing. All but the last return the columns of
+``documents``; packing returns a row per piece.
+
+Nulls, empty texts and repeated rows are handled as the operators say; a null
+``doc_id`` is never decided against by id.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventlake.llm.store import stored, table
+from eventlake.llm import decontaminate, language_id, line_dedup, ngram_join, packing
+from eventlake.llm.store import stored, table, without
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
-# The stages are not expressible in SQL; tests hold them against brute force.
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; the others (null, or without a letter) go."""
+    samples = language_id.learn(docs, modulus=4, remainder=2)
+    found = language_id.identify(docs, samples, keep=tuple(docs.columns))
+    return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that occur, or nearly occur, earlier; a document left without any line goes."""
+    found = line_dedup.dedup_lines(docs)
+    left = found.where("n_lines > n_dropped or text is null")
+    counted = left.withColumn("n_chars", F.char_length("text").cast("long"))
+    return counted.select(*docs.columns)
+
+
+def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one of the smallest id."""
+    groups = ngram_join.ngram_components(docs, width=5, percent=80)
+    copies = groups.where("component_id <> doc_id").select("doc_id")
+    return without(docs, copies)
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return without(docs, found.select("doc_id"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens, a row per piece."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(docs, path, capacity=2048, spaces=False, end_id=0)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language ID", identify_language),
+    ("line dedup", dedup_lines),
+    ("n-gram Jaccard join", join_ngrams),
+    ("benchmark decontamination", decontaminate_benchmark),
+    ("best-fit packing", pack),
+]
+
+# SQL has no suffix automata, subwords or packing; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
@@ -22,5 +74,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for at, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if at < len(STAGES) - 1:
-            docs = stored(docs, f"stage-{name.replace(' ', '-')}")
+            docs = stored(docs, name.replace(" ", "-"))
     return docs

@@ -83,11 +83,10 @@ def unframe(data: memoryview, position: int) -> tuple[int | None, np.ndarray, in
 
 def _frames(path: str, spaces: bool, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names = batch.column("doc_id").to_pylist()
-        width, ids = encoded(path, spaces, batch.column("text"))
-        end = end_id.to_bytes(width, "little")
-        out = [frame(name, x + end, width) for name, x in zip(names, ids)]
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
+        for part, width, ids in encoded(path, spaces, batch):
+            end = end_id.to_bytes(width, "little")
+            out = [frame(name, x + end, width) for name, x in zip(part.column("doc_id").to_pylist(), ids)]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
 
 
 def write_records(docs: DataFrame, folder: str, path: str, spaces: bool = True, end_id: int = 0) -> None:

@@ -168,20 +168,18 @@ def _pieces(path: str, spaces: bool, end_id: int, capacity: int, batches) -> Ite
     """Rows of ``PIECES``: documents beyond the capacity are cut into full pieces and a rest."""
     part = TaskContext.get().partitionId()
     ranks: Counter = Counter()
+    names = [c.split()[0] for c in PIECES.split(", ")]
+    kinds = [pa.int32() if c.endswith(" int") else pa.int64() for c in PIECES.split(", ")]
     for batch in batches:
-        rows = []
-        width, texts = encoded(path, spaces, batch.column("text"))
-        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), texts):
-            ids = np.frombuffer(ids, dtype=f"<u{width}").astype("<u4")
-            ids = np.append(ids, np.uint32(end_id))
-            for piece, start in enumerate(range(0, len(ids), capacity)):
-                cut = ids[start : start + capacity]
-                rows.append((doc_id, piece, start, len(cut), zlib.crc32(cut.tobytes()), part, ranks[len(cut)]))
-                ranks[len(cut)] += 1
-        if rows:
-            kinds = [pa.int32() if c.endswith(" int") else pa.int64() for c in PIECES.split(", ")]
-            columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)]
-            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in PIECES.split(", ")])
+        for docs, width, texts in encoded(path, spaces, batch):
+            rows = []
+            for doc_id, ids in zip(docs.column("doc_id").to_pylist(), texts):
+                ids = np.append(np.frombuffer(ids, dtype=f"<u{width}").astype("<u4"), np.uint32(end_id))
+                for piece, start in enumerate(range(0, len(ids), capacity)):
+                    cut = ids[start : start + capacity]
+                    rows.append((doc_id, piece, start, len(cut), zlib.crc32(cut.tobytes()), part, ranks[len(cut)]))
+                    ranks[len(cut)] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names)
 
 
 def pack(

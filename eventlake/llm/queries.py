@@ -8,21 +8,56 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import binary_records, fingerprint, language_id, ngram_join, packing
+from eventlake.llm import (
+    attention_lm,
+    binary_records,
+    decontaminate,
+    fingerprint,
+    language_id,
+    license_scan,
+    line_dedup,
+    ngram_join,
+    packing,
+    quality,
+)
 from eventlake.llm.store import table
 from eventlake.scratch import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ordinal_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    grade = quality.grade_of(F.col("quality"), F.col("toxic"))
+    ratings = labels.select(F.col("doc_id").cast("long").alias("doc_id"), grade.alias("grade"))
+    weights, thresholds = quality.fit(docs, ratings, grades=3)
+    good = F.element_at("tails", 2)
+    return quality.score(docs, weights, thresholds).select(
+        "doc_id", "expected_grade", good.alias("p_good"), (good >= 0.5).alias("keep")
+    )
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf, "documents"), width=3, percent=90)
 
 
+def op3_template_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op4_consistent_sampling(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf, "documents"))
+
+
+def op7_attention_lm(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return attention_lm.score(table(spark, sf, "documents"), path, vocabulary_size=50_257)
+
+
 def op8_cross_parsing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     found = language_id.identify(docs, language_id.learn(docs, modulus=4, remainder=2))
@@ -48,13 +83,25 @@ def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), path, capacity=2048, spaces=False, end_id=0)
 
 
+def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_ordinal_quality": op1_ordinal_quality,
         "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+        "op3_template_decontamination": op3_template_decontamination,
         "op4_consistent_sampling": op4_consistent_sampling,
+        "op5_license_scan": op5_license_scan,
         "op6_binary_records": op6_binary_records,
+        "op7_attention_lm": op7_attention_lm,
         "op8_cross_parsing": op8_cross_parsing,
         "op9_best_fit_packing": op9_best_fit_packing,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 

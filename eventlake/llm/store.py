@@ -21,6 +21,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Ids that are few enough to be broadcast.
+BROADCAST_IDS = 500_000
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` but for rows of these ``doc_id``; a null id never matches."""
+    ids = stored(ids.select(F.col("doc_id").cast("long").alias("_out_id")).where("_out_id is not null").distinct(), "ids")
+    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.join(side, docs["doc_id"].cast("long") == side["_out_id"], "left_anti")
+
+
 class Forest:
     """Union-find over small integers; the root of a tree is its smallest member."""
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +19,11 @@ import pyarrow as pa
 from eventlake.llm.worker import kept
 
 # Words of a generation. A worker remembers two: words met again move to the new one.
-REMEMBERED = 400_000
-# Text that is split into words at a time.
-SLICE_CHARS = 1 << 19
+REMEMBERED = 250_000
+# Rows that are encoded at a time.
+PART_ROWS = 1000
+# Text that is split into words at a time, and that the library gets at a time.
+SLICE_CHARS, CALL_CHARS = 1 << 19, 4000
 
 # Words that are one run of letters and one of marks: pre-tokens of their own.
 WORD_AND_MARKS = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?|)]*)")
@@ -30,7 +33,7 @@ class Encoder:
     """Ids of texts as little-endian bytes, ``width`` bytes per id.
 
     ``spaces``: the vocabulary keeps white space as part of the next word;
-    otherwise it drops it.
+    otherwise it drops it and marks the ends of words.
     """
 
     def __init__(self, path: str, spaces: bool):
@@ -41,17 +44,41 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaces = spaces
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = 2 if len(vocabulary) <= 1 << 16 else 4
+        self.kind = np.dtype(f"<u{self.width}")
+        # Ids that begin a word after a space, or that end a word.
+        self.edge = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.edge[[i for t, i in vocabulary.items() if (t.startswith("Ġ") if spaces else t.endswith("</w>"))]] = True
         self.words: dict[str, bytes | None] = {}
         self.old: dict[str, bytes | None] = {}
-        self.parts: dict[str, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        self.others: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
-        return [
-            np.array(e.ids, dtype=kind).tobytes()
-            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype=self.kind).tobytes() for e in found]
+
+    def _runs(self, runs: list[str]) -> list[bytes]:
+        """Ids of runs of letters, each one pre-token, encoded many to a call.
+
+        Runs after a space are told apart by the ids that begin with it, in the
+        other vocabulary by the ids that end a word.
+        """
+        calls, last, size = [], 0, 0
+        for at, run in enumerate(runs):
+            size += len(run) + 1
+            if size > CALL_CHARS or at == len(runs) - 1:
+                calls.append(("" if self.spaces else " ").join(runs[last : at + 1]))
+                last, size = at + 1, 0
+        found = self.tokenizer.encode_batch_fast(calls, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, dtype=self.kind) for e in found] or [np.zeros(0, self.kind)])
+        edges = np.flatnonzero(self.edge[ids])
+        edges = np.append(edges, len(ids)) if self.spaces else np.append(0, edges + 1)
+        if len(edges) != len(runs) + 1:
+            return self._whole(runs)
+        data, cuts = ids.tobytes(), (edges * self.width).tolist()
+        return [data[low:high] for low, high in zip(cuts, cuts[1:])]
 
     def _split(self, text: str) -> list[str]:
         """Words; a leading tab marks the first of a text, a line break the first of a line."""
@@ -59,38 +86,43 @@ class Encoder:
             return ("\t" + text.replace("\n", " \n")).split(" ")
         return text.replace("\n", " ").split(" ")
 
-    def _pieces(self, word: str) -> list[str] | None:
-        """Parts of a new word that the library encodes; None if it needs its surroundings."""
-        if not self.spaces:
-            lead, body = "", word
-            if not body:
-                return []
-        elif word[:1] in ("\t", "\n"):
+    def _pieces(self, word: str) -> tuple[str, ...] | None:
+        """Texts whose ids make up those of a new word; None if it needs its surroundings."""
+        lead, body = " " if self.spaces else "", word
+        if self.spaces and word[:1] in ("\t", "\n"):
             lead, body = word[0].strip("\t"), word[1:]
-        else:
-            lead, body = " ", word
-        if not body or not body.isprintable() or "<|" in body:
-            return None
-        pieces = [lead] if lead == "\n" else []
-        start = lead if lead == " " else ""
         simple = WORD_AND_MARKS.fullmatch(body)
         if simple:
-            letters = simple[1] if self.spaces or not simple[1].isascii() else simple[1].lower()
-            return [*pieces, start + letters, *([simple[2]] if simple[2] else [])]
-        return [*pieces, start + body]
+            run, marks = simple.groups()
+            if not self.spaces:
+                return (run.lower() if run.isascii() else run, marks)
+            return (" " + run, marks) if lead == " " else (lead, run, marks)
+        if not body:
+            return None if self.spaces else ()
+        if not body.isprintable() or "<|" in body:
+            return None
+        return (" " + body,) if lead == " " else (lead, body)
 
     def _learn(self, new: set[str]) -> None:
-        if len(self.parts) > REMEMBERED // 2:
-            self.parts.clear()
+        for known in (self.letters, self.others):
+            if len(known) > REMEMBERED // 2:
+                known.clear()
         pieces = {word: self._pieces(word) for word in new}
-        missing = list({p for found in pieces.values() if found for p in found} - self.parts.keys())
-        self.parts.update(zip(missing, self._whole(missing)))
-        parts = self.parts
+        every = {p for found in pieces.values() if found for p in found} - self.letters.keys() - self.others.keys()
+        run = re.compile((" " if self.spaces else "") + "[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
+        runs = [p for p in every if run(p)]
+        rest = list(every.difference(runs))
+        self.letters.update(zip(runs, self._runs(runs)))
+        self.others.update(zip(rest, self._whole(rest)))
+        letters, others, words = self.letters, self.others, self.words
         for word, found in pieces.items():
-            self.words[word] = None if found is None else b"".join([parts[p] for p in found])
+            if found is None:
+                words[word] = None
+            else:
+                words[word] = b"".join([letters[p] if p in letters else others[p] for p in found])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = []
+        out: list[bytes] = []
         at = 0
         while at < len(texts):
             chars, last = 0, at
@@ -121,7 +153,9 @@ def encoder(path: str, spaces: bool) -> Encoder:
     return kept(("encoder", path, spaces), lambda: Encoder(path, spaces))
 
 
-def encoded(path: str, spaces: bool, texts: pa.Array) -> tuple[int, list[bytes]]:
-    """(bytes per id, ids of each text); null texts are empty."""
+def encoded(path: str, spaces: bool, batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, int, list[bytes]]]:
+    """Parts of a batch with (bytes per id, ids of each ``text``); null texts are empty."""
     found = encoder(path, spaces)
-    return found.width, found.encode(texts.fill_null("").to_pylist())
+    for at in range(0, batch.num_rows, PART_ROWS):
+        part = batch.slice(at, PART_ROWS)
+        yield part, found.width, found.encode(part.column("text").fill_null("").to_pylist())
