@@ -1,10 +1,12 @@
 """Subword ids of whole texts from public vocabulary files.
 
 Both encoders give exactly the ids of ``Tokenizer.encode(text)``. They remember
-the ids of words: a space or a line break between two printable characters always
-ends a pre-token, so the words around it are encoded on their own, each new one
-by the tokenizers library. A text with other white space, unprintable characters
-or the mark of special tokens goes through the library as a whole.
+the ids of words by a hash: a space or a line break between two other characters
+always ends a pre-token, and so does the place between a letter and a comma or
+full stop that ends a word. Words are hashed and looked up by numpy, and the
+tokenizers library encodes each new one. A text that could be cut otherwise (other
+white space, two spaces, control characters, rarer scripts, the mark of special
+tokens) goes through the library as a whole.
 """
 
 from __future__ import annotations
@@ -16,24 +18,31 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from eventlake.llm import words
 from eventlake.llm.worker import kept
 
-# Words of a generation. A worker remembers two: words met again move to the new one.
-REMEMBERED = 250_000
-# Rows that are encoded at a time.
-PART_ROWS = 1000
-# Text that is split into words at a time, and that the library gets at a time.
-SLICE_CHARS, CALL_CHARS = 1 << 19, 4000
+# Words that a worker remembers; beyond it starts anew.
+REMEMBERED = 2_000_000
+# Rows that are encoded at a time, and text that the library gets in a call.
+PART_ROWS, CALL_CHARS = 1000, 4000
 
-# Words that are one run of letters and one of marks: pre-tokens of their own.
-WORD_AND_MARKS = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?|)]*)")
+BREAKS = words.separators((0x20, 0x20), (0x0A, 0x0A))
+# What a word follows: nothing, a space, a line break; or it is a mark behind a word.
+FIRST, SPACED, BROKEN, MARK = range(4)
+
+
+def _plain_bytes() -> np.ndarray:
+    """Bytes of texts that are cut into words: ASCII and scripts of two bytes from U+00C0 on."""
+    plain = np.zeros(256, dtype=bool)
+    plain[0x20:0x7F] = plain[0x80:0xC0] = plain[0xC3:0xE0] = plain[0x0A] = True
+    return plain
 
 
 class Encoder:
     """Ids of texts as little-endian bytes, ``width`` bytes per id.
 
     ``spaces``: the vocabulary keeps white space as part of the next word;
-    otherwise it drops it and marks the ends of words.
+    otherwise it drops it, lower-cases, and marks the ends of words.
     """
 
     def __init__(self, path: str, spaces: bool):
@@ -50,16 +59,23 @@ class Encoder:
         # Ids that begin a word after a space, or that end a word.
         self.edge = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.edge[[i for t, i in vocabulary.items() if (t.startswith("Ġ") if spaces else t.endswith("</w>"))]] = True
-        self.words: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
-        self.letters: dict[str, bytes] = {}
-        self.others: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
+        self.run = re.compile((" " if spaces else "") + "[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
+        self.plain = _plain_bytes()
+        self._forget()
+
+    def _forget(self) -> None:
+        """Remembered words: sorted hashes, where their ids begin in ``ids``, and how many they are."""
+        self.keys = np.zeros(0, dtype=np.uint64)
+        self.first = np.zeros(0, dtype=np.int64)
+        self.count = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(1 << 16, dtype=self.kind)
+        self.used = 0
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in found]
+        return [np.array(e.ids, dtype=self.kind) for e in found]
 
-    def _runs(self, runs: list[str]) -> list[bytes]:
+    def _runs(self, runs: list[str]) -> list[np.ndarray]:
         """Ids of runs of letters, each one pre-token, encoded many to a call.
 
         Runs after a space are told apart by the ids that begin with it, in the
@@ -71,80 +87,103 @@ class Encoder:
             if size > CALL_CHARS or at == len(runs) - 1:
                 calls.append(("" if self.spaces else " ").join(runs[last : at + 1]))
                 last, size = at + 1, 0
-        found = self.tokenizer.encode_batch_fast(calls, add_special_tokens=False)
-        ids = np.concatenate([np.array(e.ids, dtype=self.kind) for e in found] or [np.zeros(0, self.kind)])
+        ids = np.concatenate(self._whole(calls) or [np.zeros(0, self.kind)])
         edges = np.flatnonzero(self.edge[ids])
-        edges = np.append(edges, len(ids)) if self.spaces else np.append(0, edges + 1)
-        if len(edges) != len(runs) + 1:
+        edges = edges[1:] if self.spaces else edges[:-1] + 1
+        if len(edges) + 1 != len(runs):
             return self._whole(runs)
-        data, cuts = ids.tobytes(), (edges * self.width).tolist()
-        return [data[low:high] for low, high in zip(cuts, cuts[1:])]
-
-    def _split(self, text: str) -> list[str]:
-        """Words; a leading tab marks the first of a text, a line break the first of a line."""
+        return np.split(ids, edges)
+
+    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
+        """Adds new words, given by their hashes and what the library is to encode."""
+        runs = [at for at, text in enumerate(texts) if self.run(text)]
+        others = sorted(set(range(len(texts))).difference(runs))
+        found: list[np.ndarray] = [None] * len(texts)  # type: ignore[list-item]
+        for at, ids in zip(runs, self._runs([texts[at] for at in runs]) if runs else []):
+            found[at] = ids
+        for at, ids in zip(others, self._whole([texts[at] for at in others])):
+            found[at] = ids
+        count = np.array([len(ids) for ids in found], dtype=np.int64)
+        total = self.used + int(count.sum())
+        if total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(total, len(self.ids)), self.kind)])
+        self.ids[self.used : total] = np.concatenate(found)
+        first = self.used + np.cumsum(count) - count
+        self.used = total
+        all_keys = np.concatenate([self.keys, keys])
+        order = np.argsort(all_keys, kind="stable")
+        self.keys = all_keys[order]
+        self.first = np.concatenate([self.first, first])[order]
+        self.count = np.concatenate([self.count, count])[order]
+
+    def _regular(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which texts of a slice are cut into words."""
+        bad = ~self.plain[data]
+        bad[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+        low, high = offsets[:-1], offsets[1:]
+        there = high > low
+        edge = np.zeros(len(low), dtype=bool)
+        if self.spaces:
+            breaks = BREAKS[data]
+            bad[1:] |= breaks[1:] & breaks[:-1]
+            edge[there] = breaks[low[there]] | breaks[high[there] - 1]
+        sums = np.concatenate([[0], np.cumsum(bad)])
+        return (sums[high] == sums[low]) & ~edge
+
+    def _slice(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        starts, ends, bounds = words.word_spans(data, offsets, BREAKS)
+        last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
+        letter = (before >= 65) & (before <= 90) | (before >= 97) & (before <= 122)
+        marked = ((last == ord(",")) | (last == ord("."))) & letter & (ends - starts > 1)
+        kinds = np.full(len(starts), SPACED, dtype=np.int64)
         if self.spaces:
-            return ("\t" + text.replace("\n", " \n")).split(" ")
-        return text.replace("\n", " ").split(" ")
-
-    def _pieces(self, word: str) -> tuple[str, ...] | None:
-        """Texts whose ids make up those of a new word; None if it needs its surroundings."""
-        lead, body = " " if self.spaces else "", word
-        if self.spaces and word[:1] in ("\t", "\n"):
-            lead, body = word[0].strip("\t"), word[1:]
-        simple = WORD_AND_MARKS.fullmatch(body)
-        if simple:
-            run, marks = simple.groups()
-            if not self.spaces:
-                return (run.lower() if run.isascii() else run, marks)
-            return (" " + run, marks) if lead == " " else (lead, run, marks)
-        if not body:
-            return None if self.spaces else ()
-        if not body.isprintable() or "<|" in body:
-            return None
-        return (" " + body,) if lead == " " else (lead, body)
-
-    def _learn(self, new: set[str]) -> None:
-        for known in (self.letters, self.others):
-            if len(known) > REMEMBERED // 2:
-                known.clear()
-        pieces = {word: self._pieces(word) for word in new}
-        every = {p for found in pieces.values() if found for p in found} - self.letters.keys() - self.others.keys()
-        run = re.compile((" " if self.spaces else "") + "[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
-        runs = [p for p in every if run(p)]
-        rest = list(every.difference(runs))
-        self.letters.update(zip(runs, self._runs(runs)))
-        self.others.update(zip(rest, self._whole(rest)))
-        letters, others, words = self.letters, self.others, self.words
-        for word, found in pieces.items():
-            if found is None:
-                words[word] = None
-            else:
-                words[word] = b"".join([letters[p] if p in letters else others[p] for p in found])
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+            kinds[data[starts - 1] == 0x0A] = BROKEN
+            heads = bounds[:-1][np.diff(bounds) > 0]
+            kinds[heads] = FIRST
+        # Words and the marks behind them, in order.
+        place = np.arange(len(starts)) + np.cumsum(marked) - marked
+        size = len(starts) + int(marked.sum())
+        low, high, kind = (np.zeros(size, dtype=np.int64) for _ in range(3))
+        low[place], high[place], kind[place] = starts, ends - marked, kinds
+        marks = place[marked] + 1
+        low[marks], high[marks], kind[marks] = ends[marked] - 1, ends[marked], MARK
+        keys = words.mix(words.span_hashes(data, low, high, fold=not self.spaces) + kind.astype(np.uint64))
+        unique, example, back = np.unique(keys, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, unique)
+        new = np.ones(len(unique), dtype=bool)
+        near = at < len(self.keys)
+        new[near] = self.keys[at[near]] != unique[near]
+        if new.any():
+            if len(self.keys) + new.sum() > REMEMBERED:
+                self._forget()
+                new[:] = True
+            lead = ("", " ", "\n", "") if self.spaces else ("", "", "", "")
+            raw = data.tobytes()
+            texts = [
+                lead[k] + raw[x:y].decode("utf-8", "replace")
+                for x, y, k in zip(*(a[example[new]].tolist() for a in (low, high, kind)))
+            ]
+            self._learn(unique[new], texts)
+            at = np.searchsorted(self.keys, unique)
+        count = self.count[at][back]
+        first = self.first[at][back]
+        ends_at = np.cumsum(count)
+        ids = self.ids[np.repeat(first - ends_at + count, count) + np.arange(ends_at[-1] if size else 0)]
+        ends_at = np.concatenate([[0], ends_at])
+        words_before = np.concatenate([place, [size]])[bounds]
+        cuts = (ends_at[words_before] * self.width).tolist()
+        out = ids.tobytes()
+        return [out[x:y] for x, y in zip(cuts, cuts[1:])]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text; null texts are empty."""
         out: list[bytes] = []
-        at = 0
-        while at < len(texts):
-            chars, last = 0, at
-            while last < len(texts) and (last == at or chars + len(texts[last]) <= SLICE_CHARS):
-                chars += len(texts[last])
-                last += 1
-            split = [self._split(text) if text else [] for text in texts[at:last]]
-            needed = set().union(*split)
-            new = needed - self.words.keys()
-            if new:
-                if len(self.words) + len(new) > REMEMBERED:
-                    self.old, self.words, new = self.words, {}, needed
-                again = new & self.old.keys()
-                self.words.update([(word, self.old[word]) for word in again])
-                self._learn(new - again)
-            get = self.words.__getitem__
-            for text, found in zip(texts[at:last], split):
-                try:
-                    out.append(b"".join(map(get, found)))
-                except TypeError:
-                    out.append(self._whole([text])[0])
-            at = last
+        for first, data, offsets in words.slices(texts):
+            found = self._slice(data, offsets)
+            for row in np.flatnonzero(~self._regular(data, offsets)).tolist():
+                text = data[offsets[row] : offsets[row + 1]].tobytes().decode("utf-8", "replace")
+                found[row] = self._whole([text])[0].tobytes()
+            out += found
         return out
 
 
@@ -158,4 +197,4 @@ def encoded(path: str, spaces: bool, batch: pa.RecordBatch) -> Iterator[tuple[pa
     found = encoder(path, spaces)
     for at in range(0, batch.num_rows, PART_ROWS):
         part = batch.slice(at, PART_ROWS)
-        yield part, found.width, found.encode(part.column("text").fill_null("").to_pylist())
+        yield part, found.width, found.encode(part.column("text"))

@@ -42,10 +42,11 @@ def separators(*ranges: tuple[int, int]) -> np.ndarray:
 WHITE_SPACE = separators((0x20, 0x20), (0x09, 0x0D))
 
 
-def _letters() -> np.ndarray:
-    """One 64-bit value per byte; upper and lower case share theirs."""
+def _letters(fold: bool) -> np.ndarray:
+    """One 64-bit value per byte; with ``fold`` upper and lower case share theirs."""
     table = mix((np.arange(1, 257, dtype=np.uint64)) * _ODD)
-    table[ord("A") : ord("Z") + 1] = table[ord("a") : ord("z") + 1]
+    if fold:
+        table[ord("A") : ord("Z") + 1] = table[ord("a") : ord("z") + 1]
     return table
 
 
@@ -82,8 +83,8 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         first = last
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = WHITE_SPACE):
-    """(hashes of all words, number of words before each row and in total, starts, ends)."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = WHITE_SPACE):
+    """(starts, ends, number of words before each row and in total)."""
     size = len(data)
     inside = np.zeros(size + 1, dtype=bool)
     np.logical_not(separator[data], out=inside[:size])
@@ -96,14 +97,24 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = W
     closes = inside[:size] & ~inside[1:]
     before = edges[edges > 0] - 1
     closes[before] = inside[before]
-    ends = np.flatnonzero(closes) + 1
+    return starts, np.flatnonzero(closes) + 1, np.searchsorted(starts, offsets)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """Hashes of byte spans; ``fold`` makes upper and lower case alike."""
+    size = len(data)
     length = max(SLICE_BYTES, 1 << int(size).bit_length())
     # Tables for one very long text are not kept.
     up, down = kept("powers", lambda: _powers(SLICE_BYTES)) if length == SLICE_BYTES else _powers(length)
     sums = np.zeros(size + 1, dtype=np.uint64)
-    np.cumsum(kept("letters", _letters)[data] * up[:size], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _ODD)
-    return hashes, np.searchsorted(starts, offsets), starts, ends
+    np.cumsum(kept(("letters", fold), lambda: _letters(fold))[data] * up[:size], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _ODD)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = WHITE_SPACE):
+    """(hashes of all words, number of words before each row and in total, starts, ends)."""
+    starts, ends, bounds = word_spans(data, offsets, separator)
+    return span_hashes(data, starts, ends), bounds, starts, ends
 
 
 def shingle_hashes(hashes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
