@@ -141,12 +141,14 @@ def walk_table(text: np.ndarray) -> np.ndarray:
     A symbol unknown at the start is a phrase of its own.
     """
     following = suffix_automaton(text.tolist())
-    table = np.full((len(following), SYMBOLS), -1, dtype=np.int32)
+    unknown = len(following)  # the state behind a symbol that the start does not know
+    table = np.full((unknown + 1, SYMBOLS), -1, dtype=np.int32)
     for state, steps in enumerate(following):
         for symbol, target in steps.items():
             table[state, symbol] = 2 * target
-    restart = np.where(table[0] < 0, 1, table[0] | 1)
-    table = np.where(table < 0, restart[None, :], table)
+    begin = np.where(table[0] < 0, 2 * unknown, table[0])
+    table = np.where(table < 0, (begin | 1)[None, :], table)
+    table[0] = begin
     return np.ascontiguousarray(table)
 
 

@@ -1,0 +1,236 @@
+"""Fingerprints, binary records, packing, subwords and the pipeline."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from eventlake.llm import binary_records, fingerprint, ngram_join, packing, subwords
+from eventlake.scratch import new_folder
+
+BYTES, WORDS = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+
+ODD_TEXTS = [
+    "", " ", "a  b", "\n\na", "a\n", "tab\tb c", "é à Ångström, naïve!! x'y don't we'll", "<|endoftext|> a",
+    "a <|startoftext|>b", " lead", "trail ", "áb c d", "x y", "ΑΣ ΟΔΟΣ, İstanbul", "\x1ca b", "1234 5,6. (a) |b|",
+    "中文 字符", "aǅ ǆ, Ω", "a, b. c., d.. é, 1, -, ,", "line one.\nLine two,\nx", "­ ́ é e", "😀 ok",
+]
+
+
+@pytest.mark.parametrize(("path", "spaces"), [(BYTES, True), (WORDS, False)])
+def test_ids_are_those_of_the_library(documents, path, spaces):
+    texts = [r.text for r in documents.collect()] + ODD_TEXTS
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    expected = [np.array(e.ids, "<u2").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    encoder = subwords.Encoder(path, spaces)
+    assert encoder.encode(pa.array(texts)) == expected
+    assert encoder.encode(pa.array([None])) == [b""]
+
+
+def test_forgetting_words_changes_nothing(documents, monkeypatch):
+    monkeypatch.setattr(subwords, "REMEMBERED", 500)
+    texts = [r.text for r in documents.limit(40).collect()]
+    small = subwords.Encoder(BYTES, True)
+    assert [small.encode(pa.array([t]))[0] for t in texts] == subwords.Encoder(BYTES, True).encode(pa.array(texts))
+
+
+# ------------------------------------------------------------ fingerprints
+
+
+def expected_rows(rows):
+    """(doc_id, n_chars, digest of the edited text) with followers in order of id, then text."""
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    out = []
+    for (doc_id, text), (_, after) in zip(ordered, ordered[1:] + ordered[:1]):
+        text, quarter = text or "", len(text or "") // 4
+        changed = text[: len(text) - quarter] + (after or "")[:quarter]
+        out.append((doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("size", [1 << 24, 5000])
+def test_fingerprints_of_the_table(documents, edge_docs, no_docs, monkeypatch, size):
+    monkeypatch.setattr(fingerprint, "RANGE_BYTES", size)
+    for docs in (documents, edge_docs, documents.limit(1)):
+        found = fingerprint.fingerprints(docs).collect()
+        rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+        assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in found), key=str) == expected_rows(rows)
+        assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in found)
+    assert fingerprint.fingerprints(no_docs).count() == 0
+
+
+def test_collision_rate_is_generalised_jaccard():
+    rng = np.random.default_rng(1)
+    close = []
+    for trial in range(40):
+        terms = rng.integers(1, 1 << 62, 200).astype(np.uint64)
+        x, y = rng.integers(0, 6, 200), rng.integers(0, 6, 200)
+        y = np.where(rng.random(200) < trial / 40, x, y)
+        rate = np.minimum(x, y).sum() / np.maximum(x, y).sum()
+        a, b = (fingerprint.signature(terms[v > 0], v[v > 0]) for v in (x, y))
+        close.append(fingerprint.likeness(a, b) - rate)
+    assert abs(np.mean(close)) < 0.03 and np.std(close) < 0.1
+
+
+def test_equal_texts_have_equal_fingerprints():
+    a, b, c = fingerprint.signatures(["Some text here", "Some text here", ""])
+    assert fingerprint.as_text(a) == fingerprint.as_text(b) != fingerprint.as_text(c)
+
+
+# ------------------------------------------------------------ binary records
+
+
+def encoded(path, rows):
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return [(d, np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [0], "<u4")) for d, t in rows]
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+
+
+@pytest.mark.parametrize("size", [1 << 25, 20_000])
+def test_records_round_trip(spark, documents, edge_docs, monkeypatch, size):
+    monkeypatch.setattr(binary_records, "SHARD_BYTES", size)
+    for docs in (documents, edge_docs):
+        folder = new_folder(spark, "records")
+        binary_records.write_records(docs, folder, BYTES)
+        index = binary_records.build_index(spark, folder)
+        found = sorted(binary_records.with_starts(index).collect(), key=lambda r: r.start)
+        start = 0
+        expected = encoded(BYTES, in_order([tuple(r) for r in docs.select("doc_id", "text").collect()]))
+        assert len(found) == len(expected)
+        for r, (doc_id, ids) in zip(found, expected):
+            assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (doc_id, start, len(ids), zlib.crc32(ids.tobytes()))
+            start += len(ids)
+        some = index.where("position % 3 = 0").orderBy("length")
+        wanted = Counter((r.doc_id, r.n_tokens) for r in some.collect())
+        read = binary_records.read_records(spark, folder, some).collect()
+        assert Counter((r.doc_id, len(r.ids)) for r in read) == wanted
+
+
+def test_damage_is_noticed(spark, no_docs):
+    good = binary_records.frame(5, b"\1\0\2\0", 2) + b"\n"
+    doc_id, ids, end = binary_records.unframe(memoryview(good), 0)
+    assert (doc_id, ids.tolist(), end) == (5, [1, 2], len(good))
+    for at in range(len(good)):
+        bad = bytearray(good)
+        bad[at] ^= 1
+        with pytest.raises(binary_records.DamagedRecord):
+            binary_records.unframe(memoryview(bytes(bad)), 0)
+    folder = new_folder(spark, "records")
+    binary_records.write_records(no_docs, folder, BYTES)
+    assert binary_records.build_index(spark, folder).count() == 0
+
+
+# ------------------------------------------------------------ packing
+
+
+def sequences(rows, capacity):
+    """Checks that pieces lie gapless in sequences; returns the number of these."""
+    placed = {}
+    for r in rows:
+        placed.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in placed.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(placed)
+
+
+@pytest.mark.parametrize("capacity", [2048, 64])
+def test_pieces_and_places(documents, edge_docs, no_docs, capacity):
+    for docs in (documents, edge_docs):
+        rows = packing.pack(docs, WORDS, capacity=capacity).collect()
+        expected = []
+        for doc_id, ids in encoded(WORDS, [tuple(r) for r in docs.select("doc_id", "text").collect()]):
+            for piece, start in enumerate(range(0, len(ids), capacity)):
+                cut = ids[start : start + capacity]
+                expected.append((doc_id, piece, start, len(cut), zlib.crc32(cut.tobytes())))
+        found = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows]
+        assert sorted(found, key=str) == sorted(expected, key=str)
+        bound = -(-sum(r.length for r in rows) // capacity)
+        assert bound <= sequences(rows, capacity) <= 1.05 * bound + 1
+    assert packing.pack(no_docs, WORDS).count() == 0
+
+
+def fewest(lengths, capacity):
+    """The least number of bins, by trying all."""
+    lengths, best = sorted(lengths, reverse=True), [len(lengths)]
+
+    def place(at, bins):
+        if len(bins) >= best[0]:
+            return
+        if at == len(lengths):
+            best[0] = len(bins)
+            return
+        for b in {free: i for i, free in enumerate(bins)}.values():
+            if bins[b] >= lengths[at]:
+                place(at + 1, [*bins[:b], bins[b] - lengths[at], *bins[b + 1 :]])
+        place(at + 1, [*bins, capacity - lengths[at]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_reduction_keeps_the_optimum():
+    rng = random.Random(3)
+    for _ in range(150):
+        lengths = [rng.randrange(1, 21) for _ in range(rng.randrange(1, 10))]
+        left = Counter(lengths)
+        fixed = packing.reduce_lengths(left, 20)
+        used = Counter()
+        for pattern, times in fixed:
+            assert sum(x * n for x, n in pattern) <= 20
+            used += Counter({x: n * times for x, n in pattern})
+        assert used + left == Counter(lengths)
+        rest = list(left.elements())
+        assert sum(times for _, times in fixed) + (fewest(rest, 20) if rest else 0) == fewest(lengths, 20)
+
+
+def test_plan_covers_every_rank_once():
+    rng = random.Random(8)
+    lengths = {rng.randrange(1, 101): rng.randrange(1, 5000) for _ in range(40)}
+    ranks = {x: 0 for x in lengths}
+    for length, low, high, _, _, _ in packing.plan(lengths, 100):
+        assert low == ranks[length]
+        ranks[length] = high
+    assert ranks == lengths
+
+
+# ------------------------------------------------------------ pipeline
+
+
+def test_stages_of_the_table(spark, documents, sf_dir):
+    columns = documents.columns
+    docs = documents
+    counts = []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, sf_dir).toPandas(), documents.schema)
+        assert docs.columns == columns
+        counts.append(docs.count())
+    assert counts == sorted(counts, reverse=True) and counts[-1] > 0.7 * documents.count()
+    groups = ngram_join.ngram_components(docs, 5, 80)
+    assert groups.where("component_id <> doc_id").count() == 0
+    bench = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    assert not any(text in (r.text or "") for r in docs.collect() for text in bench)
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert packed.select("doc_id").distinct().count() == counts[-1]
+
+
+def test_pipeline_of_edges(spark, edge_docs, no_docs, sf_dir):
+    for docs in (edge_docs, no_docs):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, sf_dir)
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() >= 0
