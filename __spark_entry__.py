@@ -510,7 +510,7 @@ def backfill(spark: SparkSession, sf: str) -> DataFrame:
         run_id="replay",
         schemas=lambda session: samples.avro_schemas(_events(session, sf)),
     )
-    rows = spark.read.schema(LANDED_DDL + ", run_id string").parquet(f"{folder}/landing")
+    rows = spark.read.schema(LANDED_DDL + ", batch string").parquet(f"{folder}/landing")
     return _landed_view(rows)
 
 

@@ -74,6 +74,27 @@ class Cursors:
         return (total >> np.uint64(1)).astype(np.int64) ^ -(total & np.uint64(1)).astype(np.int64)
 
 
+    def varint_run(self, row: int, count: int) -> list[int]:
+        """The next ``count`` varints of one row."""
+        start, end = int(self.pos[row]), int(self.end[row])
+        part = self.bytes[start:end]
+        lasts = np.flatnonzero(part < 0x80)[:count]
+        if len(lasts) < count:
+            self.bad[row], self.pos[row] = True, end
+            return []
+        firsts = np.concatenate([[0], lasts[:-1] + 1])
+        sizes = lasts - firsts + 1
+        if (sizes > 10).any():
+            self.bad[row] = True
+            return []
+        used = part[: lasts[-1] + 1]
+        place = np.arange(len(used)) - np.repeat(firsts, sizes)
+        bits = (used & 0x7F).astype(np.uint64) << (7 * place).astype(np.uint64)
+        total = np.bitwise_or.reduceat(bits, firsts)
+        self.pos[row] = start + len(used)
+        return ((total >> np.uint64(1)).astype(np.int64) ^ -(total & np.uint64(1)).astype(np.int64)).tolist()
+
+
 Reader = Callable[[Cursors, np.ndarray], list]
 
 
@@ -101,13 +122,14 @@ def _spans(cursors: Cursors, rows: np.ndarray, width, make: Callable) -> list:
 
 
 def _decimal(schema: dict) -> Callable[[bytes], str]:
-    # Wide enough that moving the point never rounds.
-    exact = decimal.Context(prec=10_000)
-    shift = -schema.get("scale", 0)
+    scale = schema.get("scale", 0)
 
     def text(raw: bytes) -> str:
-        unscaled = decimal.Decimal(int.from_bytes(raw, "big", signed=True))
-        return format(unscaled.scaleb(shift, exact), "f")
+        # An integer becomes a Decimal with all its digits; the point is put between them.
+        number = decimal.Decimal(int.from_bytes(raw, "big", signed=True))
+        digits = "".join(map(str, number.as_tuple().digits)).zfill(scale + 1)
+        sign = "-" if number < 0 else ""
+        return sign + (f"{digits[:-scale]}.{digits[-scale:]}" if scale > 0 else digits + "0" * -scale)
 
     return text
 
@@ -193,7 +215,9 @@ def reader(schema, known: dict[str, Reader] | None = None, space: str | None = N
     if kind == "bytes":
         return lambda cur, rows: _spans(cur, rows, cur.varints(rows), text or _base64)
     if kind == "array":
-        return _block_reader(reader(schema["items"], known, space), list, list.append)
+        items = schema["items"]
+        run = _number_run(items)
+        return _block_reader(reader(items, known, space), list, list.append, least_bytes(items), run)
     if kind == "map":
         value = reader(schema["values"], known, space)
         key = reader("string")
@@ -201,7 +225,7 @@ def reader(schema, known: dict[str, Reader] | None = None, space: str | None = N
         def pairs(cur: Cursors, rows: np.ndarray) -> list:
             return list(zip(key(cur, rows), value(cur, rows)))
 
-        return _block_reader(pairs, dict, lambda out, pair: out.__setitem__(*pair))
+        return _block_reader(pairs, dict, lambda out, pair: out.__setitem__(*pair), 1)
     if kind == "fixed":
         known[_qualified(schema, space)[0]] = fixed = lambda cur, rows: _spans(
             cur, rows, schema["size"], text or _base64
@@ -252,8 +276,58 @@ def _union_reader(branches: list[Reader]) -> Reader:
     return union
 
 
-def _block_reader(item: Reader, new: Callable, add: Callable) -> Reader:
-    """Arrays and maps: blocks of counted items, ended by a zero count."""
+# Bytes that a value takes at least; what is not listed takes one.
+LEAST_BYTES = {"null": 0, "float": 4, "double": 8}
+
+# Items of no bytes whose JSON text no longer fits into a string.
+MOST_EMPTY_ITEMS = (1 << 31) // len("{}, ")
+
+
+def least_bytes(schema) -> int:
+    """Fewest bytes of an encoded value; nought where that is not known, as for a name."""
+    kind = schema["type"] if isinstance(schema, dict) else schema
+    if isinstance(kind, dict):
+        return least_bytes(kind)
+    if isinstance(kind, list):
+        return 1
+    if kind == "fixed":
+        return schema["size"]
+    if kind in ("record", "error"):
+        return sum(least_bytes(f["type"]) for f in schema["fields"])
+    return LEAST_BYTES.get(kind, 1 if kind in PRIMITIVES | {"array", "map", "enum"} else 0)
+
+
+def _number_run(schema) -> Callable[[Cursors, int, int], list] | None:
+    """Reads many plain integers or floating-point numbers of one row at once, where items are such."""
+    kind = schema["type"] if isinstance(schema, dict) else schema
+    if isinstance(schema, dict) and _logical_text(schema) is not None:
+        return None
+    if kind in ("int", "long"):
+        return Cursors.varint_run
+    if kind in FLOATS:
+        width, dtype = FLOATS[kind]
+
+        def floats(cur: Cursors, row: int, count: int) -> list:
+            at = int(cur.take(np.array([row]), width * count)[0])
+            with np.errstate(invalid="ignore"):
+                return [] if cur.bad[row] else np.frombuffer(cur.data[at : at + width * count], dtype).astype("f8").tolist()
+
+        return floats
+    return None
+
+
+# Items of one row from which a block of numbers is read at once.
+LONG_RUN = 32
+
+
+def _block_reader(
+    item: Reader, new: Callable, add: Callable, least: int, run: Callable[[Cursors, int, int], list] | None = None
+) -> Reader:
+    """Arrays and maps: blocks of counted items, ended by a zero count.
+
+    ``least``: bytes of an item at least. Items that take no bytes are all alike:
+    one of them is read for a block.
+    """
 
     def blocks(cur: Cursors, rows: np.ndarray) -> list:
         out = [new() for _ in rows]
@@ -267,14 +341,26 @@ def _block_reader(item: Reader, new: Callable, add: Callable) -> Reader:
                 if sized.any():
                     cur.varints(rows[opening[sized]])
                     count = np.abs(count)
-                # A count beyond the bytes that remain cannot be honest.
+                # A count beyond what the bytes that remain can hold cannot be honest.
                 room = cur.end[rows[opening]] - cur.pos[rows[opening]]
-                cur.bad[rows[opening[(count < 0) | (count > room)]]] = True
+                most = room // least if least else np.full(len(opening), MOST_EMPTY_ITEMS)
+                cur.bad[rows[opening[(count < 0) | (count > most)]]] = True
                 left[opening] = count
                 live = live[(left[live] > 0) & ~cur.bad[rows[live]]]
-            for at, value in zip(live.tolist(), item(cur, rows[live]) if len(live) else ()):
-                add(out[at], value)
-            left[live] -= 1
+            at_once = live[left[live] >= LONG_RUN] if run is not None else live[:0]
+            for at in at_once.tolist():
+                out[at].extend(run(cur, int(rows[at]), int(left[at])))
+            left[at_once] = 0
+            rest = live[left[live] > 0]
+            before = cur.pos[rows[rest]]
+            values = item(cur, rows[rest]) if len(rest) else ()
+            alike = (cur.pos[rows[rest]] == before) & (least == 0)
+            for at, value, repeated in zip(rest.tolist(), values, alike.tolist()):
+                if repeated:
+                    out[at].extend([value] * int(left[at]))
+                else:
+                    add(out[at], value)
+            left[rest] = np.where(alike, 0, left[rest] - 1)
             live = live[~cur.bad[rows[live]]]
         return out
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlake import sources
@@ -14,6 +15,9 @@ from eventlake.operators import ack, registry
 from eventlake.plans.transforms import TRANSFORMS
 from eventlake.streaming import sinks
 
+# The time of a micro-batch, fixed before it is handed over: a replay has the same.
+AS_OF = "_as_of"
+
 SchemaSource = Callable[[SparkSession], DataFrame]
 
 # Columns known before a message is decoded.
@@ -32,7 +36,7 @@ def _transform(
     schemas: SchemaSource | None,
     drop: Sequence[str],
     as_of: Column | str | None,
-    arrange: Sequence[str] = (),
+    arrange: Sequence[str] | None = None,
 ) -> Callable[[DataFrame], DataFrame]:
     if event_type not in TRANSFORMS:
         raise ValueError(f"unknown event type {event_type!r}, expected one of {[*TRANSFORMS]}")
@@ -46,14 +50,22 @@ def _transform(
     return apply
 
 
-def _arranged(routes: Sequence[sinks.Route]) -> tuple[Sequence[str], Sequence[sinks.Route]]:
+def _arranged(
+    routes: Sequence[sinks.Route], constant: bool
+) -> tuple[Sequence[str] | None, Sequence[sinks.Route]]:
     """Columns to shuffle the undecoded messages by, and the routes that remain to be.
 
-    With one route the shuffle before its write moves to before the decoding.
+    With one route that takes all rows the shuffle before its write moves to
+    before the decoding. ``constant``: all rows share their time, so there is
+    nothing to bring together and the shuffle, without columns, only evens out.
     """
-    if len(routes) == 1 and routes[0].rebalance and set(routes[0].partition) <= ENVELOPE:
-        return routes[0].partition, [replace(routes[0], rebalance=False)]
-    return (), routes
+    if len(routes) != 1 or not routes[0].rebalance or routes[0].where is not None:
+        return None, routes
+    (route,) = routes
+    if not set(route.partition) <= ENVELOPE:
+        return None, routes
+    single = constant and set(route.partition) <= {*envelope.TIME_PARTITIONS}
+    return () if single else route.partition, [replace(route, rebalance=False)]
 
 
 def ingest(
@@ -75,9 +87,11 @@ def ingest(
     for the ``stream`` sink.
     """
     if sink == "batch":
-        arrange, routes = _arranged(routes)
-        transform = _transform(event_type, schemas, drop, as_of, arrange)
-        return sinks.landing_batches(stream, transform, routes, checkpoint, trigger, run_id)
+        arrange, routes = _arranged(routes, constant=as_of is None)
+        transform = _transform(event_type, schemas, drop, AS_OF, arrange)
+        time = F.current_timestamp() if as_of is None else as_of
+        timed = stream.withColumn(AS_OF, F.col(time) if isinstance(time, str) else time)
+        return sinks.landing_batches(timed, transform, routes, checkpoint, trigger, run_id)
     if sink != "stream":
         raise ValueError(f"unknown sink {sink!r}, expected 'batch' or 'stream'")
     if len(routes) != 1:
@@ -112,13 +126,12 @@ def backfill(
             replace(r, rebalance=r.rebalance and not set(r.partition) <= {*envelope.TIME_PARTITIONS})
             for r in routes
         ]
-    arrange, routes = _arranged(routes)
+    arrange, routes = _arranged(routes, constant=False)
     transform = _transform(event_type, schemas, drop, as_of, arrange)
     messages = sources.event_range(source, ranges, fmt, options)
     if messages.isEmpty():
         return False
-    owned = [route.below(f"run_id={run_id}") for route in routes]
-    sinks.fan_out(transform(messages), owned, mode="overwrite")
+    sinks.land(transform(messages), routes, run_id)
     return True
 
 

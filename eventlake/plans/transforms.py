@@ -13,14 +13,14 @@ from eventlake.operators import avro
 BAD_JSON = "bad_json"
 
 
-def _enveloped(df: DataFrame, as_of: Column | str | None, arrange: Sequence[str]) -> DataFrame:
+def _enveloped(df: DataFrame, as_of: Column | str | None, arrange: Sequence[str] | None) -> DataFrame:
     """Envelope columns, and rows of one landing partition brought together.
 
     The shuffle, if any, happens here: undecoded messages are several times
     smaller than landed rows, and evenly sized tasks even out the decoding.
     """
     enveloped = envelope.add_envelope(df, as_of)
-    return enveloped.hint("rebalance", *arrange) if arrange else enveloped
+    return enveloped if arrange is None else enveloped.hint("rebalance", *arrange)
 
 
 def decode_avro(
@@ -28,7 +28,7 @@ def decode_avro(
     schemas: DataFrame,
     drop: Sequence[str] = (),
     as_of: Column | str | None = None,
-    arrange: Sequence[str] = (),
+    arrange: Sequence[str] | None = None,
 ) -> DataFrame:
     """Framed Avro messages to landed rows.
 
@@ -51,7 +51,7 @@ def decode_json(
     schemas: DataFrame | None = None,
     drop: Sequence[str] = (),
     as_of: Column | str | None = None,
-    arrange: Sequence[str] = (),
+    arrange: Sequence[str] | None = None,
 ) -> DataFrame:
     """JSON messages to landed rows; ``schemas`` is not used.
 
@@ -79,7 +79,7 @@ def decode_avro_dropping(
     schemas: DataFrame,
     drop: Sequence[str] = (),
     as_of: Column | str | None = None,
-    arrange: Sequence[str] = (),
+    arrange: Sequence[str] | None = None,
 ) -> DataFrame:
     """Framed Avro messages without some of their keys."""
     if not drop:
@@ -87,7 +87,7 @@ def decode_avro_dropping(
     return decode_avro(df, schemas, drop, as_of, arrange)
 
 
-# Event type -> transformation.
+# Event types and their transformations.
 TRANSFORMS = {
     "avro": decode_avro,
     "json": decode_json,

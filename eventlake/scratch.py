@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+def file_system(spark: SparkSession, path: str):
+    """(path, file system) as the JVM has them."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder in ``spark.checkpoint.dir``.
 
-    Where that is unset, a local session falls back to a temporary folder; a
-    cluster must name one that all its machines see.
+    Where that is unset, below the context's checkpoint folder, or else below the
+    warehouse: folders that all machines of a cluster see.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="eventlake-")
+        base = spark.sparkContext.getCheckpointDir() or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder made by :func:`new_folder` with all that is in it."""
+    where, files = file_system(spark, path)
+    files.delete(where, True)

@@ -90,6 +90,10 @@ def file_stream(
     return source.parquet(path)
 
 
+# How a Kafka read can be told its topics; one of them may be given.
+SUBSCRIPTIONS = ("subscribe", "subscribePattern", "assign")
+
+
 def _check_ranges(ranges: Ranges) -> None:
     for topic, parts in ranges.items():
         for partition, (start, stop) in parts.items():
@@ -164,9 +168,12 @@ def event_range(
     """
     if isinstance(source, DataFrame):
         return in_ranges(source, ranges)
+    # Assigned, not subscribed to: the connector asks for bounds of every
+    # partition of a topic it subscribes to, and these may be some of them.
     bounds = {
-        "subscribe": ",".join(ranges),
+        "assign": json.dumps({topic: sorted(parts) for topic, parts in ranges.items()}),
         "startingOffsets": offsets_json(ranges, end=False),
         "endingOffsets": offsets_json(ranges, end=True),
     }
-    return source.read.format(fmt).options(**(dict(options or {}) | bounds)).load()
+    given = {name: value for name, value in (options or {}).items() if name not in SUBSCRIPTIONS}
+    return source.read.format(fmt).options(**(given | bounds)).load()

@@ -6,19 +6,24 @@ committed, and Spark runs it again from the checkpoint.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from eventlake.functions.envelope import TIME_PARTITIONS
 from eventlake.operators import align
+from eventlake.scratch import file_system, new_folder, remove
 
 Trigger = Mapping[str, object]
 
+# Innermost partition column of zones that are written batch by batch.
+BATCH = "batch"
+
 
 @dataclass(frozen=True)
 class Route:
@@ -34,10 +39,6 @@ class Route:
     where: str | None = None
     rebalance: bool = True
 
-    def below(self, folder: str) -> Route:
-        """The same route into a folder of its destination."""
-        return replace(self, destination=f"{self.destination}/{folder}")
-
 
 def _check_columns(df: DataFrame, columns: Sequence[str], partition: Sequence[str]) -> None:
     missing = [name for name in (*columns, *partition) if name not in df.columns]
@@ -57,6 +58,7 @@ def write_landing(
     partition: Sequence[str] = TIME_PARTITIONS,
     mode: str = "append",
     rebalance: bool = True,
+    batch: str | None = None,
 ) -> None:
     """Write the columns as Parquet, partitioned.
 
@@ -64,33 +66,81 @@ def write_landing(
     that it gets few, well-sized files; adaptive execution splits a partition
     that is larger than a task should be, down to the case where all rows share
     one. Turn it off where every task already writes one partition.
+
+    With ``batch`` each partition gets a directory ``batch=<batch>``, and only
+    directories of that batch are replaced.
     """
     _check_columns(df, columns, partition)
     rows = df.select(*columns)
     if rebalance:
         rows = rows.hint("rebalance", *partition)
     # Static: an overwrite replaces the destination, whatever the session's default.
-    writer = rows.write.mode(mode).option("partitionOverwriteMode", "static")
+    kind = "static"
+    if batch is not None:
+        rows, partition = rows.withColumn(BATCH, F.lit(batch)), (*partition, BATCH)
+        mode, kind = "overwrite", "dynamic"
+    writer = rows.write.mode(mode).option("partitionOverwriteMode", kind)
     writer.option("compression", "snappy").partitionBy(*partition).parquet(destination)
 
 
-def fan_out(df: DataFrame, routes: Sequence[Route], mode: str = "append") -> None:
+def fan_out(
+    df: DataFrame, routes: Sequence[Route], mode: str = "append", batch: str | None = None
+) -> None:
     """Write the same rows to several destinations, computing them once.
 
-    The rows are kept on the executors' memory and disk for the duration of
-    the writes; a lost block is recomputed from its source.
+    With more than one route the rows are first written to the shared scratch
+    folder, which a lost executor does not take along.
     """
+    stage = None
     if len(routes) > 1:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        spark, schema = df.sparkSession, df.schema
+        stage = new_folder(spark, "fan-out")
+        df.write.parquet(stage)
+        df = spark.read.schema(schema).parquet(stage)
     try:
         for route in routes:
             rows = df if route.where is None else df.filter(route.where)
             write_landing(
-                rows, route.destination, route.columns, route.partition, mode, route.rebalance
+                rows, route.destination, route.columns, route.partition, mode, route.rebalance, batch
             )
     finally:
-        if len(routes) > 1:
-            df.unpersist()
+        if stage is not None:
+            remove(df.sparkSession, stage)
+
+
+def _attempt(route: Route, batch: str) -> str:
+    """Marker of a batch that may have been written before."""
+    return f"{route.destination}/_attempts/{batch}"
+
+
+def _begin(spark: SparkSession, route: Route, batch: str) -> None:
+    """Removes what an earlier attempt of the batch left, wherever its rows went.
+
+    The marker tells a first attempt from a replay, so only a replay lists the
+    zone.
+    """
+    marker, files = file_system(spark, _attempt(route, batch))
+    if files.exists(marker):
+        levels = "*/" * len(route.partition)
+        leaves, _ = file_system(spark, f"{route.destination}/{levels}{BATCH}={batch}")
+        for leaf in files.globStatus(leaves) or ():
+            files.delete(leaf.getPath(), True)
+    else:
+        files.create(marker, True).close()
+
+
+def _done(spark: SparkSession, route: Route, batch: str) -> None:
+    marker, files = file_system(spark, _attempt(route, batch))
+    files.delete(marker, False)
+
+
+def land(df: DataFrame, routes: Sequence[Route], batch: str) -> None:
+    """Land the rows as one batch; the same batch again replaces what it landed."""
+    if not re.fullmatch(r"[\w.-]+", batch):
+        raise ValueError(f"not usable as a directory name: {batch!r}")
+    for route in routes:
+        _begin(df.sparkSession, route, batch)
+    fan_out(df, routes, batch=batch)
 
 
 def landing_batches(
@@ -103,23 +153,25 @@ def landing_batches(
 ) -> StreamingQuery:
     """Transform and land every micro-batch, each exactly once.
 
-    A micro-batch owns the directory ``run_id=<r>/batch_id=<n>`` of every route
-    and replaces it as a whole, so a replay leaves no second copy even when its
-    time partitions have moved on. ``run_id`` defaults to the id of the stream,
-    which lives in the checkpoint: another checkpoint counts its batches from
-    zero again and must not replace the first one's.
+    A micro-batch owns the directories ``batch=<run>-<n>`` inside the partitions
+    of every route and replaces them, so a replay leaves no second copy even when
+    its rows fall into other partitions than before. ``run_id`` defaults to the
+    id of the stream, which lives in the checkpoint: another checkpoint counts
+    its batches from zero again and must not replace the first one's.
     """
 
-    def land(batch: DataFrame, batch_id: int) -> None:
-        context = batch.sparkSession.sparkContext
-        run = run_id or context.getLocalProperty("sql.streaming.queryId")
+    def land_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        run = run_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         if not run:
             raise ValueError("the stream has no id in this session: pass run_id")
-        owned = [route.below(f"run_id={run}/batch_id={batch_id}") for route in routes]
-        fan_out(transform(batch), owned, mode="overwrite")
+        land(transform(batch), routes, f"{run}-{batch_id}")
+        # That this batch runs says that the one before it was committed.
+        for route in routes:
+            _done(spark, route, f"{run}-{batch_id - 1}")
 
     writer = df.writeStream.outputMode("append").trigger(**trigger)
-    return writer.option("checkpointLocation", checkpoint).foreachBatch(land).start()
+    return writer.option("checkpointLocation", checkpoint).foreachBatch(land_batch).start()
 
 
 def landing_stream(
@@ -178,7 +230,7 @@ def read_landing(
     The types are declared because inference would make the two-digit month a
     number.
     """
-    extra = ", run_id string, batch_id long" if batches else ""
+    extra = f", {BATCH} string" if batches else ""
     ddl = schema if isinstance(schema, str) else _ddl(schema)
     return spark.read.schema(ddl + extra).parquet(path)
 
@@ -187,6 +239,19 @@ def _ddl(schema: StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def _layout(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a zone, outermost first, by its first directories."""
+    names = []
+    where, files = file_system(spark, path)
+    while files.exists(where):
+        inner = [x.getPath() for x in files.listStatus(where) if x.isDirectory() and "=" in x.getPath().getName()]
+        if not inner:
+            break
+        where = inner[0]
+        names.append(where.getName().split("=", 1)[0])
+    return names
+
+
 def register_landing(
     spark: SparkSession,
     table: str,
@@ -197,15 +262,23 @@ def register_landing(
 ) -> None:
     """Create an external table over a landing zone and find its partitions.
 
+    A zone that was written batch by batch gets ``batch`` as a further partition
+    column. A zone laid out by other columns than ``partition`` is refused, as
+    its rows would not be found.
+
     Set ``discover`` to False over a zone written by :func:`landing_stream`:
     its file log already tells Spark what to read.
     """
+    ddl, found = _ddl(schema), _layout(spark, path)
+    if found == [*partition, BATCH]:
+        partition = found
+        if BATCH not in schema.names:
+            ddl += f", {BATCH} string"
+    elif found and found != [*partition]:
+        raise ValueError(f"the zone {path} is laid out by {found}, not by {[*partition]}")
     name = ".".join(f"`{part}`" for part in table.split("."))
     location = path.replace("'", "\\'")
     by = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partition)})" if partition else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema)}) USING parquet {by} "
-        f"LOCATION '{location}'"
-    )
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet {by} LOCATION '{location}'")
     if partition and discover:
         spark.sql(f"MSCK REPAIR TABLE {name}")

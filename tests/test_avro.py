@@ -338,3 +338,51 @@ def test_encode_uses_defaults_and_rejects_nulls(spark):
     assert bytes(filled.value) == frame(1, schema, {"id": 1, "v": 5})
     with pytest.raises(Exception, match="null value"):
         avro.encode_events(df, "s", 1, schema).collect()
+
+
+def read_one(schema, body):
+    cursors = Cursors(pa.array([body], pa.binary()), 0)
+    return read_rows(reader(schema), cursors, np.array([0]))[0], bool(cursors.bad[0])
+
+
+@pytest.mark.parametrize(
+    ("items", "value"),
+    [
+        ("null", None),
+        ({"type": "record", "name": "E", "fields": []}, {}),
+        ({"type": "fixed", "name": "F", "size": 0}, ""),
+    ],
+)
+def test_items_of_no_bytes(items, value):
+    array = {"type": "array", "items": items}
+    assert read_one(array, b"\x0a\x00") == ([value] * 5, False)
+    hostile = varints(np.array([1 << 40]))[0]
+    assert read_one(array, hostile + b"\x00")[1]
+
+
+def test_a_named_type_of_no_bytes_as_items():
+    schema = record(
+        {"name": "a", "type": {"type": "record", "name": "E", "fields": []}},
+        {"name": "b", "type": {"type": "array", "items": "E"}},
+    )
+    assert read_one(schema, b"\x06\x00") == ({"a": {}, "b": [{}, {}, {}]}, False)
+
+
+def test_decimals_keep_every_digit():
+    number = -(10**12_000 + 7)
+    raw = number.to_bytes(number.bit_length() // 8 + 1, "big", signed=True)
+    body = varints(np.array([len(raw)]))[0] + raw
+    text, bad = read_one({"type": "bytes", "logicalType": "decimal", "precision": 12_001, "scale": 2}, body)
+    assert not bad
+    assert text == "-1" + "0" * 11_997 + "0" + ".07"
+    assert read_one({"type": "bytes", "logicalType": "decimal", "precision": 4, "scale": 3}, b"\x02\x05")[0] == "0.005"
+
+
+def test_long_runs_of_numbers():
+    numbers = [(-1) ** n * n * 7919 for n in range(200_000)]
+    array = {"type": "array", "items": "long"}
+    body = encode(array, numbers)
+    assert read_one(array, body) == (numbers, False)
+    assert read_one(array, body[:-50])[1]
+    doubles = {"type": "array", "items": "double"}
+    assert read_one(doubles, encode(doubles, [n / 3 for n in range(500)])) == ([n / 3 for n in range(500)], False)

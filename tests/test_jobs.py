@@ -134,7 +134,7 @@ def test_backfill_is_bounded_and_repeatable(spark, world):
     assert replay({0: (5, 9)}) is False
     assert replay({0: (0, 2)}) is True
     assert replay({0: (0, 2)}) is True
-    assert landed(spark.read.schema(DDL + ", run_id string").parquet(zone)) == FIRST[:2]
+    assert landed(spark.read.schema(DDL + ", batch string").parquet(zone)) == FIRST[:2]
 
 
 def test_backfill_by_processing_time_writes_where_it_decodes(spark, world):
@@ -151,7 +151,7 @@ def test_backfill_by_processing_time_writes_where_it_decodes(spark, world):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
-    rows = spark.read.schema(DDL + ", run_id string").parquet(route.destination)
+    rows = spark.read.schema(DDL + ", batch string").parquet(route.destination)
     assert len(landed(rows)) == 5
     assert len(rows.inputFiles()) == 3
 

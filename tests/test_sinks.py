@@ -114,8 +114,7 @@ def test_replayed_batch_replaces_itself(spark, tmp_path, source, mode, request):
         moved = df.withColumn("ts", F.lit(2024010100 + len(attempts)))
         if len(attempts) == 1:
             run = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-            first = route.below(f"run_id={run}/batch_id=0")
-            sinks.write_landing(moved, first.destination, COLUMNS, mode="overwrite")
+            sinks.land(moved, [route], f"{run}-0")
             raise RuntimeError("lost driver")
         return moved
 
@@ -143,11 +142,11 @@ def test_restart_takes_only_what_is_new_and_other_checkpoints_keep_apart(spark,
     run("one")
     rows = landing(spark, zone)
     assert ids(rows) == list(range(15))
-    assert {r.batch_id for r in rows.collect()} == {0, 1}
+    assert {r.batch.rpartition("-")[2] for r in rows.collect()} == {"0", "1"}
     run("two")
     rows = landing(spark, zone)
     assert ids(rows) == sorted([*range(15)] * 2)
-    assert rows.select("run_id").distinct().count() == 2
+    assert len({r.batch.rpartition("-")[0] for r in rows.collect()}) == 2
 
 
 def test_landing_stream_restarts_without_repeating(spark, tmp_path, source):
@@ -191,14 +190,29 @@ def test_registered_batch_directories(spark, tmp_path, source):
     route = sinks.Route(zone, COLUMNS)
     query = sinks.landing_batches(stream(), lambda df: df, [route], str(tmp_path / "c"), NOW, "r1")
     query.awaitTermination()
-    schema = batch(spark, 0, 0).selectExpr("*", "'' run_id", "0L batch_id").schema
+    schema = batch(spark, 0, 0).schema
     spark.sql("drop table if exists batched_zone")
-    sinks.register_landing(
-        spark, "batched_zone", zone, schema, ("run_id", "batch_id", *sinks.TIME_PARTITIONS)
-    )
+    sinks.register_landing(spark, "batched_zone", zone, schema, sinks.TIME_PARTITIONS)
     rows = spark.table("batched_zone").collect()
-    assert {(r.run_id, r.batch_id, r.month) for r in rows} == {("r1", 0, "01")}
+    assert {(r.batch, r.month) for r in rows} == {("r1-0", "01")}
     assert len(rows) == 10
+    with pytest.raises(ValueError, match="laid out by"):
+        sinks.register_landing(spark, "wrong_zone", zone, schema, ("month", "year"))
+
+
+def test_only_the_marker_of_the_last_batch_stays(spark, tmp_path, source):
+    add, stream = source
+    zone, place = tmp_path / "zone", str(tmp_path / "c")
+    add(10, 15)
+    route = sinks.Route(str(zone), COLUMNS)
+    sinks.landing_batches(stream(), lambda df: df, [route], place, NOW, "r").awaitTermination()
+    assert [x.name for x in (zone / "_attempts").iterdir() if x.suffix != ".crc"] == ["r-1"]
+    assert ids(landing(spark, str(zone))) == list(range(15))
+
+
+def test_batch_names_are_directory_names(spark, tmp_path):
+    with pytest.raises(ValueError, match="directory name"):
+        sinks.land(batch(spark, 0, 1), [sinks.Route(str(tmp_path), COLUMNS)], "a/b")
 
 
 def test_registered_stream_landing(spark, tmp_path, source):

@@ -1,3 +1,4 @@
+import json
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,12 +117,21 @@ def test_kafka_reads_get_topics_and_offsets():
     assert sources.event_range(Recorder(), {"a": {0: (1, 3)}}, options={"x": "1"}) == {
         "format": "kafka",
         "x": "1",
-        "subscribe": "a",
+        "assign": '{"a": [0]}',
         "startingOffsets": '{"a": {"0": 1}}',
         "endingOffsets": '{"a": {"0": 3}}',
     }
 
 
+def test_some_partitions_of_topics_are_assigned(spark, log):
+    ranges = {"a": {1: (0, 2)}, "b": {0: (1, 3), 1: (0, -1)}}
+    options = sources.event_range(Recorder(), ranges, options={"subscribe": "a,b"})
+    assert json.loads(options["assign"]) == {"a": [1], "b": [0, 1]}
+    assert "subscribe" not in options
+    rows = sources.event_range(log, ranges).select("topic", "partition").distinct().collect()
+    assert {(r.topic, r.partition) for r in rows} <= {("a", 1), ("b", 0), ("b", 1)}
+
+
 def test_stream_of_files_is_filtered_by_topic(spark, log, tmp_path):
     path = str(tmp_path / "log")
     log.write.parquet(path)
