@@ -362,8 +362,8 @@ def test_items_of_no_bytes(items, value):
 
 def test_a_named_type_of_no_bytes_as_items():
     schema = record(
-        {"name": "a", "type": {"type": "record", "name": "E", "fields": []}},
-        {"name": "b", "type": {"type": "array", "items": "E"}},
+        ("a", {"type": "record", "name": "E", "fields": []}),
+        ("b", {"type": "array", "items": "E"}),
     )
     assert read_one(schema, b"\x06\x00") == ({"a": {}, "b": [{}, {}, {}]}, False)
 
