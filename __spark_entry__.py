@@ -367,15 +367,12 @@ def avro_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     )
     rows = envelope.add_header(samples.avro_messages(events).withColumn("value", damaged))
     decoded = avro.decode_events(rows, samples.avro_schemas(events))
-    folder = new_folder(spark, "decoded")
-    decoded.select("offset", "events", "decode_error").write.parquet(folder)
-    good, bad = avro.split_errors(spark.read.parquet(folder))
-    sides = good.withColumn("quarantined", F.lit(False)).unionByName(
-        bad.withColumn("quarantined", F.lit(True))
-    )
     marker = F.when(samples.landed_json().endswith('": -1}'), samples.landed_json())
-    return sides.select(
-        F.col("offset").alias("event_id"), "quarantined", "decode_error", marker.alias("marker")
+    return decoded.select(
+        F.col("offset").alias("event_id"),
+        F.col("decode_error").isNotNull().alias("quarantined"),
+        "decode_error",
+        marker.alias("marker")
     )
 
 
@@ -590,11 +587,14 @@ def no_data_gaps_by_type(spark: SparkSession, sf: str) -> DataFrame:
 def progress_table(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark, "progress")
     landed = transforms.decode_json(samples.json_messages(samples.event_table_stream(spark, sf)))
+    log = monitor.log_progress(spark, f"{folder}/progress")
     query = sinks.landing_stream(
         landed, f"{folder}/landing", LANDED, f"{folder}/checkpoint", AVAILABLE_NOW
     )
     query.awaitTermination()
-    progress = monitor.progress_table(spark, query)
+    log.wait(query, 60)
+    spark.streams.removeListener(log)
+    progress = monitor.progress_table(spark, log.path)
     return progress.agg(F.sum("input_rows").alias("input_rows"))
 
 

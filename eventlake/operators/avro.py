@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import threading
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.functions.avro_read import Cursors, Reader, read_rows, text_reader
@@ -71,11 +74,37 @@ def frame_ids(payloads: pa.Array) -> np.ndarray:
     return np.where(cursors.end - cursors.start < HEADER_BYTES, -1, ids)
 
 
+# Schema stores on the executors, by application and content; the last used come last.
+# PySpark keeps a file on the driver for each until it is destroyed.
+_SHARED: dict[tuple[str, str], Broadcast] = {}
+_SHARED_LOCK = threading.Lock()
+MAX_SHARED = 8
+
+
+def _shared(spark: SparkSession, bodies: dict[str, str]) -> Broadcast:
+    """The store as a broadcast, the same one as long as its content stays.
+
+    A stream decodes every micro-batch with the store of that moment, which
+    rarely changes. The store that was not used for longest is destroyed when
+    there are more than ``MAX_SHARED`` different ones.
+    """
+    context = spark.sparkContext
+    content = json.dumps(bodies, sort_keys=True).encode()
+    key = (context.applicationId, hashlib.sha256(content).hexdigest())
+    with _SHARED_LOCK:
+        for other in [k for k in _SHARED if k[0] != context.applicationId]:
+            del _SHARED[other]
+        store = _SHARED.pop(key, None) or context.broadcast(bodies)
+        _SHARED[key] = store
+        while len(_SHARED) > MAX_SHARED:
+            _SHARED.pop(next(iter(_SHARED))).destroy()
+    return store
+
+
 def _decoded_by_map(
     df: DataFrame, bodies: dict[str, str], drop: tuple[tuple[str, ...], ...]
 ) -> Column:
-    shared = df.sparkSession.sparkContext.broadcast(bodies)
-
+    shared = _shared(df.sparkSession, bodies)
     readers: dict[int, Reader | None] = {}
 
     def read_of(schema_id: int) -> Reader | None:

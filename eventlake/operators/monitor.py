@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.window import Window
 
 PROGRESS_DDL = (
@@ -108,18 +109,51 @@ def no_data_gaps(
     return gaps.filter(F.col("gap_end") - F.col("gap_start") > limit)
 
 
-def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent progress of a stream, one row per micro-batch."""
-    rows = [
-        (
-            str(p["id"]),
-            str(p["runId"]),
-            int(p["batchId"]),
-            p["timestamp"],
-            int(p["numInputRows"]),
-            p["inputRowsPerSecond"],
-            p["processedRowsPerSecond"],
+class ProgressLog(StreamingQueryListener):
+    """Appends the progress of every micro-batch of the session's streams to Parquet files.
+
+    The streams' own memory holds the last hundred only. Register it with
+    :func:`log_progress`.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.ended: dict[str, threading.Event] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.ended.setdefault(str(event.id), threading.Event())
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        row = (
+            str(p.id),
+            str(p.runId),
+            int(p.batchId),
+            p.timestamp,
+            int(p.numInputRows),
+            p.inputRowsPerSecond,
+            p.processedRowsPerSecond,
         )
-        for p in query.recentProgress
-    ]
-    return spark.createDataFrame(rows, PROGRESS_DDL)
+        self.spark.createDataFrame([row], PROGRESS_DDL).coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.setdefault(str(event.id), threading.Event()).set()
+
+    def wait(self, query: StreamingQuery, seconds: float | None = None) -> bool:
+        """Waits until all progress of a stream that ended is written."""
+        return self.ended.setdefault(str(query.id), threading.Event()).wait(seconds)
+
+
+def log_progress(spark: SparkSession, path: str) -> ProgressLog:
+    """Starts a log; ``spark.streams.removeListener`` ends it."""
+    log = ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    return log
+
+
+def progress_table(spark: SparkSession, path: str) -> DataFrame:
+    """Logged progress, one row per micro-batch."""
+    return spark.read.schema(PROGRESS_DDL).parquet(path)

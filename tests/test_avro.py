@@ -386,3 +386,12 @@ def test_long_runs_of_numbers():
     assert read_one(array, body[:-50])[1]
     doubles = {"type": "array", "items": "double"}
     assert read_one(doubles, encode(doubles, [n / 3 for n in range(500)])) == ([n / 3 for n in range(500)], False)
+
+
+def test_an_unchanged_store_is_broadcast_once(spark):
+    before = set(avro._SHARED)
+    first = avro._shared(spark, {"1": "a", "2": "b"})
+    assert all(avro._shared(spark, {"2": "b", "1": "a"}) is first for _ in range(20))
+    for n in range(2 * avro.MAX_SHARED):
+        avro._shared(spark, {"1": str(n)})
+    assert len(avro._SHARED) <= max(avro.MAX_SHARED, len(before))

@@ -101,10 +101,30 @@ def test_progress(spark, tmp_path):
     spark.range(10).write.parquet(str(tmp_path / "in"))
     stream = sources.file_stream(spark, str(tmp_path / "in"), "id long")
     messages = stream.selectExpr("'t' topic", "cast(id as string) key", "cast(null as binary) value")
+    log = monitor.log_progress(spark, str(tmp_path / "progress"))
     query = sinks.message_stream(
         messages, str(tmp_path / "c"), {"availableNow": True}, "parquet", {"path": str(tmp_path / "out")}
     )
     query.awaitTermination()
-    progress = monitor.progress_table(spark, query)
+    assert log.wait(query, 60)
+    spark.streams.removeListener(log)
+    progress = monitor.progress_table(spark, log.path)
     assert progress.agg(F.sum("input_rows")).first()[0] == 10
     assert {r.query_id for r in progress.collect()} == {query.id}
+
+
+def test_more_batches_than_the_stream_remembers(spark, tmp_path, request):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates"))
+    folder = str(tmp_path / "in")
+    spark.range(12).repartition(12).write.parquet(folder)
+    log = monitor.log_progress(spark, str(tmp_path / "progress"))
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(folder)
+    query = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c"))
+    query = query.trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert log.wait(query, 60)
+    spark.streams.removeListener(log)
+    rows = monitor.progress_table(spark, log.path).where("input_rows > 0").collect()
+    assert len(rows) == len({r.batch_id for r in rows}) > 5
+    assert len(query.recentProgress) < len(rows)
