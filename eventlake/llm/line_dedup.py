@@ -35,33 +35,37 @@ SPLIT_OVER = 64
 
 LINE = ("h1", "h2")
 
+# Lines that are few enough for their hashes to be broadcast.
+BROADCAST_LINES = 500_000
+
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
     """Whether two strings are within an edit distance, by bits of the band of diagonals.
 
     Bit e of word d says that the diagonal e - ``edits`` is reached with d edits
-    at most. A step reads one character of ``b`` and moves all diagonals at once.
+    at most. A step reads one character of ``b``, next to those of ``a`` that the
+    band holds there, and moves all diagonals at once.
     """
     width = 2 * edits + 1
-    full = (1 << width) - 1
+    full = F.lit((1 << width) - 1).cast("long")
     xs, ys = F.split(a, ""), F.split(b, "")
     gap = F.char_length(a) - F.char_length(b)
+    # Character i + e - edits of a beside character i of b; null outside.
+    beside = [
+        F.concat(F.array_repeat(F.lit(None).cast("string"), edits - e), xs) if e <= edits else F.slice(xs, e - edits + 1, F.char_length(a) + 1)
+        for e in range(width)
+    ]
+    steps = F.arrays_zip(ys.alias("y"), *(x.alias(f"x{e}") for e, x in enumerate(beside)))
 
     def start(d: int) -> Column:
         # Up to d characters of a may be left out before anything is read.
-        return F.lit(sum(1 << (edits + e) for e in range(d + 1))).cast("long")
+        return F.lit(sum(1 << (edits + e) for e in range(d + 1))).cast("long").alias(f"r{d}")
 
     def step(state: Column, at: Column) -> Column:
+        y = at.getField("y")
         same = reduce(
-            lambda x, y: x.bitwiseOR(y),
-            [
-                F.when(
-                    F.get(state["xs"], at + (e - edits)).eqNullSafe(F.get(state["ys"], at))
-                    & (at + (e - edits) >= 0),
-                    F.lit(1 << e).cast("long"),
-                ).otherwise(F.lit(0).cast("long"))
-                for e in range(width)
-            ],
+            lambda x, z: x.bitwiseOR(z),
+            [F.when(at.getField(f"x{e}") == y, 1 << e).otherwise(0).cast("long") for e in range(width)],
         )
         words: list[Column] = []
         for d in range(edits + 1):
@@ -70,17 +74,13 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
                 before = state[f"r{d - 1}"]
                 word = word.bitwiseOR(before).bitwiseOR(F.shiftright(before, 1))
                 word = word.bitwiseOR(F.shiftleft(words[-1], 1))
-            words.append(word.bitwiseAND(F.lit(full).cast("long")))
-        kept = [w.alias(f"r{d}") for d, w in enumerate(words)]
-        return F.struct(*kept, state["xs"].alias("xs"), state["ys"].alias("ys"))
+            words.append(word.bitwiseAND(full))
+        # Behind the end of b nothing is read any more.
+        return F.struct(*(F.when(y.isNull(), state[f"r{d}"]).otherwise(w).alias(f"r{d}") for d, w in enumerate(words)))
 
-    first = F.struct(*(start(d).alias(f"r{d}") for d in range(edits + 1)), xs.alias("xs"), ys.alias("ys"))
-    places = F.when(F.char_length(b) > 0, F.sequence(F.lit(0), F.char_length(b) - 1)).otherwise(
-        F.array().cast("array<int>")
-    )
-    last = F.aggregate(places, first, step)
+    last = F.aggregate(steps, F.struct(*(start(d) for d in range(edits + 1))), step)
     reached = F.getbit(last[f"r{edits}"], F.greatest(F.lit(0), F.least(F.lit(width - 1), gap + edits)))
-    return (F.abs(gap) <= edits) & (reached == 1)
+    return (F.abs(gap) <= edits) & ((F.char_length(b) == 0) | (reached == 1))
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -184,7 +184,10 @@ def _candidates(distinct: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataF
     keyed = distinct.select(*LINE, F.explode(places).alias("place")).select(*LINE, "place.*")
     shared = stored(_shared(keyed), "shared-keys")
     wanted = shared.select(*LINE).distinct()
-    texts = stored(lines.join(wanted, list(LINE)).groupBy(*LINE).agg(F.first("line").alias("line")), "line-texts")
+    # Texts are shuffled only where the list of lines is too long to be broadcast.
+    few = wanted.count() <= BROADCAST_LINES
+    found = lines.join(F.broadcast(wanted) if few else wanted, list(LINE))
+    texts = stored(found.groupBy(*LINE).agg(F.first("line").alias("line")), "line-texts")
     pairs = _pairs(shared.where(F.col("under_key") <= SPLIT_OVER))
     large = shared.where(F.col("under_key") > SPLIT_OVER).drop("under_key")
     if not large.isEmpty():
