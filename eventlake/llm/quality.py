@@ -8,8 +8,8 @@ features x is shared by all of them, and ordered thresholds t cut its line:
 The expected grade is the sum of these tail probabilities, and the tail
 probability of the wanted grade decides about selection.
 
-Features of a text are its distinct hashed words and the ranges that its shape
-falls in (capitals, marks, digits, word length, repetition). Fitting takes a
+Features of a text are its distinct hashed words and word stems and the ranges
+that its shape falls in (capitals, marks, digits, word length, repetition). Fitting takes a
 bounded sample, ``max_rows`` rated documents by the smallest hashes, in
 ``SHARDS`` shards. In each round every shard runs Adagrad on its rows from the
 common weights and the results are averaged.
@@ -37,8 +37,15 @@ from eventlake.llm.store import stored
 # Hashed features, and those of a text's shape in front of them.
 FEATURES = 1 << 17
 SHAPES, RANGES = 6, 16
+# Words are runs of letters and digits; a stem is the first bytes of a word.
+BETWEEN = words.separators((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
+STEM_BYTES = 4
+# A word counts for the less, the more of them a text has.
+WORD_POWER, SHAPE_VALUE = 0.5, 0.25
 SHARDS = 8
-BATCH_ROWS = 128
+BATCH_ROWS = 32
+# Rows of a shard that a feature must have to be learned.
+LEAST_ROWS = 3
 
 
 # ------------------------------------------------------------ features
@@ -65,16 +72,18 @@ def _shape(data: np.ndarray, grams: int, distinct: int, count: int) -> list[int]
 def features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(row, feature numbers, values) of each text."""
     for first, data, offsets in words.slices(texts):
-        hashes, bounds, _, _ = words.word_hashes(data, offsets)
+        hashes, bounds, starts, ends = words.word_hashes(data, offsets, BETWEEN)
+        stems = words.span_hashes(data, starts, np.minimum(ends, starts + STEM_BYTES)) ^ np.uint64(1 << 63)
         grams, limits = words.shingle_hashes(hashes, bounds, 3)
         for row in range(len(offsets) - 1):
-            own = np.unique(hashes[bounds[row] : bounds[row + 1]] % np.uint64(FEATURES - SHAPES * RANGES))
+            span = slice(bounds[row], bounds[row + 1])
+            own = np.unique(np.concatenate([hashes[span], stems[span]]) % np.uint64(FEATURES - SHAPES * RANGES))
             pieces = grams[limits[row] : limits[row + 1]]
             distinct = len(np.unique(pieces))
             shape = _shape(data[offsets[row] : offsets[row + 1]], len(pieces), distinct, bounds[row + 1] - bounds[row])
             at = np.concatenate([np.array(shape), own.astype(np.int64) + SHAPES * RANGES])
-            values = np.full(len(at), 1 / np.sqrt(1 + len(own)), dtype=np.float32)
-            values[:SHAPES] = 0.25
+            values = np.full(len(at), (1 + len(own)) ** -WORD_POWER, dtype=np.float32)
+            values[:SHAPES] = SHAPE_VALUE
             yield first + row, at.astype(np.int32), values
 
 
@@ -129,31 +138,41 @@ def _fit_shard(weights: np.ndarray, thresholds: np.ndarray, balance: np.ndarray,
     grades = np.array([r[1] for r in rows])
     at = [np.array(r[2], dtype=np.int64) for r in rows]
     values = [np.array(r[3], dtype=np.float64) for r in rows]
-    weights, thresholds = weights.astype(np.float64), thresholds.astype(np.float64)
-    seen, seen_t = np.full(len(weights), 1e-2), np.full(len(thresholds), 1.0)
+    # Only features of several rows move; the others would learn rows by heart.
+    counts = np.bincount(np.concatenate(at), minlength=len(weights))
+    active = np.flatnonzero(counts >= LEAST_ROWS)
+    place_of = np.full(len(weights), -1)
+    place_of[active] = np.arange(len(active))
+    known = [place_of[x] >= 0 for x in at]
+    values = [v[k] for v, k in zip(values, known)]
+    at = [place_of[x[k]] for x, k in zip(at, known)]
+    moved, thresholds = weights[active].astype(np.float64), thresholds.astype(np.float64)
+    seen, seen_t = np.full(len(active), 1e-2), np.full(len(thresholds), 1.0)
     for number in range(passes):
         order = np.random.default_rng(number).permutation(len(rows))
         for first in range(0, len(order), BATCH_ROWS):
             chosen = order[first : first + BATCH_ROWS]
             sizes = np.array([len(at[r]) for r in chosen])
+            owner = np.repeat(np.arange(len(chosen)), sizes)
             places = np.concatenate([at[r] for r in chosen])
             amounts = np.concatenate([values[r] for r in chosen])
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            line = np.add.reduceat(weights[places] * amounts, starts)
+            line = np.bincount(owner, moved[places] * amounts, len(chosen))
             by_line, by_threshold = link_gradient(line, grades[chosen], thresholds)
             share = balance[grades[chosen]]
-            step = np.bincount(places, weights=np.repeat(by_line * share, sizes) * amounts, minlength=len(weights))
+            step = np.bincount(places, (by_line * share)[owner] * amounts, len(active))
             seen += step * step
-            weights += rate * step / np.sqrt(seen) - 1e-5 * weights
+            moved += rate * step / np.sqrt(seen) - 1e-5 * moved
             step = (by_threshold * share[:, None]).sum(axis=0)
             seen_t += step * step
             thresholds = ordered(thresholds + rate * step / np.sqrt(seen_t))
+    weights = weights.astype(np.float64)
+    weights[active] = moved
     columns = [pa.array([len(rows)]), pa.array([weights.tolist()]), pa.array([thresholds.tolist()])]
     yield pa.RecordBatch.from_arrays(columns, ["n", "weights", "thresholds"])
 
 
 def fit(
-    docs: DataFrame, ratings: DataFrame, grades: int, max_rows: int = 16_384, rounds: int = 3, passes: int = 3, rate: float = 0.5
+    docs: DataFrame, ratings: DataFrame, grades: int, max_rows: int = 16_384, rounds: int = 4, passes: int = 20, rate: float = 0.5
 ) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) from ``ratings`` (doc_id, grade) of ``docs`` (doc_id, text)."""
     weights, thresholds = np.zeros(FEATURES, np.float32), np.arange(grades - 1) - (grades - 2) / 2

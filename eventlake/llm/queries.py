@@ -33,7 +33,7 @@ def op1_ordinal_quality(spark: SparkSession, sf: str) -> DataFrame:
     weights, thresholds = quality.fit(docs, ratings, grades=3)
     good = F.element_at("tails", 2)
     return quality.score(docs, weights, thresholds).select(
-        "doc_id", "expected_grade", good.alias("p_good"), (good >= 0.5).alias("keep")
+        "doc_id", "expected_grade", good.alias("p_good"), (good >= 0.7).alias("keep")
     )
 
 
