@@ -11,7 +11,7 @@ probability of the wanted grade decides about selection.
 Features of a text are its distinct hashed words and word stems and the ranges
 that its shape falls in (capitals, marks, digits, word length, repetition). Fitting takes a
 bounded sample, ``max_rows`` rated documents by the smallest hashes, in
-``SHARDS`` shards. In each round every shard runs Adagrad on its rows from the
+up to ``SHARDS`` shards. In each round every shard runs Adagrad on its rows from the
 common weights and the results are averaged.
 
 Nulls: ratings with a null are left out; of several ratings of a document the
@@ -42,7 +42,8 @@ BETWEEN = words.separators((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F
 STEM_BYTES = 4
 # A word counts for the less, the more of them a text has.
 WORD_POWER, SHAPE_VALUE = 0.5, 0.25
-SHARDS = 8
+# Most shards, and rows that a shard should have at least.
+SHARDS, SHARD_ROWS = 8, 1024
 BATCH_ROWS = 32
 # Rows of a shard that a feature must have to be learned.
 LEAST_ROWS = 3
@@ -93,9 +94,9 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for _, x, v in features(batch.column("text")):
             at.append(x)
             values.append(v)
-        columns = [batch.column("shard"), batch.column("grade"), batch.column("h")]
+        columns = [batch.column("grade"), batch.column("h")]
         columns += [pa.array(at, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))]
-        yield pa.RecordBatch.from_arrays(columns, ["shard", "grade", "h", "at", "values"])
+        yield pa.RecordBatch.from_arrays(columns, ["grade", "h", "at", "values"])
 
 
 # ------------------------------------------------------------ the model
@@ -183,14 +184,15 @@ def fit(
     # At most max_rows rows of three numbers.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("rated_id"))
-    texts = texts.select("text", "grade", "h", F.pmod("h", F.lit(SHARDS)).cast("int").alias("shard"))
-    rows = texts.mapInArrow(_training_rows, "shard int, grade int, h long, at array<int>, values array<float>")
+    texts = texts.select("text", "grade", "h")
+    rows = texts.mapInArrow(_training_rows, "grade int, h long, at array<int>, values array<float>")
     rows = stored(rows, "rated-features")
     counts = {r["grade"]: r["count"] for r in rows.groupBy("grade").count().collect()}
     if len(counts) < 2:
         return weights, thresholds
     balance = np.array([sum(counts.values()) / (len(counts) * counts[g]) if g in counts else 0.0 for g in range(grades)])
-    sharded = rows.repartitionByRange(SHARDS, "shard")
+    shards = max(1, min(SHARDS, sum(counts.values()) // SHARD_ROWS))
+    sharded = rows.repartition(shards, "h")
     for _ in range(rounds):
         step = partial(_fit_shard, weights, thresholds, np.sqrt(balance), passes, rate)
         # One row per shard, of FEATURES numbers.
