@@ -22,7 +22,7 @@ from eventlake.llm import words
 from eventlake.llm.worker import kept
 
 # Words that a worker remembers; beyond it starts anew.
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
 # Rows that are encoded at a time, and text that the library gets in a call.
 PART_ROWS, CALL_CHARS = 1000, 4000
 

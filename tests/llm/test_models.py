@@ -155,6 +155,15 @@ def test_each_position_is_scored_once_and_shares_sum_to_one():
     assert seen == Counter({(t, p): 1 for t, n in enumerate(lengths) for p in range(n)})
 
 
+def test_states_for_scoring_are_those_of_training():
+    rng = np.random.default_rng(4)
+    w = attention_lm.start_weights(np.ones(attention_lm.CLASSES))
+    w = {name: x * 3 for name, x in w.items()}
+    inputs = rng.integers(0, attention_lm.INPUTS, (5, attention_lm.WINDOW))
+    expected = attention_lm.attend(w, inputs)[0]
+    assert np.allclose(attention_lm.states(attention_lm.projected(w), inputs), expected, atol=1e-4)
+
+
 def test_shares_of_what_may_follow_sum_to_one():
     counts = np.zeros(5000)
     counts[:40] = 7
