@@ -25,16 +25,17 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; the others (null, or without a letter) go."""
     samples = language_id.learn(docs, modulus=4, remainder=2)
-    found = language_id.identify(docs, samples, keep=tuple(docs.columns))
-    return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
+    found = language_id.identify(docs, samples, tuple(docs.columns), ("_lang_pred", "_score", "_entropy"))
+    return found.where(F.col("_lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that occur, or nearly occur, earlier; a document left without any line goes."""
-    found = line_dedup.dedup_lines(docs)
-    left = found.where("n_lines > n_dropped or text is null")
-    counted = left.withColumn("n_chars", F.char_length("text").cast("long"))
-    return counted.select(*docs.columns)
+    found = line_dedup.dedup_lines(docs, names=("_n_lines", "_n_dropped"))
+    left = found.where("_n_lines > _n_dropped or text is null")
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.char_length("text").cast("long"))
+    return left.select(*docs.columns)
 
 
 def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

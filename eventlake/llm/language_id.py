@@ -230,13 +230,13 @@ class Parser:
             scores[first + at] = float(1 - rates[best] / others.min()) if len(others) else 1.0
 
 
-def _predictions(samples: dict[str, str], keep: list[str], batches: Iterator[pa.RecordBatch]):
+def _predictions(samples: dict[str, str], keep: list[str], names: list[str], batches: Iterator[pa.RecordBatch]):
     parser = kept(("parser", tuple(samples.items())), lambda: Parser(samples))
     for batch in batches:
         found = parser.predict(batch.column("text").fill_null("").to_pylist())
         columns = [batch.column(c) for c in keep]
         columns += [pa.array(c, kind) for c, kind in zip(found, (pa.string(), pa.float64(), pa.float64()))]
-        yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score", "bits_per_char"])
+        yield pa.RecordBatch.from_arrays(columns, [*keep, *names])
 
 
 def learn(
@@ -256,10 +256,15 @@ def learn(
     return labelled_sample(rows, sample_chars, sample_docs)
 
 
-def identify(docs: DataFrame, samples: dict[str, str], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """(kept columns, lang_pred, score, bits_per_char) per row of ``docs``; reads ``text``."""
+RESULT = ("lang_pred", "score", "bits_per_char")
+
+
+def identify(
+    docs: DataFrame, samples: dict[str, str], keep: tuple[str, ...] = ("doc_id",), names: tuple[str, str, str] = RESULT
+) -> DataFrame:
+    """Kept columns and the prediction, score and entropy under ``names``, per row of ``docs``; reads ``text``."""
     kept_fields = [docs.schema[c] for c in keep]
     rows = docs.select(*dict.fromkeys([*keep, "text"]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept_fields)
-    schema += ", lang_pred string, score double, bits_per_char double"
-    return rows.mapInArrow(partial(_predictions, samples, list(keep)), schema)
+    schema += "".join(f", {name} {kind}" for name, kind in zip(names, ("string", "double", "double")))
+    return rows.mapInArrow(partial(_predictions, samples, list(keep), list(names)), schema)

@@ -228,12 +228,15 @@ def dropped_lines(docs: DataFrame, min_chars: int = 20) -> DataFrame:
     return drop.groupBy("doc_id").agg(F.collect_set("line_no").alias("dropped"))
 
 
-def without_lines(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """All columns of ``docs``, with the text of the lines that stay; adds ``n_lines`` and ``n_dropped``.
+COUNTS = ("n_lines", "n_dropped")
+
+
+def without_lines(docs: DataFrame, dropped: DataFrame, names: tuple[str, str] = COUNTS) -> DataFrame:
+    """All columns of ``docs``, with the text of the lines that stay; adds two counts under ``names``.
 
     A column of one of these names is replaced.
     """
-    docs = docs.drop("n_lines", "n_dropped")
+    docs = docs.drop(*names)
     side = dropped.select(F.col("doc_id").alias("_dropped_id"), F.col("dropped").alias("_dropped"))
     joined = docs.join(side, docs["doc_id"].cast("long").eqNullSafe(side["_dropped_id"]), "left")
     joined = joined.withColumn("_lines", F.split(F.col("text").cast("string"), "\n"))
@@ -243,13 +246,13 @@ def without_lines(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return joined.select(
         *(c for c in docs.columns if c != "text"),
         F.when(F.col("_dropped").isNull() | F.col("text").isNull(), F.col("text")).otherwise(text).alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(n).alias("n_lines"),
+        F.when(F.col("text").isNull(), 0).otherwise(n).alias(names[0]),
         F.when(F.col("text").isNull() | F.col("_dropped").isNull(), 0)
         .otherwise(F.size(F.array_intersect("_dropped", F.sequence(F.lit(0), F.size("_lines") - 1))))
-        .alias("n_dropped"),
+        .alias(names[1]),
     )
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 20) -> DataFrame:
-    """``docs`` (doc_id, text, ...) without repeated and nearly repeated lines; adds ``n_lines``, ``n_dropped``."""
-    return without_lines(docs, dropped_lines(docs, min_chars))
+def dedup_lines(docs: DataFrame, min_chars: int = 20, names: tuple[str, str] = COUNTS) -> DataFrame:
+    """``docs`` (doc_id, text, ...) without repeated and nearly repeated lines; adds counts of lines and dropped ones."""
+    return without_lines(docs, dropped_lines(docs, min_chars), names)
