@@ -166,10 +166,11 @@ def _fit_shard(weights: np.ndarray, thresholds: np.ndarray, balance: np.ndarray,
             step = (by_threshold * share[:, None]).sum(axis=0)
             seen_t += step * step
             thresholds = ordered(thresholds + rate * step / np.sqrt(seen_t))
-    weights = weights.astype(np.float64)
-    weights[active] = moved
-    columns = [pa.array([len(rows)]), pa.array([weights.tolist()]), pa.array([thresholds.tolist()])]
-    yield pa.RecordBatch.from_arrays(columns, ["n", "weights", "thresholds"])
+    # What moved, and how far: the driver gets little from shards of few rows.
+    change = (moved - weights[active]).astype("<f4")
+    columns = [pa.array([len(rows)]), pa.array([active.astype("<i4").tobytes()], pa.binary())]
+    columns += [pa.array([change.tobytes()], pa.binary()), pa.array([thresholds.tolist()])]
+    yield pa.RecordBatch.from_arrays(columns, ["n", "at", "change", "thresholds"])
 
 
 def fit(
@@ -195,10 +196,13 @@ def fit(
     sharded = rows.repartition(shards, "h")
     for _ in range(rounds):
         step = partial(_fit_shard, weights, thresholds, np.sqrt(balance), passes, rate)
-        # One row per shard, of FEATURES numbers.
-        found = sharded.mapInArrow(step, "n long, weights array<double>, thresholds array<double>").collect()
+        # One row per shard, of FEATURES numbers at most.
+        found = sharded.mapInArrow(step, "n long, at binary, change binary, thresholds array<double>").collect()
         total = sum(r["n"] for r in found)
-        weights = sum(np.array(r["weights"]) * (r["n"] / total) for r in found).astype(np.float32)
+        moved = weights.astype(np.float64)
+        for r in found:
+            moved[np.frombuffer(r["at"], "<i4")] += np.frombuffer(r["change"], "<f4") * (r["n"] / total)
+        weights = moved.astype(np.float32)
         thresholds = ordered(sum(np.array(r["thresholds"]) * (r["n"] / total) for r in found))
     return weights, thresholds
 
