@@ -236,8 +236,8 @@ def test_leaks_match_a_search_for_the_items(spark, documents, sf_dir):
 
 
 def test_leaks_of_edges(spark, edge_docs, no_docs):
-    bench = spark.createDataFrame([(1, None, 2), (2, "", 3), (None, ITEM, 4), (3, "one", 5)], "item_id long, text string, hash long")
-    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(edge_docs, bench).collect()} == {(10, 3)}
+    bench = spark.createDataFrame([(1, None, 2), (2, "", 3), (None, ITEM, 4), (3, "one", 5), (4, "the cat sat on the mat and then it went away", 6)], "item_id long, text string, hash long")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(edge_docs, bench).collect()} == {(1, 4)}  # a number alone is no template
     assert decontaminate.leaks(no_docs, bench).count() == 0
     assert decontaminate.leaks(edge_docs, bench.limit(0)).count() == 0
 
