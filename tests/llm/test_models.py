@@ -230,3 +230,26 @@ def test_features_do_not_depend_on_the_batch():
     texts = ["one two three", "", None, "ONE two", "x " * 100]
     alone = [next(iter(quality.features(pa.array([t]))))[1].tolist() for t in texts]
     assert [at.tolist() for _, at, _ in quality.features(pa.array(texts))] == alone
+
+
+def test_all_windows_of_a_text_are_learned_from(monkeypatch):
+    monkeypatch.setattr(attention_lm, "MIXED", 300)
+    monkeypatch.setattr(attention_lm, "BATCH", 64)
+    vocabulary = attention_lm.Vocabulary(np.arange(5000, 0, -1.0), 3)
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(0, 4000, n).astype("<u2") for n in (0, 5, 31, 32, 700, 20_000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in part], pa.binary())], ["ids"]) for part in (texts[:3], texts[3:])]
+    found = list(attention_lm._mixed(vocabulary, 0, iter(batches)))
+    assert all(len(x) == 64 for x, _ in found[:-1])
+    learned = Counter(c for _, y in found for c in y.ravel().tolist() if c >= 0)
+    assert learned == Counter(c for t in texts for c in [*vocabulary.classes[t].tolist(), attention_lm.CLASSES - 1])
+    assert sum(len(x) for x, _ in found) == len(attention_lm.windows(np.array([len(t) + 1 for t in texts]))[0])
+
+
+def test_weights_are_averaged_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(attention_lm, "FAN", 2)
+    w = {"a": np.zeros(2, np.float32)}
+    rows = [(s, s + 1, bytearray(np.array([s, 1], "<f4").tobytes())) for s in range(9)]
+    found = attention_lm.averaged(w, spark.createDataFrame(rows, attention_lm.FITTED), 9)["a"]
+    assert np.allclose(found, [sum(s * (s + 1) for s in range(9)) / 45, 1])
+    assert attention_lm.averaged(w, spark.createDataFrame([], attention_lm.FITTED), 9) is w
