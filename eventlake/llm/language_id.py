@@ -8,13 +8,16 @@ text length and by the logarithm of the language's sample, wins.
 The walk through an automaton is a table look-up per character. Texts are cut
 into lanes of ``LANE`` characters that advance together, so numpy walks thousands
 of lanes at once; a phrase ends where its lane ends. Every character of every
-text is read.
+text is read. Every letter of the samples has a symbol of its own; an automaton's
+table has columns for the symbols of its language only, and one that would be too
+large is kept as a sorted list of its transitions.
 
 Learning takes whole documents of each language in the order of a hash until
 ``sample_chars`` characters, at most ``sample_docs`` of them: a bounded sample,
 and the same bound for each language.
 
-Nulls: a null text or one without a letter is ``und`` with score 0. Rows are kept
+Nulls: a null text, or one without a letter that some sample has, is ``und`` with
+score 0. Rows are kept
 one for one. Documents of null language teach nothing; when nothing can be
 learned, all texts are ``und``. Ties go to the language that sorts first. An
 empty table gives an empty result. Extra columns stay only where the caller
@@ -37,8 +40,8 @@ UNDETERMINED = "und"
 # Characters of a lane and lanes that walk together.
 LANE = 512
 LANES = 4096
-# Symbols: 0 what no automaton knows, 1 everything between words, then letters.
-SYMBOLS = 96
+# Places of a table beyond which only its transitions are kept.
+DENSE = 1 << 23
 
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
@@ -73,19 +76,14 @@ def labelled_sample(docs: DataFrame, sample_chars: int, sample_docs: int) -> dic
 
 
 def alphabet(samples: dict[str, str]) -> dict[str, int]:
-    """Symbol of each common letter of the samples."""
-    letters: dict[str, int] = {}
-    for text in samples.values():
-        for letter in text.lower():
-            if letter.isalpha():
-                letters[letter] = letters.get(letter, 0) + 1
-    common = sorted(letters, key=lambda c: (-letters[c], c))[: SYMBOLS - 2]
-    return {letter: at + 2 for at, letter in enumerate(common)}
+    """Symbol of each letter of the samples: 0 is what no sample has, 1 everything between words."""
+    letters = sorted({letter for text in samples.values() for letter in text.lower() if letter.isalpha()})
+    return {letter: at + 2 for at, letter in enumerate(letters)}
 
 
 def symbol_table(letters: dict[str, int]) -> np.ndarray:
     """Symbol of every code point."""
-    table = np.ones(0x110000, dtype=np.uint8)
+    table = np.ones(0x110000, dtype=np.int32)
     points = "".join(map(chr, (p for p in range(0x110000) if not 0xD800 <= p < 0xE000)))
     is_letter = np.fromiter((c.isalpha() for c in points), bool, len(points))
     at = np.frombuffer(points.encode("utf-32-le"), np.uint32)
@@ -135,37 +133,62 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
     return following
 
 
-def walk_table(text: np.ndarray) -> np.ndarray:
-    """State and symbol to twice the next state, plus one where a phrase ends before the symbol.
+class Walk:
+    """State and column to twice the next state, plus one where a phrase ends before the symbol.
 
-    A symbol unknown at the start is a phrase of its own.
+    Column 0 stands for all symbols that the text has not: each is a phrase of its own.
     """
-    following = suffix_automaton(text.tolist())
-    unknown = len(following)  # the state behind a symbol that the start does not know
-    table = np.full((unknown + 1, SYMBOLS), -1, dtype=np.int32)
-    for state, steps in enumerate(following):
-        for symbol, target in steps.items():
-            table[state, symbol] = 2 * target
-    begin = np.where(table[0] < 0, 2 * unknown, table[0])
-    table = np.where(table < 0, (begin | 1)[None, :], table)
-    table[0] = begin
-    return np.ascontiguousarray(table)
+
+    def __init__(self, text: np.ndarray):
+        following = suffix_automaton(text.tolist())
+        known = np.unique(text)
+        self.width = len(known) + 1
+        # Column of each symbol up to one behind the largest.
+        self.column = np.zeros(int(known[-1]) + 2 if len(known) else 1, dtype=np.int32)
+        self.column[known] = np.arange(1, self.width)
+        unknown = len(following)  # the state behind a symbol that the start does not know
+        self.begin = np.full(self.width, 2 * unknown, dtype=np.int32)
+        keys = np.array([s * self.width + self.column[c] for s, steps in enumerate(following) for c in steps], np.int64)
+        targets = np.array([2 * t for steps in following for t in steps.values()], np.int32)
+        self.begin[keys[keys < self.width]] = targets[keys < self.width]
+        if (unknown + 1) * self.width <= DENSE:
+            table = np.tile(self.begin | 1, unknown + 1)
+            table[keys] = targets
+            table[: self.width] = self.begin
+            self.table = table
+        else:
+            order = np.argsort(keys)
+            self.table, self.keys, self.targets = None, keys[order], targets[order]
+
+    def columns(self, lanes: np.ndarray) -> np.ndarray:
+        return self.column[np.minimum(lanes, len(self.column) - 1)]
+
+    def step(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
+        if self.table is not None:
+            return self.table[state * self.width + column]
+        key = state.astype(np.int64) * self.width + column
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.targets[at], self.begin[column] | (state > 0))
+
+
+def walk_table(text: np.ndarray) -> Walk:
+    """The walk through the automaton of a text in symbols."""
+    return Walk(text)
 
 
 # ------------------------------------------------------------ parsing
 
 
-def phrase_counts(lanes: np.ndarray, lengths: np.ndarray, walk: np.ndarray) -> np.ndarray:
+def phrase_counts(lanes: np.ndarray, lengths: np.ndarray, walk: Walk) -> np.ndarray:
     """Phrases of each lane; lanes are rows in descending length."""
-    flat = walk.reshape(-1)
-    columns = np.ascontiguousarray(lanes.T).astype(np.int32)
+    columns = walk.columns(np.ascontiguousarray(lanes.T))
     state = np.zeros(len(lanes), dtype=np.int32)
     ends = np.zeros(len(lanes), dtype=np.int32)
     active = np.searchsorted(-lengths, -np.arange(1, columns.shape[0] + 1), side="right")
     for at, n in enumerate(active.tolist()):
         if not n:
             break
-        step = flat[state[:n] * SYMBOLS + columns[at, :n]]
+        step = walk.step(state[:n], columns[at, :n])
         ends[:n] += step & 1
         state[:n] = step >> 1
     return ends + (lengths > 0)
@@ -189,7 +212,7 @@ class Parser:
         lengths = np.concatenate(
             [np.minimum(LANE, len(t) - LANE * np.arange(n)) for t, n in zip(texts, counts)] or [np.zeros(0, int)]
         ).astype(np.int64)
-        lanes = np.zeros((len(owner), LANE), dtype=np.uint8)
+        lanes = np.zeros((len(owner), LANE), dtype=np.int32)
         row = 0
         for text, n in zip(texts, counts):
             lanes[row : row + n].reshape(-1)[: len(text)] = text
@@ -220,7 +243,7 @@ class Parser:
     def _decide(self, first: int, coded: list[np.ndarray], langs: list, scores: list, bits: list) -> None:
         entropy = self.phrases(coded) * self.scale
         for at, text in enumerate(coded):
-            if not (text != 1).any():
+            if not (text > 1).any():
                 continue
             rates = entropy[at] / len(text)
             best = int(np.argmin(rates))
