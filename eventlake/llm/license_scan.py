@@ -1,7 +1,10 @@
 """License scan by an exact set-similarity join, in DataFrame functions only.
 
-A block is a line of a document, a template a license notice; both are sets of
-words. Every block that holds at least ``THRESHOLD`` of a template's words is
+A block is a line of a document, or a window of consecutive words of the whole
+text, whatever lines they stand on; a template is a license notice. Both are sets
+of words. A window has the template's length and room for as many other words as
+may be missing, so notices are found that are wrapped, also behind comment marks.
+Every block that holds at least ``THRESHOLD`` of a template's words is
 found. Template words are ordered by their frequency over all documents, rarest
 first. Then
 
@@ -11,8 +14,9 @@ first. Then
 * position: behind the first word in common, both sides must have enough words
   left.
 
-What passes is verified by intersecting the sets. Documents whose words cannot
-contain a template are never cut into lines.
+What passes is verified by intersecting the sets. Windows are only looked at
+around words of the prefix. Documents whose words cannot contain a template are
+never cut into blocks.
 
 Besides, fixed phrases are found where their words stand consecutively.
 
@@ -92,6 +96,34 @@ def _needed(size: int) -> int:
     return -int(-THRESHOLD * size // 1)
 
 
+def _window(text: str) -> int:
+    """Words of a window for a template."""
+    marks = str.maketrans(dict.fromkeys(string.punctuation, " "))
+    return int(-(-len(text.translate(marks).split()) // THRESHOLD))
+
+
+def _most_in_window(words: Column, anchors: Column, prefix: list[str], template: list[str], span: int) -> Column:
+    """Template words in the best window of ``span`` words; 0 where none holds enough.
+
+    ``anchors`` are (at, word) of words of any template's prefix. A window that holds
+    enough has one of this prefix, so it lies less than ``span`` words around it.
+    """
+    needed = _needed(len(template))
+    own = _texts(template)
+
+    def around(anchor: Column) -> Column:
+        low = F.greatest(F.lit(0), anchor["at"] - (span - 1))
+        near = F.slice(words, low + 1, anchor["at"] + span - low)
+        # Every window in here that can be whole, or all of it.
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(near) - (span - 1)))
+        held = F.transform(starts, lambda i: F.size(F.array_intersect(own, F.slice(near, i, span))))
+        return F.when(F.size(F.array_intersect(own, near)) >= needed, F.array_max(held)).otherwise(0)
+
+    mine = F.filter(anchors, lambda x: x["word"].isin(prefix))
+    most = F.coalesce(F.array_max(F.transform(mine, around)), F.lit(0))
+    return F.when(most >= needed, most).otherwise(0)
+
+
 def _places(words: Column, phrase: str) -> Column:
     """Where the words of a phrase start."""
     parts = phrase.split()
@@ -126,6 +158,22 @@ def _profiles(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     return stored(rows.select("doc_id", "h", "n_words", "known", *places), "license-words")
 
 
+def _in_windows(texts: DataFrame, searches: list[tuple[str, list[str], list[str], int]]) -> DataFrame:
+    """(doc_id, h, label, containment) of templates in windows of consecutive words."""
+    some = sorted({w for _, prefix, _, _ in searches for w in prefix})
+    rows = texts.select("doc_id", "h", _word_list(F.col("text")).alias("words"))
+    placed = F.transform("words", lambda w, at: F.struct(at.alias("at"), w.alias("word")))
+    rows = rows.select("doc_id", "h", "words", F.filter(placed, lambda x: x["word"].isin(some)).alias("anchors"))
+    held = [
+        F.struct(
+            F.lit(label).alias("label"),
+            (_most_in_window(F.col("words"), F.col("anchors"), prefix, words, span) / len(words)).alias("containment"),
+        )
+        for label, prefix, words, span in searches
+    ]
+    return rows.select("doc_id", "h", F.explode(F.array(*held)).alias("found")).select("doc_id", "h", "found.*").where("containment > 0")
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): word count, phrase places, labels and score.
 
@@ -141,11 +189,12 @@ def scan(docs: DataFrame) -> DataFrame:
     ranked = sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w))
     rank = {w: at for at, w in enumerate(ranked)}
 
-    entries, possible = [], F.lit(False)
+    entries, possible, searches = [], F.lit(False), []
     for number, (label, words) in enumerate(sets):
         ordered = sorted(words, key=rank.get)
         needed = _needed(len(words))
         prefix = ordered[: len(words) - needed + 1]
+        searches.append((label, prefix, words, _window(TEMPLATES[number][1])))
         entries += [(number, label, w, at, len(words), needed, ordered) for at, w in enumerate(prefix)]
         possible |= F.arrays_overlap("known", _texts(prefix)) & (
             F.size(F.array_intersect("known", _texts(words))) >= needed
@@ -171,6 +220,7 @@ def scan(docs: DataFrame) -> DataFrame:
     met = met.where((F.size("words") >= F.col("needed")) & (left + F.least("block_at", "template_at") >= F.col("needed")))
     shared = F.size(F.array_intersect("words", "template_words"))
     found = met.where(shared >= F.col("needed")).select("doc_id", "h", "label", (shared / F.col("template_size")).alias("containment"))
+    found = found.unionByName(_in_windows(texts, searches))
     labels = found.groupBy("doc_id", "h").agg(
         F.collect_set("label").alias("found"), F.max("containment").alias("containment")
     ).toDF("found_id", "found_h", "found", "containment")
