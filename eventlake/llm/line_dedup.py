@@ -2,8 +2,10 @@
 
 A line is dropped when the same line occurs earlier, or when a line within one
 edit (a character replaced, added or left out) first occurs before this line
-first does. Earlier means a smaller ``doc_id``, then a smaller line number; rows
-of one ``doc_id`` are one document, null ids come first. Lines of fewer than
+first does. Earlier means a smaller ``doc_id``, null ids first, then a smaller hash
+of the text, then a smaller line number. A row is known by its id and its text: rows
+that share an id, or have none, are told apart by their texts, and only rows equal
+in both are one document. Lines of fewer than
 ``min_chars`` characters, outer spaces not counted, always stay.
 
 1. Equal lines are grouped by 128 bits of their hash.
@@ -34,6 +36,8 @@ from eventlake.llm.store import stored
 SPLIT_OVER = 64
 
 LINE = ("h1", "h2")
+# A row of the documents: its id and 128 bits of its text's hash.
+ROW = ("doc_id", "t1", "t2")
 
 # Lines that are few enough for their hashes to be broadcast.
 BROADCAST_LINES = 500_000
@@ -83,20 +87,21 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     return (F.abs(gap) <= edits) & ((F.char_length(b) == 0) | (reached == 1))
 
 
+def _hashes(text: str, names: tuple[str, str]) -> list[Column]:
+    return [F.xxhash64(text).alias(names[0]), F.xxhash64(F.lit(1), text).alias(names[1])]
+
+
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, line_no, line, h1, h2) of every line that may be dropped."""
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line"),
-    )
+    """(doc_id, t1, t2, line_no, line, h1, h2) of every line that may be dropped."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.select("doc_id", *_hashes("text", ROW[1:]), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     rows = rows.where(F.char_length(F.trim("line")) >= min_chars)
-    return rows.select("*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+    return rows.select("*", *_hashes("line", LINE))
 
 
 def _position() -> Column:
-    """Document and line as one number: a fixed-width aggregate."""
-    doc = F.coalesce(F.col("doc_id").cast("decimal(19,0)"), F.lit(str(1 - 10**19)).cast("decimal(19,0)"))
-    return (doc * F.lit(10**10).cast("decimal(11,0)") + F.col("line_no")).cast("decimal(38,0)")
+    """Row and line; nulls sort first."""
+    return F.struct(*ROW, "line_no")
 
 
 def _distinct_lines(lines: DataFrame) -> DataFrame:
@@ -203,7 +208,7 @@ def _candidates(distinct: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataF
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = 20) -> DataFrame:
-    """(doc_id, dropped array<int>): line numbers, from 0, to drop from each document that has any."""
+    """(doc_id, t1, t2, dropped array<int>): line numbers, from 0, to drop from each row that has any."""
     lines = _lines(docs, min_chars)
     distinct = _distinct_lines(lines)
     pairs, texts = _candidates(distinct, lines)
@@ -223,9 +228,9 @@ def dropped_lines(docs: DataFrame, min_chars: int = 20) -> DataFrame:
     shadowed = late.distinct().withColumn("shadowed", F.lit(True))
     repeated = distinct.select(*LINE, "first", "n").join(shadowed, list(LINE), "left")
     repeated = repeated.where("n > 1 or shadowed").select(*LINE, "first", F.coalesce("shadowed", F.lit(False)).alias("shadowed"))
-    at = lines.select("doc_id", "line_no", *LINE, _position().alias("position")).join(repeated, list(LINE))
+    at = lines.select(*ROW, "line_no", *LINE, _position().alias("position")).join(repeated, list(LINE))
     drop = at.where("shadowed or position <> first")
-    return drop.groupBy("doc_id").agg(F.collect_set("line_no").alias("dropped"))
+    return drop.groupBy(*ROW).agg(F.collect_set("line_no").alias("dropped"))
 
 
 COUNTS = ("n_lines", "n_dropped")
@@ -237,8 +242,10 @@ def without_lines(docs: DataFrame, dropped: DataFrame, names: tuple[str, str] =
     A column of one of these names is replaced.
     """
     docs = docs.drop(*names)
-    side = dropped.select(F.col("doc_id").alias("_dropped_id"), F.col("dropped").alias("_dropped"))
-    joined = docs.join(side, docs["doc_id"].cast("long").eqNullSafe(side["_dropped_id"]), "left")
+    side = dropped.toDF("_dropped_id", "_dropped_t1", "_dropped_t2", "_dropped")
+    keyed = docs.select("*", F.col("text").cast("string").alias("_text")).select("*", *_hashes("_text", ("_t1", "_t2")))
+    same_text = (F.col("_t1") == F.col("_dropped_t1")) & (F.col("_t2") == F.col("_dropped_t2"))
+    joined = keyed.join(side, same_text & F.col("doc_id").cast("long").eqNullSafe(F.col("_dropped_id")), "left")
     joined = joined.withColumn("_lines", F.split(F.col("text").cast("string"), "\n"))
     n = F.coalesce(F.size("_lines"), F.lit(0))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped"))
