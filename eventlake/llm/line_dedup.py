@@ -5,8 +5,8 @@ edit (a character replaced, added or left out) first occurs before this line
 first does. Earlier means a smaller ``doc_id``, null ids first, then a smaller hash
 of the text, then a smaller line number. A row is known by its id and its text: rows
 that share an id, or have none, are told apart by their texts, and only rows equal
-in both are one document. Lines of fewer than
-``min_chars`` characters, outer spaces not counted, always stay.
+in both are one document. Blank lines always stay; lines of fewer than ``min_chars``
+characters, outer spaces not counted, go only as exact repeats.
 
 1. Equal lines are grouped by 128 bits of their hash.
 2. For a threshold of one edit a line has two segments. Of two lines within it,
@@ -91,11 +91,11 @@ def _hashes(text: str, names: tuple[str, str]) -> list[Column]:
     return [F.xxhash64(text).alias(names[0]), F.xxhash64(F.lit(1), text).alias(names[1])]
 
 
-def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
+def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, t1, t2, line_no, line, h1, h2) of every line that may be dropped."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.select("doc_id", *_hashes("text", ROW[1:]), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    rows = rows.where(F.char_length(F.trim("line")) >= min_chars)
+    rows = rows.where(F.col("line").rlike(r"\S"))
     return rows.select("*", *_hashes("line", LINE))
 
 
@@ -104,8 +104,8 @@ def _position() -> Column:
     return F.struct(*ROW, "line_no")
 
 
-def _distinct_lines(lines: DataFrame) -> DataFrame:
-    """One row per line text: hashes, length, segment keys, first position, occurrences."""
+def _distinct_lines(lines: DataFrame, min_chars: int) -> DataFrame:
+    """One row per line text: hashes, length, segment keys, whether near copies are searched, first position, occurrences."""
     size = F.char_length("line")
 
     def keys(length: Column) -> list[Column]:
@@ -119,13 +119,14 @@ def _distinct_lines(lines: DataFrame) -> DataFrame:
     named = lines.select(
         *LINE,
         size.alias("size"),
+        (F.char_length(F.trim("line")) >= min_chars).alias("searched"),
         own[0].alias("k0"),
         own[1].alias("k1"),
         shorter[0].alias("k2"),
         shorter[1].alias("k3"),
         _position().alias("position"),
     )
-    grouped = named.groupBy(*LINE, "size", "k0", "k1", "k2", "k3")
+    grouped = named.groupBy(*LINE, "size", "searched", "k0", "k1", "k2", "k3")
     return stored(grouped.agg(F.min("position").alias("first"), F.count("*").alias("n")), "lines")
 
 
@@ -186,7 +187,7 @@ def _candidates(distinct: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataF
         place("k2", 1, shorter_half, size, size - 1 - shorter_half),
         place("k3", 1, zero, shorter_half + 1, shorter_half),
     )
-    keyed = distinct.select(*LINE, F.explode(places).alias("place")).select(*LINE, "place.*")
+    keyed = distinct.where("searched").select(*LINE, F.explode(places).alias("place")).select(*LINE, "place.*")
     shared = stored(_shared(keyed), "shared-keys")
     wanted = shared.select(*LINE).distinct()
     # Texts are shuffled only where the list of lines is too long to be broadcast.
@@ -209,8 +210,8 @@ def _candidates(distinct: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataF
 
 def dropped_lines(docs: DataFrame, min_chars: int = 20) -> DataFrame:
     """(doc_id, t1, t2, dropped array<int>): line numbers, from 0, to drop from each row that has any."""
-    lines = _lines(docs, min_chars)
-    distinct = _distinct_lines(lines)
+    lines = _lines(docs)
+    distinct = _distinct_lines(lines, min_chars)
     pairs, texts = _candidates(distinct, lines)
     a = texts.toDF("a1", "a2", "a")
     b = texts.toDF("b1", "b2", "b")

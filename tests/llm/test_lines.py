@@ -23,3 +23,8 @@ def test_rows_that_share_an_id_keep_their_own_lines(spark, doc_id):
     assert found[-1] == rows[-1][1]
     assert all(u in t and u[::-1] in t for u, t in zip(unique, found))
     assert sum(common in t for t in found) == 1
+
+
+def test_short_repeats_go_and_blank_lines_stay(spark):
+    rows = [(1, "Les.\n\nLes.\n  \nLet."), (2, "Les.\n\n\t\nfish"), (3, "fish"), (None, "Let.")]
+    assert texts(spark, rows) == ["Les.\n\n  ", "\n\t\nfish", "", "Let."]
