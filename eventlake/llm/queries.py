@@ -12,6 +12,7 @@ from eventlake.llm import (
     attention_lm,
     binary_records,
     decontaminate,
+    filter_audit,
     fingerprint,
     language_id,
     license_scan,
@@ -90,6 +91,10 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ordinal_quality": op1_ordinal_quality,
@@ -102,8 +107,58 @@ def queries() -> dict[str, Query]:
         "op8_cross_parsing": op8_cross_parsing,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_line_dedup": op10_line_dedup,
+        "op11_filter_audit": op11_filter_audit,
     }
 
 
+# Every order is walked filter by filter, without ranks or intervals.
+AUDIT_SQL = r"""
+with doc as (
+    select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t from documents
+), word as (
+    select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w from doc
+), least_id as (select t, min(doc_id) as least from doc group by t),
+label as (
+    select doc_id as label_id, max(coalesce(quality, 0) = 1) as good, max(coalesce(toxic, 0) = 1) as toxic
+    from labels group by doc_id
+), fail as (
+    select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+        case when len(w) < 200 then 'A' else '' end
+        || case when 100 * len(list_distinct(w)) < 50 * len(w) then 'B' else '' end
+        || case when 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t) then 'C' else '' end
+        || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+        || case when doc_id > least then 'E' else '' end as failed
+    from word join least_id using (t) left join label on doc_id = label_id
+), mask as (
+    select part, failed, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic
+    from fail group by all
+), letter(f) as (values ('A'), ('B'), ('C'), ('D'), ('E')),
+orders as (
+    select a.f || b.f || c.f || d.f || e.f as filter_order from letter a, letter b, letter c, letter d, letter e
+    where len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), place as (
+    select filter_order, step, filter_order[step] as f, filter_order[1:step - 1] as before
+    from orders, range(1, 6) as s(step)
+), cell as (
+    select part, filter_order, step, f,
+        sum(n) filter (not hit_before) as here, sum(n) filter (hit and not hit_before) as removed,
+        sum(n) filter (hit and hit_before) as redundant, sum(n) filter (failed = f) as unique_fails,
+        sum(good) filter (hit and not hit_before) as good_lost,
+        sum(toxic) filter (hit and not hit_before) as toxic_lost
+    from (select *, contains(failed, f) as hit,
+            len(list_intersect(string_split(failed, ''), string_split(before, ''))) > 0 and before <> '' as hit_before
+        from mask, place)
+    group by part, filter_order, step, f
+)
+select part, filter_order, cast(step as integer) as step,
+    cast(coalesce(here, 0) - coalesce(removed, 0) as bigint) as kept,
+    cast(coalesce(removed, 0) as bigint) as removed, cast(coalesce(redundant, 0) as bigint) as redundant,
+    cast(coalesce(unique_fails, 0) as bigint) as unique_fails,
+    cast(coalesce(good_lost, 0) as bigint) as good_lost, cast(coalesce(toxic_lost, 0) as bigint) as toxic_lost,
+    cast(sum(coalesce(removed, 0)) over (partition by part, f) as bigint) as shapley
+from cell
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_filter_audit": AUDIT_SQL}
