@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eventlake.llm import (
     attention_lm,
     binary_records,
+    collocations,
     decontaminate,
     filter_audit,
     fingerprint,
@@ -95,6 +96,10 @@ def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"), support=30, top=2000)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ordinal_quality": op1_ordinal_quality,
@@ -108,6 +113,7 @@ def queries() -> dict[str, Query]:
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_line_dedup": op10_line_dedup,
         "op11_filter_audit": op11_filter_audit,
+        "op13_collocations": op13_collocations,
     }
 
 
@@ -160,5 +166,39 @@ from cell
 """
 
 
+# All phrases are counted at once, without shards or candidates.
+COLLOCATION_SQL = r"""
+with piece as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+), word as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from piece),
+total as (select lang, sum(len(w)) as n from word group by lang),
+gram as (
+    select lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') for i in range(1, len(w) - k + 2)]) as phrase
+    from word, range(1, 5) as o(k)
+), f as (select lang, k, phrase, count(*) as f from gram group by all having count(*) >= 30),
+candidate as (select lang, phrase, f as a, string_split(phrase, ' ') as w from f where k > 1),
+cut as (
+    select c.lang, c.phrase, a, w, c.k, l.f as l, r.f as r, 2000000 * a // (l.f + r.f) as score
+    from (select *, unnest(range(1, len(w))) as k from candidate) c
+    join f l on l.lang = c.lang and l.phrase = array_to_string(w[1:c.k], ' ')
+    join f r on r.lang = c.lang and r.phrase = array_to_string(w[c.k + 1:], ' ')
+), lowest as (
+    select * from cut qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), inside as (
+    select lang, array_to_string(w[i:i + s - 1], ' ') as phrase, max(a) as longer
+    from candidate, range(2, 4) as x(s), range(1, 4) as y(i)
+    where s < len(w) and i + s - 1 <= len(w) group by 1, 2
+), ranked as (
+    select o.*, row_number() over (partition by o.lang order by score desc, a desc, encode(o.phrase)) as rank
+    from lowest o left join inside i on i.lang = o.lang and i.phrase = o.phrase
+    where longer is null or 100 * longer < 80 * a
+)
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score
+from ranked join total using (lang) where rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op11_filter_audit": AUDIT_SQL}
+    return {"op11_filter_audit": AUDIT_SQL, "op13_collocations": COLLOCATION_SQL}
