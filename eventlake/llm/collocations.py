@@ -29,44 +29,44 @@ BREAKS = words.separators(*((ord(c), ord(c)) for c in ".,;:!?"), (0x0A, 0x0D))
 SEPARATORS = BREAKS | words.separators((0x20, 0x20), (0x09, 0x09))
 
 # Phrases that a task gathers before it hands their counts on.
-GATHERED = 1 << 22
+GATHERED = 1 << 21
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Grams:
-    """Words and phrases of one slice of texts."""
+    """Words and phrases of one slice of texts; hashes are made of the wanted numbers of words."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, seeds: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, seeds: np.ndarray, orders: tuple[int, ...]):
         self.data = data
         hashes, bounds, self.starts, self.ends = words.word_hashes(data, offsets, SEPARATORS)
-        self.row = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
-        breaks = np.zeros(len(data) + 1, dtype=np.int64)
+        self.row = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(bounds))
+        breaks = np.zeros(len(data) + 1, dtype=np.int32)
         np.cumsum(BREAKS[data], out=breaks[1:])
         # Breaks and rows both only rise, so equal sums are the same piece of the same row.
         piece = breaks[self.starts] + self.row
-        self.inside = [piece[: len(piece) - k + 1] == piece[k - 1 :] for k in range(1, LONGEST + 1)]
-        rolling, self.hashes = np.zeros(len(hashes), dtype=np.uint64), []
-        for k in range(1, LONGEST + 1):
-            if k > 1:
-                rolling = rolling[:-1]
-            rolling = rolling * _ODD + hashes[k - 1 :]
-            self.hashes.append(words.mix(rolling ^ seeds[self.row[: len(rolling)]]))
+        seeds = seeds[self.row]
+        rolling, self.hashes, self.inside = np.zeros(len(hashes), dtype=np.uint64), {}, {}
+        for k in range(1, max(orders) + 1):
+            rolling = rolling[: len(hashes) - k + 1] * _ODD + hashes[k - 1 :]
+            if k in orders:
+                self.hashes[k] = words.mix(rolling ^ seeds[: len(rolling)])
+                self.inside[k] = piece[: len(rolling)] == piece[k - 1 :]
 
     def at(self, k: int) -> np.ndarray:
         """Where phrases of ``k`` words begin."""
-        return np.flatnonzero(self.inside[k - 1])
+        return np.flatnonzero(self.inside[k])
 
     def text(self, at: int, k: int) -> bytes:
         spans = zip(self.starts[at : at + k].tolist(), self.ends[at : at + k].tolist())
         return b" ".join(self.data[s:e].tobytes().lower() for s, e in spans)
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[tuple[slice, Grams]]:
+def _slices(batch: pa.RecordBatch, orders: tuple[int, ...]) -> Iterator[tuple[slice, Grams]]:
     seeds = batch.column("seed").to_numpy(zero_copy_only=False).view(np.uint64)
     for first, data, offsets in words.slices(batch.column("text")):
         rows = slice(first, first + len(offsets) - 1)
-        yield rows, Grams(data, offsets, seeds[rows])
+        yield rows, Grams(data, offsets, seeds[rows], orders)
 
 
 def _salted(hashes: np.ndarray, salt: np.ndarray | int, bits: int) -> np.ndarray:
@@ -83,47 +83,63 @@ def _salt(shard, bits: int):
     return (shard * 0x9E3779B1) % (1 << bits)
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct key occurs once, and how often it occurs."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return order[first], np.diff(np.append(first, len(keys)))
+
+
 def _mine(orders: tuple[int, ...], pairs=None, bits: int = 0):
     """Counts of the phrases of a task's texts by shard and language; ``pairs`` is a filter of the pairs they may hold."""
 
-    def gathered(parts):
-        if not parts:
-            return
-        hashes, shards, langs, ks = (np.concatenate(c) for c in zip(*parts))
-        keys = words.mix(hashes + shards.astype(np.uint64) * _ODD + ks.astype(np.uint64))
-        _, at, n = np.unique(keys, return_index=True, return_counts=True)
-        columns = [shards[at], langs[at], ks[at], hashes[at].view(np.int64), n.astype(np.int64)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shard", "lang", "k", "h", "n"])
+    def gathered(parts, k, shard, seed):
+        hashes, rows = (np.concatenate(c) for c in zip(*parts))
+        at, n = _distinct(words.mix(hashes + shard[rows].astype(np.uint64) * _ODD))
+        rows = rows[at]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(shard[rows]),
+                pa.array(seed[rows]),
+                pa.array(np.full(len(at), k, np.int32)),
+                pa.array(hashes[at].view(np.int64)),
+                pa.array(n.astype(np.int64)),
+            ],
+            names=["shard", "seed", "k", "h", "n"],
+        )
 
     def run(batches):
         for batch in batches:
             shard = batch.column("shard").to_numpy(zero_copy_only=False)
-            lang = batch.column("lang").to_numpy(zero_copy_only=False)
-            parts, held = [], 0
-            for rows, grams in _slices(batch):
+            seed = batch.column("seed").to_numpy(zero_copy_only=False)
+            parts, held = {k: [] for k in orders}, dict.fromkeys(orders, 0)
+            for rows, grams in _slices(batch, orders if pairs is None else (2, *orders)):
                 near = None
                 if pairs is not None:
-                    salt = _salt(shard[rows].astype(np.int64)[grams.row[: len(grams.hashes[1])]], bits)
-                    near = _has(pairs.value, _salted(grams.hashes[1], salt, bits)) & grams.inside[1]
+                    salt = _salt(shard[rows].astype(np.int64), bits)[grams.row[: len(grams.hashes[2])]]
+                    near = _has(pairs.value, _salted(grams.hashes[2], salt, bits)) & grams.inside[2]
                 for k in orders:
                     at = grams.at(k)
                     if near is not None:
                         for step in range(k - 1):
                             at = at[near[at + step]]
                     if len(at):
-                        row = grams.row[at] + rows.start
-                        parts.append((grams.hashes[k - 1][at], shard[row], lang[row], np.full(len(at), k, np.int32)))
-                        held += len(at)
-                if held > GATHERED:
-                    yield from gathered(parts)
-                    parts, held = [], 0
-            yield from gathered(parts)
+                        parts[k].append((grams.hashes[k][at], grams.row[at] + np.int32(rows.start)))
+                        held[k] += len(at)
+                    if held[k] > GATHERED:
+                        yield from gathered(parts[k], k, shard, seed)
+                        parts[k], held[k] = [], 0
+            for k in orders:
+                if held[k]:
+                    yield from gathered(parts[k], k, shard, seed)
 
     return run
 
 
 def _count(candidates, bits: int):
     """Counts of candidate phrases, by their text."""
+    orders = tuple(range(1, LONGEST + 1))
 
     def gathered(counts):
         langs, phrases, numbers = zip(*counts.values())
@@ -136,20 +152,22 @@ def _count(candidates, bits: int):
         counts: dict[tuple, list] = {}
         for batch in batches:
             lang = batch.column("lang").to_numpy(zero_copy_only=False)
-            for rows, grams in _slices(batch):
-                near = [_has(candidates.value, _salted(h, 0, bits)) for h in grams.hashes]
-                for k in range(1, LONGEST + 1):
-                    at = np.flatnonzero(near[k - 1] & grams.inside[k - 1])
+            for rows, grams in _slices(batch, orders):
+                near = {k: _has(candidates.value, _salted(grams.hashes[k], 0, bits)) for k in orders}
+                for k in orders:
+                    at = np.flatnonzero(near[k] & grams.inside[k])
                     for step in range(k - 1):
-                        at = at[near[1][at + step]]
-                    hashes, first, n = np.unique(grams.hashes[k - 1][at], return_index=True, return_counts=True)
+                        at = at[near[2][at + step]]
+                    hashes = grams.hashes[k][at]
+                    first, n = _distinct(hashes)
+                    hashes = hashes[first]
                     for h, where, m in zip(hashes.tolist(), at[first].tolist(), n.tolist()):
                         known = counts.get((k, h))
                         if known is None:
                             counts[k, h] = [lang[rows.start + grams.row[where]], grams.text(where, k), m]
                         else:
                             known[2] += m
-                if len(counts) > GATHERED >> 4:
+                if len(counts) > GATHERED >> 3:
                     yield from gathered(counts)
                     counts = {}
         if counts:
@@ -171,7 +189,8 @@ def _filter(frequent: DataFrame, place, bits: int):
 def phrase_counts(
     docs: DataFrame, support: int = 30, shards: int = 6, filter_bits: int = 27
 ) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, f) of all phrases of 1 to 4 words with f >= ``support``, and (lang, n) of all words.
+    """(lang, phrase, f) of all phrases of 1 to 4 words with f >= ``support``, and (lang, n)
+    of all words of the languages that have one.
 
     ``A-Z`` counts as ``a-z``; texts are cut at ``[.,;:!?\\x0A-\\x0D]``; words are runs
     of anything but space and tab; phrases stay within a piece. Null texts are empty, a
@@ -185,25 +204,27 @@ def phrase_counts(
         F.xxhash64(lang).alias("seed"),
         "text",
     )
-    ddl = "shard int, lang string, k int, h long, n long"
+    ddl = "shard int, seed long, k int, h long, n long"
     place = F.col("h").bitwiseAND(mask)
     salted = place.bitwiseXOR(_salt(F.col("shard").cast("long"), filter_bits))
 
     def summed(orders, name, *filter_):
-        counts = texts.mapInArrow(_mine(orders, *filter_), ddl)
-        return stored(counts.groupBy("shard", "lang", "k", "h").agg(F.sum("n").alias("n")), name)
+        # The number of words and the language are part of the hash.
+        counts = texts.select("shard", "seed", "text").mapInArrow(_mine(orders, *filter_), ddl)
+        counts = counts.groupBy("h", "shard").agg(F.sum("n").alias("n"), F.max("seed").alias("seed"), F.max("k").alias("k"))
+        return stored(counts, name)
 
     short = summed((1, 2), "phrases-short")
-    sizes = short.where("k = 1").groupBy("shard", "lang").agg(F.sum("n").alias("size"))
+    sizes = short.where("k = 1").groupBy("shard", "seed").agg(F.sum("n").alias("size"))
     sizes = stored(sizes, "phrases-sizes")
-    totals = sizes.groupBy("lang").agg(F.sum("size").alias("n"))
+    totals = sizes.groupBy("seed").agg(F.sum("size").alias("n"))
     # The least count that is not below the shard's share of the support.
-    least = sizes.join(totals, "lang").select(
-        "shard", "lang", F.expr(f"({support} * size + n - 1) div n").alias("least")
+    least = sizes.join(totals, "seed").select(
+        "shard", "seed", F.expr(f"({support} * size + n - 1) div n").alias("least")
     )
 
     def frequent(counts):
-        return counts.join(least, ["shard", "lang"]).where("n >= least").select("shard", "k", "h")
+        return counts.join(least, ["shard", "seed"]).where("n >= least").select("shard", "k", "h")
 
     short = stored(frequent(short), "phrases-frequent")
     pairs = _filter(short.where("k = 2"), salted, filter_bits)
@@ -216,7 +237,8 @@ def phrase_counts(
     counts = stored(counts, "phrase-counts")
     pairs.unpersist()
     candidates.unpersist()
-    return counts, totals
+    names = counts.select("lang").distinct().withColumn("seed", F.xxhash64("lang"))
+    return counts, names.join(totals, "seed").select("lang", "n")
 
 
 def _parts(name: str, where: str):
