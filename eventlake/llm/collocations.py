@@ -29,7 +29,7 @@ BREAKS = words.separators(*((ord(c), ord(c)) for c in ".,;:!?"), (0x0A, 0x0D))
 SEPARATORS = BREAKS | words.separators((0x20, 0x20), (0x09, 0x09))
 
 # Phrases that a task gathers before it hands their counts on.
-GATHERED = 1 << 21
+GATHERED = 3 << 19
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -57,10 +57,6 @@ class Grams:
         """Where phrases of ``k`` words begin."""
         return np.flatnonzero(self.inside[k])
 
-    def text(self, at: int, k: int) -> bytes:
-        spans = zip(self.starts[at : at + k].tolist(), self.ends[at : at + k].tolist())
-        return b" ".join(self.data[s:e].tobytes().lower() for s, e in spans)
-
 
 def _slices(batch: pa.RecordBatch, orders: tuple[int, ...]) -> Iterator[tuple[slice, Grams]]:
     seeds = batch.column("seed").to_numpy(zero_copy_only=False).view(np.uint64)
@@ -69,109 +65,133 @@ def _slices(batch: pa.RecordBatch, orders: tuple[int, ...]) -> Iterator[tuple[sl
         yield rows, Grams(data, offsets, seeds[rows], orders)
 
 
-def _salted(hashes: np.ndarray, salt: np.ndarray | int, bits: int) -> np.ndarray:
-    """Places in a filter; a shard's salt moves its phrases elsewhere."""
-    return (hashes & np.uint64((1 << bits) - 1)).astype(np.int64) ^ salt
+# What shards a hash may be salted for: a shard and a number of words share eight bits.
+MOST_SHARDS = 31
 
+SALTS = words.mix(np.arange(1, MOST_SHARDS + 1, dtype=np.uint64) * _ODD)
 
-def _has(filter_: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return (filter_[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
 
+def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Places in a filter."""
+    return (hashes & np.uint64((1 << bits) - 1)).astype(np.int64)
 
-def _salt(shard, bits: int):
-    """The salt of a shard, as number, array or column."""
-    return (shard * 0x9E3779B1) % (1 << bits)
+
+def _has(filter_: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (filter_[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
 
 
-def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each distinct key occurs once, and how often it occurs."""
+def _distinct(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct key occurs once, and how often it occurs, or the sum of its ``n``."""
+    if not len(keys):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     order = np.argsort(keys)
     keys = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return order[first], np.diff(np.append(first, len(keys)))
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    if n is None:
+        return order[first], np.diff(np.append(first, len(keys)))
+    return order[first], np.add.reduceat(n[order], first, dtype=np.int64)
 
 
 def _mine(orders: tuple[int, ...], pairs=None, bits: int = 0):
     """Counts of the phrases of a task's texts by shard and language; ``pairs`` is a filter of the pairs they may hold."""
 
-    def gathered(parts, k, shard, seed):
-        hashes, rows = (np.concatenate(c) for c in zip(*parts))
-        at, n = _distinct(words.mix(hashes + shard[rows].astype(np.uint64) * _ODD))
-        rows = rows[at]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(shard[rows]),
-                pa.array(seed[rows]),
-                pa.array(np.full(len(at), k, np.int32)),
-                pa.array(hashes[at].view(np.int64)),
-                pa.array(n.astype(np.int64)),
-            ],
-            names=["shard", "seed", "k", "h", "n"],
-        )
-
     def run(batches):
         for batch in batches:
             shard = batch.column("shard").to_numpy(zero_copy_only=False)
             seed = batch.column("seed").to_numpy(zero_copy_only=False)
-            parts, held = {k: [] for k in orders}, dict.fromkeys(orders, 0)
+            held = {k: Held() for k in orders}
             for rows, grams in _slices(batch, orders if pairs is None else (2, *orders)):
+                # A shard's phrases are told apart from those of others by a salt.
+                salts = SALTS[shard[rows]][grams.row]
                 near = None
                 if pairs is not None:
-                    salt = _salt(shard[rows].astype(np.int64), bits)[grams.row[: len(grams.hashes[2])]]
-                    near = _has(pairs.value, _salted(grams.hashes[2], salt, bits)) & grams.inside[2]
+                    salted = grams.hashes[2] ^ salts[: len(grams.hashes[2])]
+                    near = _has(pairs.value, _places(salted, bits)) & grams.inside[2]
                 for k in orders:
                     at = grams.at(k)
                     if near is not None:
                         for step in range(k - 1):
                             at = at[near[at + step]]
-                    if len(at):
-                        parts[k].append((grams.hashes[k][at], grams.row[at] + np.int32(rows.start)))
-                        held[k] += len(at)
-                    if held[k] > GATHERED:
-                        yield from gathered(parts[k], k, shard, seed)
-                        parts[k], held[k] = [], 0
+                    held[k].add(grams.hashes[k][at] ^ salts[at], grams.row[at] + np.int32(rows.start))
+                    if held[k].is_full():
+                        yield _counts(*held[k].take(), k, shard, seed)
             for k in orders:
-                if held[k]:
-                    yield from gathered(parts[k], k, shard, seed)
+                yield _counts(*held[k].take(), k, shard, seed)
 
     return run
 
 
+class Held:
+    """Phrases that a task has seen: salted hash, a row that has it, count."""
+
+    def __init__(self):
+        self.parts, self.size = [], 0
+
+    def add(self, hashes: np.ndarray, rows: np.ndarray) -> None:
+        self.parts.append((hashes, rows, np.ones(len(hashes), dtype=np.int32)))
+        self.size += len(hashes)
+
+    def is_full(self) -> bool:
+        """Whether much is held that does not repeat."""
+        if self.size > GATHERED:
+            self.parts = [self._merged()]
+            self.size = len(self.parts[0][0])
+        return self.size > GATHERED // 2
+
+    def _merged(self):
+        hashes, rows, n = (np.concatenate(c) for c in zip(*self.parts))
+        self.parts = []
+        at, n = _distinct(hashes, n)
+        return hashes[at], rows[at], n
+
+    def take(self):
+        self.add(np.zeros(0, np.uint64), np.zeros(0, np.int32))
+        merged, self.parts, self.size = self._merged(), [], 0
+        return merged
+
+
+def _counts(hashes, rows, n, k: int, shard: np.ndarray, seed: np.ndarray) -> pa.RecordBatch:
+    kind = seed[rows] | (shard[rows].astype(np.int64) << 3) | k
+    columns = [hashes.view(np.int64), kind, n.astype(np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "kind", "n"])
+
+
 def _count(candidates, bits: int):
-    """Counts of candidate phrases, by their text."""
+    """Counts of candidate phrases with their text, as it stands in one place."""
     orders = tuple(range(1, LONGEST + 1))
 
-    def gathered(counts):
-        langs, phrases, numbers = zip(*counts.values())
+    def gathered(parts, chunks, lang):
+        hashes, rows, starts, ends = (np.concatenate(c) for c in zip(*parts))
+        at, n = _distinct(hashes)
+        starts, ends = starts[at], ends[at]
+        limits = np.concatenate([[0], np.cumsum(ends - starts)])
+        source = np.arange(limits[-1]) + np.repeat(starts - limits[:-1], ends - starts)
+        text = np.concatenate(chunks)[source]
+        phrases = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(limits.astype(np.int64)), pa.py_buffer(text))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(langs), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(numbers, pa.int64())],
-            names=["lang", "phrase", "n"],
+            [lang.take(pa.array(rows[at])), phrases.cast(pa.string()), pa.array(n)], names=["lang", "phrase", "n"]
         )
 
     def run(batches):
-        counts: dict[tuple, list] = {}
         for batch in batches:
-            lang = batch.column("lang").to_numpy(zero_copy_only=False)
+            lang = batch.column("lang")
+            parts, chunks, size, base = [], [], 0, 0
             for rows, grams in _slices(batch, orders):
-                near = {k: _has(candidates.value, _salted(grams.hashes[k], 0, bits)) for k in orders}
+                near = {k: _has(candidates.value, _places(grams.hashes[k], bits)) for k in orders}
                 for k in orders:
                     at = np.flatnonzero(near[k] & grams.inside[k])
                     for step in range(k - 1):
                         at = at[near[2][at + step]]
-                    hashes = grams.hashes[k][at]
-                    first, n = _distinct(hashes)
-                    hashes = hashes[first]
-                    for h, where, m in zip(hashes.tolist(), at[first].tolist(), n.tolist()):
-                        known = counts.get((k, h))
-                        if known is None:
-                            counts[k, h] = [lang[rows.start + grams.row[where]], grams.text(where, k), m]
-                        else:
-                            known[2] += m
-                if len(counts) > GATHERED >> 3:
-                    yield from gathered(counts)
-                    counts = {}
-        if counts:
-            yield from gathered(counts)
+                    spans = grams.starts[at] + base, grams.ends[at + k - 1] + base
+                    parts.append((grams.hashes[k][at], grams.row[at] + np.int32(rows.start), *spans))
+                    size += len(at)
+                chunks.append(grams.data)
+                base += len(grams.data)
+                if size > GATHERED:
+                    yield from gathered(parts, chunks, lang)
+                    parts, chunks, size, base = [], [], 0, 0
+            if size:
+                yield from gathered(parts, chunks, lang)
 
     return run
 
@@ -187,7 +207,7 @@ def _filter(frequent: DataFrame, place, bits: int):
 
 
 def phrase_counts(
-    docs: DataFrame, support: int = 30, shards: int = 6, filter_bits: int = 27
+    docs: DataFrame, support: int = 30, shards: int = 3, filter_bits: int = 27
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, f) of all phrases of 1 to 4 words with f >= ``support``, and (lang, n)
     of all words of the languages that have one.
@@ -197,22 +217,22 @@ def phrase_counts(
     null ``lang`` is ``und``. Equal rows count each. More than ``support`` shards would
     lower a shard's support to one occurrence.
     """
-    lang, mask = F.coalesce(F.col("lang"), F.lit("und")), (1 << filter_bits) - 1
+    if not 1 <= shards <= MOST_SHARDS:
+        raise ValueError(f"1 to {MOST_SHARDS} shards, not {shards}")
+    lang = F.coalesce(F.col("lang"), F.lit("und"))
+    seed = F.xxhash64("lang").bitwiseAND(-256)
     texts = docs.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"),
-        lang.alias("lang"),
-        F.xxhash64(lang).alias("seed"),
-        "text",
-    )
-    ddl = "shard int, seed long, k int, h long, n long"
-    place = F.col("h").bitwiseAND(mask)
-    salted = place.bitwiseXOR(_salt(F.col("shard").cast("long"), filter_bits))
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"), lang.alias("lang"), "text"
+    ).withColumn("seed", seed)
+    place = F.col("h").bitwiseAND((1 << filter_bits) - 1)
 
     def summed(orders, name, *filter_):
-        # The number of words and the language are part of the hash.
-        counts = texts.select("shard", "seed", "text").mapInArrow(_mine(orders, *filter_), ddl)
-        counts = counts.groupBy("h", "shard").agg(F.sum("n").alias("n"), F.max("seed").alias("seed"), F.max("k").alias("k"))
-        return stored(counts, name)
+        # Language, shard and number of words are part of the hash; kind says them again.
+        counts = texts.select("shard", "seed", "text").mapInArrow(_mine(orders, *filter_), "h long, kind long, n long")
+        counts = stored(counts.groupBy("h").agg(F.sum("n").alias("n"), F.max("kind").alias("kind")), name)
+        return counts.selectExpr(
+            "h", "n", "kind & 7 as k", "cast((kind & 255) div 8 as int) as shard", "kind & -256 as seed"
+        )
 
     short = summed((1, 2), "phrases-short")
     sizes = short.where("k = 1").groupBy("shard", "seed").agg(F.sum("n").alias("size"))
@@ -224,20 +244,25 @@ def phrase_counts(
     )
 
     def frequent(counts):
-        return counts.join(least, ["shard", "seed"]).where("n >= least").select("shard", "k", "h")
+        return counts.join(least, ["shard", "seed"]).where("n >= least").select("k", "shard", "h")
 
     short = stored(frequent(short), "phrases-frequent")
-    pairs = _filter(short.where("k = 2"), salted, filter_bits)
+    pairs = _filter(short.where("k = 2"), place, filter_bits)
     long = frequent(summed((3, 4), "phrases-long", pairs, filter_bits))
-    candidates = _filter(short.unionByName(long), place, filter_bits)
+    salt = F.element_at(F.lit(SALTS.view(np.int64).tolist()), F.col("shard") + 1)
+    union = short.unionByName(long).withColumn("h", F.col("h").bitwiseXOR(salt))
+    candidates = _filter(union, place, filter_bits)
     counts = texts.select("lang", "seed", "text").mapInArrow(
         _count(candidates, filter_bits), "lang string, phrase string, n long"
     )
-    counts = counts.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= support)
+    # Signs between the words, and capitals, as they stood in the place that was kept.
+    phrase = F.regexp_replace("phrase", "[\\x20\\x09]+", " ")
+    phrase = F.translate(phrase, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    counts = counts.groupBy("lang", phrase.alias("phrase")).agg(F.sum("n").alias("f")).where(F.col("f") >= support)
     counts = stored(counts, "phrase-counts")
     pairs.unpersist()
     candidates.unpersist()
-    names = counts.select("lang").distinct().withColumn("seed", F.xxhash64("lang"))
+    names = counts.select("lang").distinct().withColumn("seed", seed)
     return counts, names.join(totals, "seed").select("lang", "n")
 
 
@@ -246,7 +271,7 @@ def _parts(name: str, where: str):
 
 
 def collocations(
-    docs: DataFrame, support: int = 30, top: int = 2000, shards: int = 6, filter_bits: int = 27
+    docs: DataFrame, support: int = 30, top: int = 2000, shards: int = 3, filter_bits: int = 27
 ) -> DataFrame:
     """Each language's first ``top`` phrases of 2 to 4 words by how firmly their words hold together.
 
