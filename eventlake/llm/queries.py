@@ -20,6 +20,7 @@ from eventlake.llm import (
     line_dedup,
     ngram_join,
     packing,
+    private_spans,
     quality,
 )
 from eventlake.llm.store import table
@@ -96,6 +97,10 @@ def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op12_private_spans(spark: SparkSession, sf: str) -> DataFrame:
+    return private_spans.scan(table(spark, sf, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.collocations(table(spark, sf, "documents"), support=30, top=2000)
 
@@ -113,6 +118,7 @@ def queries() -> dict[str, Query]:
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_line_dedup": op10_line_dedup,
         "op11_filter_audit": op11_filter_audit,
+        "op12_private_spans": op12_private_spans,
         "op13_collocations": op13_collocations,
     }
 
