@@ -199,6 +199,23 @@ def missing_schemas(spark: SparkSession, sf: str) -> DataFrame:
     return registry.missing_schemas(_framed_by_user(spark, sf), _customer_schemas(spark, sf))
 
 
+def schema_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Of a table of all schemas, only what the events' ids need is read."""
+    store = registry.SchemaTable(spark, new_folder(spark, "schema-table"))
+    store.write(_customer_schemas(spark, sf))
+    return store.needed(registry.schema_ids(_framed_by_user(spark, sf)))
+
+
+def schema_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents under a prefix, one per supplier nation."""
+    root = new_folder(spark, "documents")
+    rows = samples.table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("id"))
+    rows.agg(F.max("s_name").alias("value")).write.partitionBy("id").text(f"{root}/schema_id")
+    documents = registry.read_documents(spark, root, "schema_id", documents="*.txt")
+    number = F.regexp_extract("subject", "^id=([0-9]+)/", 1).cast("int")
+    return documents.select(number.alias("id"), F.rtrim("body", F.lit("\n")).alias("body"))
+
+
 # ------------------------------------------------------------ JSON payloads
 
 
@@ -437,6 +454,34 @@ def ack_stream(spark: SparkSession, sf: str) -> DataFrame:
     ).select("topic", "key", "e.*")
 
 
+def ack_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
+    """Each seventh result has no event id, which the schema requires: it is set aside."""
+    folder = new_folder(spark, "acks")
+    lost = F.when(F.col("event_id").cast("long") % 7 > 0, F.col("event_id"))
+    results = samples.ack_results(_events(spark, sf)).withColumn("event_id", lost)
+    results.repartition(3).write.parquet(f"{folder}/results")
+    query = jobs.produce_acks(
+        sources.file_stream(spark, f"{folder}/results", ack.RESULT_DDL, max_files=1),
+        _ack_registry(spark, sf),
+        "core",
+        f"{folder}/checkpoint",
+        AVAILABLE_NOW,
+        fmt="parquet",
+        options={"path": f"{folder}/sent"},
+        dead_letters=f"{folder}/lost",
+    )
+    query.awaitTermination()
+    store = _ack_registry(spark, sf).select(F.col("schema_id").cast("string"), "body")
+    sent = spark.read.parquet(f"{folder}/sent")
+    sent = avro.decode_events(envelope.add_header(sent), store)
+    sent = sent.select("key", F.from_json(samples.landed_json(), "event_id string, errors string").alias("e"))
+    sent = sent.select("key", "e.event_id", "e.errors", F.lit(None).cast("string").alias("encode_error"))
+    dead = spark.read.parquet(f"{folder}/lost")
+    return sent.unionByName(
+        dead.select(F.col("transaction_id").alias("key"), "event_id", "errors", "encode_error")
+    )
+
+
 # ------------------------------------------------------------ landing
 
 
@@ -478,6 +523,28 @@ def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     return _landed_view(sinks.read_landing(spark, path, LANDED_DDL))
 
 
+def ingest_restarted(spark: SparkSession, sf: str) -> DataFrame:
+    """Some topics of a message stream, stopped halfway, continued from its checkpoint."""
+    folder = new_folder(spark, "restarted")
+    events = _events(spark, sf)
+    log = samples.avro_messages(events)
+    table = registry.SchemaTable(spark, f"{folder}/schemas")
+    table.write(samples.avro_schemas(events))
+    topics = [f"eu-{kind}.events.v1" for kind in samples.EVENT_TYPES]
+    for half in range(2):
+        part = log.where(F.pmod("offset", F.lit(2)) == half)
+        part.repartition(2).write.mode("append").parquet(f"{folder}/log")
+        options = {"path": f"{folder}/log", "maxFilesPerTrigger": "1"}
+        stream = sources.event_stream(spark, "parquet", options, log.schema, topics)
+        query = jobs.ingest(
+            stream, [_route(folder)], f"{folder}/checkpoint", AVAILABLE_NOW, schemas=lambda _: table
+        )
+        query.awaitTermination()
+    landed = sinks.read_landing(spark, f"{folder}/landing", LANDED_DDL, batches=True)
+    columns = ("kafka_metadata_topic", "kafka_metadata_offset", "kafka_metadata_schemaid", "decode_error")
+    return _flat_columns(landed, samples.landed_json(), *columns)
+
+
 def ingest_json(spark: SparkSession, sf: str) -> DataFrame:
     path = _ingest(spark, sf, "batch", "json")
     return _landed_view(sinks.read_landing(spark, path, LANDED_DDL, batches=True))
@@ -570,6 +637,34 @@ def windowed_sum(spark: SparkSession, sf: str) -> DataFrame:
     return sums.withColumn("window_start", F.col("window_start").cast("string"))
 
 
+def _from_stream(spark: SparkSession, sf: str, monitored: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What a monitor emits while the events arrive in four batches, one after the other in time."""
+    folder = new_folder(spark, "monitor")
+    events = _events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    week = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3))
+    for at in range(4):
+        events.where(week == at).coalesce(1).write.mode("append").parquet(f"{folder}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/events")
+    out = monitored(stream)
+    writer = out.writeStream.format("parquet").outputMode("append").trigger(**AVAILABLE_NOW)
+    writer = writer.option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+    writer.start().awaitTermination()
+    rows = spark.read.schema(out.schema).parquet(f"{folder}/out")
+    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz").cast("string"))
+
+
+def error_rate_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return _from_stream(
+        spark, sf, lambda rows: monitor.error_rate_stream(rows, "ts", _is_error(), "5 minutes", threshold=2)
+    )
+
+
+def windowed_sum_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return _from_stream(
+        spark, sf, lambda rows: monitor.windowed_sum_stream(rows, "ts", _is_error().cast("int"))
+    )
+
+
 def _gap_text(gaps: DataFrame) -> DataFrame:
     micros = [F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in ("gap_start", "gap_end")]
     others = [c for c in gaps.columns if c not in ("gap_start", "gap_end")]
@@ -613,6 +708,8 @@ QUERIES: dict[str, Query] = {
     "schema_lookup": schema_lookup,
     "schemas_in_use": schemas_in_use,
     "missing_schemas": missing_schemas,
+    "schema_table": schema_table,
+    "schema_documents": schema_documents,
     "flatten_struct": flatten_struct,
     "drop_struct_keys": drop_struct_keys,
     "flatten_text": flatten_text,
@@ -630,10 +727,12 @@ QUERIES: dict[str, Query] = {
     "reply_topic": reply_topic,
     "ack_frames": ack_frames,
     "ack_stream": ack_stream,
+    "ack_dead_letters": ack_dead_letters,
     "landing_write": landing_write,
     "ingest_batches": ingest_batches,
     "ingest_stream": ingest_stream,
     "ingest_json": ingest_json,
+    "ingest_restarted": ingest_restarted,
     "fan_out": fan_out,
     "backfill": backfill,
     "align_to_table": align_to_table,
@@ -641,6 +740,8 @@ QUERIES: dict[str, Query] = {
     "register_landing": register_landing,
     "error_rate": error_rate,
     "windowed_sum": windowed_sum,
+    "error_rate_stream": error_rate_stream,
+    "windowed_sum_stream": windowed_sum_stream,
     "no_data_gaps": no_data_gaps,
     "no_data_gaps_by_type": no_data_gaps_by_type,
     "progress_table": progress_table,
@@ -741,6 +842,8 @@ ORACLES: dict[str, str] = {
         from customer where c_custkey in (select user_id * 13 from events)""",
     "missing_schemas": """select distinct cast(user_id * 13 as varchar) as schema_id from events
         where user_id * 13 not in (select c_custkey from customer)""",
+    "schema_documents": """select cast(s_nationkey as integer) as id, max(s_name) as body
+        from supplier group by 1""",
     "flatten_struct": f"select {FLAT_SQL} from events".replace('", "', '","'),
     "drop_struct_keys": """select event_id, event_type as user_kind, value,
         case when event_type = 'error' then props end as errors from events""",
@@ -786,9 +889,16 @@ ORACLES: dict[str, str] = {
     "ack_stream": f"""select replace({TOPIC_SQL}, 'events', '') as topic,
         cast(user_id as varchar) as key, cast(event_id as varchar) as event_id,
         case when event_type = 'error' then props end as errors from events""",
+    "ack_dead_letters": """select cast(user_id as varchar) as key,
+        case when event_id % 7 > 0 then cast(event_id as varchar) end as event_id,
+        case when event_type = 'error' then props end as errors,
+        case when event_id % 7 = 0 then 'bad_value' end as encode_error from events""",
     "landing_write": """select cast(year(ts) as integer) as year, strftime(ts, '%m') as month,
         cast(strftime(ts, '%Y%m%d00') as integer) as ts, count(*) as n from events group by 1, 2, 3""",
     "ingest_batches": f"select {LANDED_SQL} from events",
+    "ingest_restarted": f"""select {TOPIC_SQL} as kafka_metadata_topic,
+        event_id as kafka_metadata_offset, {SCHEMA_SQL} as kafka_metadata_schemaid,
+        cast(null as varchar) as decode_error, {FLAT_SQL} from events where user_id % 10 <> 0""",
     "fan_out": f"""select {TOPIC_SQL} as kafka_metadata_topic, count(*) as n, landed_in
         from events, (values ('time'), ('topic')) as t(landed_in) group by 1, 3""",
     "backfill": f"""select {LANDED_SQL} from events
@@ -814,8 +924,14 @@ ORACLES: dict[str, str] = {
     "no_data_gaps_by_type": _gaps_sql("event_type", 3600),
     "progress_table": "select count(*) as input_rows from events",
 }
+# Of a stream, the windows that are closed once the last row is ten minutes past their end.
+for _name, _minutes in (("error_rate", 5), ("windowed_sum", 30)):
+    ORACLES[f"{_name}_stream"] = f"""select * from ({ORACLES[_name]})
+        where strptime(window_start, '%Y-%m-%d %H:%M:%S') + interval {_minutes + 10} minute
+            <= (select max(ts) from events)"""
 # The same rows reached another way.
 ORACLES["avro_roundtrip_joined"] = ORACLES["avro_roundtrip"]
+ORACLES["schema_table"] = ORACLES["schemas_in_use"]
 ORACLES["ingest_stream"] = ORACLES["ingest_batches"]
 ORACLES["ingest_json"] = ORACLES["ingest_batches"]
 

@@ -5,7 +5,7 @@ Helper of the encoding UDF in :mod:`eventlake.operators.avro`.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from itertools import islice
 
 import numpy as np
@@ -34,6 +34,15 @@ def varint(number: int) -> bytes:
     return varints(np.array([number]))[0]
 
 
+# One body per row; None for a row that its schema does not allow.
+Bodies = list[bytes | None]
+
+
+def _joined(parts: Iterable[bytes | None]) -> bytes | None:
+    parts = tuple(parts)
+    return None if None in parts else b"".join(parts)
+
+
 def _sized(bodies: list[bytes]) -> list[bytes]:
     sizes = varints(np.fromiter(map(len, bodies), np.int64, len(bodies)))
     return [size + body for size, body in zip(sizes, bodies)]
@@ -49,14 +58,15 @@ def _column(rows: pa.Array, field: dict) -> pa.Array:
     return rows.flatten()[at] if at >= 0 else pa.array([default] * len(rows))
 
 
-Writer = Callable[[pa.Array], list[bytes]]
+Writer = Callable[[pa.Array], Bodies]
 
 
 def _required(write: Writer) -> Writer:
-    def column(values: pa.Array) -> list[bytes]:
-        if values.null_count:
-            raise ValueError("null value for a field whose schema does not allow null")
-        return write(values)
+    def column(values: pa.Array) -> Bodies:
+        if not values.null_count:
+            return write(values)
+        present = iter(write(values.drop_null()))
+        return [next(present) if there else None for there in values.is_valid().to_pylist()]
 
     return column
 
@@ -68,20 +78,20 @@ def _optional_writer(schema: list) -> Writer:
     null, tag = varint(schema.index("null")), varint(schema.index(some[0]))
     write = writer(some[0])
 
-    def optional(values: pa.Array) -> list[bytes]:
+    def optional(values: pa.Array) -> Bodies:
         present = iter(write(values.drop_null()))
-        return [tag + next(present) if there else null for there in values.is_valid().to_pylist()]
+        return [_joined((tag, next(present))) if there else null for there in values.is_valid().to_pylist()]
 
     return optional
 
 
 def _array_writer(write: Writer) -> Writer:
-    def items(values: pa.Array) -> list[bytes]:
+    def items(values: pa.Array) -> Bodies:
         bodies = iter(write(values.flatten()))
         lengths = values.value_lengths()
         counts = varints(lengths.to_numpy())
         return [
-            b"".join((count, *islice(bodies, n), b"\0")) if n else b"\0"
+            _joined((count, *islice(bodies, n), b"\0")) if n else b"\0"
             for count, n in zip(counts, lengths.to_pylist())
         ]
 
@@ -91,9 +101,9 @@ def _array_writer(write: Writer) -> Writer:
 def _record_writer(fields: list[dict]) -> Writer:
     writers = [(field, writer(field["type"])) for field in fields]
 
-    def record(values: pa.Array) -> list[bytes]:
+    def record(values: pa.Array) -> Bodies:
         columns = [write(_column(values, field)) for field, write in writers]
-        return list(map(b"".join, zip(*columns))) if columns else [b""] * len(values)
+        return list(map(_joined, zip(*columns))) if columns else [b""] * len(values)
 
     return record
 
@@ -102,7 +112,8 @@ def writer(schema) -> Writer:
     """Compile a schema into a function from an Arrow array to one body per row.
 
     Covers what message payloads are made of: records of primitives, enums,
-    nullable unions, arrays and records of those.
+    nullable unions, arrays and records of those. A null where the schema wants a
+    value, or a symbol that an enum has not, makes the row's body None.
     """
     if isinstance(schema, list):
         return _optional_writer(schema)
@@ -125,7 +136,7 @@ def writer(schema) -> Writer:
         return _required(lambda values: [b"\1" if value else b"\0" for value in values.to_pylist()])
     if kind == "enum":
         codes = {symbol: varint(at) for at, symbol in enumerate(schema["symbols"])}
-        return _required(lambda values: [codes[symbol] for symbol in values.to_pylist()])
+        return _required(lambda values: [codes.get(symbol) for symbol in values.to_pylist()])
     if kind in FLOATS:
         width, dtype = FLOATS[kind]
 

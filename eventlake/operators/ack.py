@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventlake.operators.avro import encode_events
 
-# Declared schema of the result files.
+# Declared schema of the result files.
 RESULT_DDL = (
     "event_id string, transaction_id string, source_topic string, errors string, "
     "year int, month int, ts long"
@@ -41,8 +41,13 @@ def build_acks(
     schema_id: int,
     schema: str | dict,
     fields: Mapping[str, str] = ACK_FIELDS,
+    error: str | None = None,
 ) -> DataFrame:
-    """Add ``mapped_ack``, ``key``, ``topic`` and the framed Avro ``value``."""
+    """Add ``mapped_ack``, ``key``, ``topic`` and the framed Avro ``value``.
+
+    ``error`` names a column that says why a result has no frame; without it such a
+    result fails the job.
+    """
     named = df.withColumns(
         {
             "mapped_ack": ack_payload(fields),
@@ -50,4 +55,4 @@ def build_acks(
             "topic": reply_topic(F.col("source_topic")),
         }
     )
-    return encode_events(named, "mapped_ack", schema_id, schema)
+    return encode_events(named, "mapped_ack", schema_id, schema, error=error)

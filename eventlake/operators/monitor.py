@@ -60,6 +60,52 @@ def windowed_sum(
     )
 
 
+def error_rate_stream(
+    df: DataFrame,
+    ts: str,
+    predicate: Column,
+    width: str = "5 minutes",
+    threshold: int = 1,
+    lateness: str = "10 minutes",
+) -> DataFrame:
+    """:func:`error_rate` of a stream, in append mode: each window once, when it is closed.
+
+    A window is closed when a row ``lateness`` or more after its end has been seen, of
+    whatever kind; a row that comes later than that is not counted. State is one number per
+    open window.
+    """
+    rows = df.withWatermark(ts, lateness)
+    # All rows move the watermark; only errors are counted, and windows without any are left out.
+    failed = F.sum(F.when(predicate, 1).otherwise(0))
+    counts = rows.groupBy(F.window(ts, width).alias("span")).agg(failed.alias("errors")).where("errors > 0")
+    return counts.select(
+        F.col("span.start").alias("window_start"), "errors", (F.col("errors") >= threshold).alias("alarm")
+    )
+
+
+def windowed_sum_stream(
+    df: DataFrame,
+    ts: str,
+    amount: Column,
+    panes: int = 6,
+    slide: str = "5 minutes",
+    limit: float = 0,
+    lateness: str = "10 minutes",
+) -> DataFrame:
+    """:func:`windowed_sum` of a stream, in append mode: each window once, when it is closed.
+
+    Rows are summed once per slide; the closed slides are summed into the windows that
+    hold them. Late rows as in :func:`error_rate_stream`.
+    """
+    number, unit = slide.split()
+    pane = df.withWatermark(ts, lateness).groupBy(F.window(ts, slide).alias("pane")).agg(F.sum(amount).alias("amount"))
+    span = F.window(F.window_time("pane"), f"{int(number) * panes} {unit}", slide).alias("span")
+    sums = pane.groupBy(span).agg(F.sum("amount").alias("total"))
+    return sums.select(
+        F.col("span.start").alias("window_start"), "total", (F.col("total") > limit).alias("alarm")
+    )
+
+
 def no_data_gaps(
     df: DataFrame,
     ts: str,

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.scratch import new_folder
+from eventlake.scratch import file_exists, new_folder, remove
 
 # Largest schema store, in bytes of document text, that is shipped to every
 # executor. Beyond it schemas are joined to the rows.
@@ -54,6 +54,58 @@ def read_schema_store(spark: SparkSession, root: str, strict: bool = False) -> D
     return documents.select(F.substring_index("subject", "/", 1).alias("schema_id"), "body")
 
 
+# Distinct ids that are few enough to be broadcast.
+MAX_BROADCAST_IDS = 500_000
+
+
+class SchemaTable:
+    """Schemas by id as a table whose directories are parts of the ids.
+
+    A reader with some ids opens only the directories that these fall in, which Spark
+    finds out while it runs (dynamic partition pruning); nothing is listed per id.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 1024):
+        self.spark, self.path, self.buckets = spark, path, buckets
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("schema_id"), F.lit(self.buckets)).cast("int")
+
+    def write(self, schemas: DataFrame) -> None:
+        """Replaces the directories of these schemas' ids with what they hold and these; one row per id.
+
+        Of documents of one id the smallest stays, also beside one that the table has.
+        """
+        new = schemas.select("schema_id", "body").where("schema_id is not null")
+        if file_exists(self.spark, self.path):
+            touched = self.all().withColumn("bucket", self._bucket())
+            touched = touched.join(new.select(self._bucket().alias("bucket")).distinct(), "bucket", "left_semi")
+            new = new.unionByName(touched.select("schema_id", "body"))
+        folder = new_folder(self.spark, "schema-rows")
+        _one_per_id(new).withColumn("bucket", self._bucket()).write.parquet(folder)
+        rows = self.spark.read.parquet(folder).repartition("bucket")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path)
+        remove(self.spark, folder)
+
+    def _read(self) -> DataFrame:
+        return self.spark.read.schema("schema_id string, body string, bucket int").parquet(self.path)
+
+    def all(self) -> DataFrame:
+        return self._read().select("schema_id", "body")
+
+    def needed(self, ids: DataFrame) -> DataFrame:
+        """The schemas of the ids in column ``schema_id``; null and absent ids have none."""
+        # Written first: their number is then known, and their source is read once.
+        folder = new_folder(self.spark, "ids")
+        ids.select("schema_id").where("schema_id <> ''").distinct().write.parquet(folder)
+        ids = self.spark.read.schema("schema_id string").parquet(folder)
+        few = ids.count() <= MAX_BROADCAST_IDS
+        # The comparison tells the optimizer that this side is worth pruning by.
+        ids = ids.where("schema_id <> ''").withColumn("bucket", self._bucket())
+        found = self._read().join(F.broadcast(ids) if few else ids, ["bucket", "schema_id"], "left_semi")
+        return found.select("schema_id", "body")
+
+
 def read_registry(
     spark: SparkSession, root: str, documents: str = DOCUMENTS
 ) -> DataFrame:

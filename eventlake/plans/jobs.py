@@ -144,13 +144,19 @@ def produce_acks(
     major: str = "2.2",
     fmt: str = "kafka",
     options: Mapping[str, str] | None = None,
+    dead_letters: str | None = None,
 ) -> StreamingQuery:
     """Stream of processing results to acknowledgement messages.
 
-    Encodes with the counterparty's newest schema of the major version.
+    Encodes with the counterparty's newest schema of the major version. A result that the
+    schema does not allow stops the stream, or, with a folder ``dead_letters``, is set
+    aside there with its ``encode_error`` while the stream goes on.
     """
     newest = registry.latest_schema(registry_table, major, counterparty).first()
     if newest is None:
         raise ValueError(f"no schema v{major} for counterparty {counterparty!r}")
-    acks = ack.build_acks(results, newest.schema_id, newest.body)
-    return sinks.message_stream(acks, checkpoint, trigger, fmt, options)
+    if dead_letters is None:
+        acks = ack.build_acks(results, newest.schema_id, newest.body)
+        return sinks.message_stream(acks, checkpoint, trigger, fmt, options)
+    acks = ack.build_acks(results, newest.schema_id, newest.body, error=sinks.ENCODE_ERROR)
+    return sinks.message_batches(acks, results.columns, checkpoint, trigger, dead_letters, fmt, options)

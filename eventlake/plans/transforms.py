@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions import digest, envelope, payload
-from eventlake.operators import avro
+from eventlake.operators import avro, registry
 
 BAD_JSON = "bad_json"
 
@@ -25,7 +25,7 @@ def _enveloped(df: DataFrame, as_of: Column | str | None, arrange: Sequence[str]
 
 def decode_avro(
     df: DataFrame,
-    schemas: DataFrame,
+    schemas: DataFrame | registry.SchemaTable,
     drop: Sequence[str] = (),
     as_of: Column | str | None = None,
     arrange: Sequence[str] | None = None,
@@ -76,7 +76,7 @@ def decode_json(
 
 def decode_avro_dropping(
     df: DataFrame,
-    schemas: DataFrame,
+    schemas: DataFrame | registry.SchemaTable,
     drop: Sequence[str] = (),
     as_of: Column | str | None = None,
     arrange: Sequence[str] | None = None,

@@ -25,6 +25,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def file_exists(spark: SparkSession, path: str) -> bool:
+    where, files = file_system(spark, path)
+    return files.exists(where)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder made by :func:`new_folder` with all that is in it."""
     where, files = file_system(spark, path)

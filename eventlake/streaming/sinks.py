@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from eventlake.functions.envelope import TIME_PARTITIONS
-from eventlake.operators import align
+from eventlake.operators import align, avro
 from eventlake.scratch import file_system, new_folder, remove
 
 Trigger = Mapping[str, object]
@@ -160,12 +160,15 @@ def landing_batches(
     its batches from zero again and must not replace the first one's.
     """
 
+    stores = avro.BatchStores()
+
     def land_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         run = run_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         if not run:
             raise ValueError("the stream has no id in this session: pass run_id")
-        land(transform(batch), routes, f"{run}-{batch_id}")
+        with stores.batch():
+            land(transform(batch), routes, f"{run}-{batch_id}")
         # That this batch runs says that the one before it was committed.
         for route in routes:
             _done(spark, route, f"{run}-{batch_id - 1}")
@@ -222,6 +225,53 @@ def message_stream(
     return writer.option("checkpointLocation", checkpoint).start()
 
 
+# Why a message could not be made; such rows are dead letters.
+ENCODE_ERROR = "encode_error"
+
+
+def message_batches(
+    df: DataFrame,
+    columns: Sequence[str],
+    checkpoint: str,
+    trigger: Trigger,
+    dead_letters: str,
+    fmt: str = "kafka",
+    options: Mapping[str, str] | None = None,
+    run_id: str | None = None,
+) -> StreamingQuery:
+    """Publish the rows whose ``encode_error`` is null, set the others aside.
+
+    A dead letter keeps ``columns`` and its error. Both outputs belong to the batch: dead
+    letters, and messages of a file format with a ``path``, go to ``batch=<run>-<n>``,
+    which a replay replaces. A message broker gets a replayed batch's messages again,
+    as with any at-least-once producer. The batch is encoded once, to shared storage.
+    """
+    options = dict(options or {})
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        run = run_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not run:
+            raise ValueError("the stream has no id in this session: pass run_id")
+        stage = new_folder(spark, "messages")
+        batch.write.parquet(stage)
+        rows = spark.read.schema(batch.schema).parquet(stage)
+        owned = f"{BATCH}={run}-{batch_id}"
+        lost = rows.where(F.col(ENCODE_ERROR).isNotNull()).select(*columns, ENCODE_ERROR)
+        lost.write.mode("overwrite").parquet(f"{dead_letters}/{owned}")
+        sent = rows.where(F.col(ENCODE_ERROR).isNull()).select("topic", "key", "value")
+        if "path" in options:
+            place = options | {"path": f"{options['path']}/{owned}"}
+            sent.write.format(fmt).options(**place).mode("overwrite").save()
+        else:
+            sent.write.format(fmt).options(**options).save()
+        remove(spark, stage)
+
+    wanted = dict.fromkeys([*columns, "topic", "key", "value", ENCODE_ERROR])
+    writer = df.select(*wanted).writeStream.outputMode("append").trigger(**trigger)
+    return writer.option("checkpointLocation", checkpoint).foreachBatch(publish).start()
+
+
 def read_landing(
     spark: SparkSession, path: str, schema: StructType | str, batches: bool = False
 ) -> DataFrame:

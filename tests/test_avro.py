@@ -388,10 +388,87 @@ def test_long_runs_of_numbers():
     assert read_one(doubles, encode(doubles, [n / 3 for n in range(500)])) == ([n / 3 for n in range(500)], False)
 
 
-def test_an_unchanged_store_is_broadcast_once(spark):
-    before = set(avro._SHARED)
-    first = avro._shared(spark, {"1": "a", "2": "b"})
-    assert all(avro._shared(spark, {"2": "b", "1": "a"}) is first for _ in range(20))
-    for n in range(2 * avro.MAX_SHARED):
-        avro._shared(spark, {"1": str(n)})
-    assert len(avro._SHARED) <= max(avro.MAX_SHARED, len(before))
+def _numbered_store(spark, n):
+    schema = record(("a", "int")) | {"doc": f"version {n}"}
+    return spark.createDataFrame([("3", json.dumps(schema))], "schema_id string, body string")
+
+
+def test_frames_outlive_any_number_of_other_stores(spark):
+    rows = envelope.add_header(spark.createDataFrame([(b"\0\0\0\0\3\2",)], "value binary"))
+    frames = [avro.decode_events(rows, _numbered_store(spark, n)) for n in range(20)]
+    assert [f.select("decode_error").first()[0] for f in (frames[0], frames[-1])] == [None, None]
+
+
+def test_a_stream_holds_the_stores_of_one_batch(spark):
+    rows = envelope.add_header(spark.createDataFrame([(b"\0\0\0\0\3\2",)], "value binary"))
+    stores = avro.BatchStores()
+    shared = dict(avro._SHARED)
+    for n in range(20):
+        with stores.batch():
+            decoded_ = avro.decode_events(rows, _numbered_store(spark, n // 2))
+            assert decoded_.select("decode_error").first()[0] is None
+        assert len(stores.held) == 1
+    assert avro._SHARED == shared
+
+
+def _cogrouped(spark, frames, schemas, **options):
+    rows = spark.createDataFrame([(n, f) for n, f in enumerate(frames)], "n int, value binary").repartition(4)
+    store = spark.createDataFrame([(str(k), json.dumps(v)) for k, v in schemas.items()], "schema_id string, body string")
+    return avro.decode_events(envelope.add_header(rows), store, max_schema_bytes=0, **options)
+
+
+@pytest.mark.parametrize("group_rows", [1, 7, 1 << 19])
+def test_groups_of_any_size_decode_alike(spark, group_rows):
+    """A hot id, an unknown one, and frames without an id, each in as many groups as it needs."""
+    schemas = {i: record(("id", "long")) for i in range(3)}
+    frames = [frame(0 if n % 3 else n % 2 + 1, schemas[0], {"id": n}) for n in range(90)]
+    frames += [b"\0\0\0\0\x63\2", b"\0\1", b"\0\2", None, None, b"\0\0\0\0\0"]
+    rows = _cogrouped(spark, frames, schemas, group_rows=group_rows).orderBy("n").collect()
+    assert [r["n"] for r in rows] == list(range(len(frames)))
+    assert [r["decode_error"] for r in rows[:90]] == [None] * 90
+    errors = ["unknown_schema", "short_frame", "short_frame", None, None, "bad_body"]
+    assert [r["decode_error"] for r in rows[90:]] == errors
+
+
+def test_a_group_shuffles_rows_once_and_without_documents(spark):
+    schemas = {i: record(("id", "long")) for i in range(3)}
+    df = _cogrouped(spark, [frame(n % 3, schemas[0], {"id": n}) for n in range(9)], schemas)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    _, tree = plan.split("FlatMapCoGroupsInArrow", 1)
+    # The rows' side comes first: the written rows, the broadcast sizes, nothing of source or documents.
+    messages = tree[tree.index("\n") : tree.index("\n   +- ")]
+    assert messages.count("] parquet") == 2 and "strategy=broadcast" in messages
+    assert "body" not in messages and "LogicalRDD" not in messages
+
+
+def test_rows_that_cannot_be_encoded_are_marked_and_the_others_kept(spark):
+    """Nulls at the top, in a nested record, in an array's items; a symbol that the enum has not."""
+    inner = {"type": "record", "name": "In", "fields": [{"name": "x", "type": "long"}]}
+    schema = {
+        "type": "record",
+        "name": "Out",
+        "fields": [
+            {"name": "a", "type": "string"},
+            {"name": "in", "type": ["null", inner]},
+            {"name": "l", "type": {"type": "array", "items": "string"}},
+            {"name": "k", "type": {"type": "enum", "name": "K", "symbols": ["u", "v"]}},
+        ],
+    }
+    ddl = "n int, s struct<a: string, in: struct<x: bigint>, l: array<string>, k: string>"
+    rows = [
+        (0, ("p", (1,), ["x", "y"], "u")),
+        (1, (None, (1,), [], "u")),
+        (2, ("p", (None,), [], "u")),
+        (3, ("p", None, ["x", None], "u")),
+        (4, ("p", None, [], "w")),
+        (5, None),
+        (6, ("q", None, [], "v")),
+    ]
+    framed = avro.encode_events(spark.createDataFrame(rows, ddl), "s", 5, schema, error="why").orderBy("n").collect()
+    assert [r["why"] for r in framed] == [None, *["bad_value"] * 4, None, None]
+    assert [r["value"] is None for r in framed] == [False, *[True] * 5, False]
+    assert bytes(framed[0]["value"]) == frame(5, schema, {"a": "p", "in": (1, {"x": 1}), "l": ["x", "y"], "k": "u"})
+
+
+def test_empty_rows_decode_to_nothing(spark):
+    assert _cogrouped(spark, [], {1: record(("id", "long"))}).count() == 0

@@ -198,6 +198,39 @@ def test_acknowledgements(spark, tmp_path):
         jobs.produce_acks(stream, parties, "z", "c", NOW)
 
 
+def test_acks_that_cannot_be_encoded_are_set_aside_also_on_a_replay(spark, tmp_path):
+    """A null in a required field, twice: the stream goes on, and a batch run again leaves no second copy."""
+    rows = [("e1", "t1", "a.events", None, 2024, 1, 1), (None, "t2", "a.events", "x", 2024, 1, 1), ("e3", "t3", "a.events", "late", 2024, 1, 1)]
+    folder = str(tmp_path / "results")
+    parties = spark.createDataFrame(
+        [("x", "v2.2", "1", 11, json.dumps(ACK))],
+        "counterparty string, major_version string, minor_version string, schema_id long, body string",
+    )
+    for row in rows:
+        spark.createDataFrame([row], ack.RESULT_DDL).coalesce(1).write.mode("append").parquet(folder)
+    sent, lost, checkpoint = (str(tmp_path / name) for name in ("sent", "lost", "c"))
+
+    def run():
+        stream = sources.file_stream(spark, folder, ack.RESULT_DDL, max_files=1)
+        query = jobs.produce_acks(
+            stream, parties, "x", checkpoint, NOW, fmt="parquet", options={"path": sent}, dead_letters=lost
+        )
+        query.awaitTermination()
+        good = sorted(r.key for r in spark.read.parquet(sent).collect())
+        dead = [(r.transaction_id, r.event_id, r.errors, r.encode_error) for r in spark.read.parquet(lost).collect()]
+        return good, dead
+
+    expected = (["t1", "t3"], [("t2", None, "x", "bad_value")])
+    assert run() == expected
+    # As if the driver had died after the last batch was written and before it was committed.
+    os.remove(max((tmp_path / "c" / "commits").glob("[0-9]*"), key=lambda p: int(p.name)))
+    for crc in (tmp_path / "c" / "commits").glob(".*.crc"):
+        os.remove(crc)
+    assert run() == expected
+    spark.createDataFrame([(None, "t4", "a.events", None, 2024, 1, 1)], ack.RESULT_DDL).write.mode("append").parquet(folder)
+    assert run() == (["t1", "t3"], [*expected[1], ("t4", None, None, "bad_value")])
+
+
 def test_executors_need_not_have_the_package(tmp_path):
     """Workers started elsewhere can decode, encode and flatten."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

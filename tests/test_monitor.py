@@ -128,3 +128,34 @@ def test_more_batches_than_the_stream_remembers(spark, tmp_path, request):
     rows = monitor.progress_table(spark, log.path).where("input_rows > 0").collect()
     assert len(rows) == len({r.batch_id for r in rows}) > 5
     assert len(query.recentProgress) < len(rows)
+
+
+@pytest.mark.parametrize("sliding", [False, True])
+def test_streamed_windows_equal_the_batch_until_rows_are_too_late(spark, tmp_path, sliding):
+    """Four batches; rows up to ten minutes late count, the one that is later does not."""
+    minute = dt.timedelta(minutes=1)
+    batches = [
+        [(START + m * minute, m % 3 == 0) for m in range(0, 40)],
+        [(START + m * minute, True) for m in (41, 38, 33, 60)],
+        [(START + 20 * minute, True), (START + 75 * minute, True)],
+        [(START + 200 * minute, False)],
+    ]
+    ddl = "at timestamp, bad boolean"
+    for rows in batches:
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    counted = [r for rows in batches for r in rows if r != (START + 20 * minute, True)]
+    table = spark.createDataFrame(counted, ddl)
+    if sliding:
+        amount = F.col("bad").cast("int")
+        out, batch = monitor.windowed_sum_stream(stream, "at", amount), monitor.windowed_sum(table, "at", amount)
+        width = 30
+    else:
+        out, batch = monitor.error_rate_stream(stream, "at", F.col("bad")), monitor.error_rate(table, "at", F.col("bad"))
+        width = 5
+    writer = out.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+    writer = writer.option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c"))
+    writer.start().awaitTermination()
+    found = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()))
+    closed = [tuple(r) for r in batch.collect() if r[0] + width * minute <= START + 190 * minute]
+    assert found == sorted(closed) and found

@@ -116,3 +116,35 @@ def test_schema_map_is_bounded(schemas):
     assert registry.schema_map(schemas) == {"7": "other seven", "9": "nine", "1": None}
     assert registry.schema_map(schemas, 10) is None
     assert registry.schema_map(schemas.limit(0)) == {}
+
+
+def _schema_rows(spark, ids, word="body"):
+    return spark.createDataFrame([(str(i), f"{word} {i}") for i in ids], "schema_id string, body string")
+
+
+def test_a_schema_table_opens_only_what_the_ids_need(spark, tmp_path):
+    table = registry.SchemaTable(spark, str(tmp_path / "t"), buckets=16)
+    table.write(_schema_rows(spark, range(100)))
+    ids = spark.createDataFrame([("7",), ("7",), (None,), ("999",), ("",)], "schema_id string")
+    needed = table.needed(ids)
+    assert "dynamicpruning" in needed._jdf.queryExecution().executedPlan().toString()
+    kept = {p.parent for p in (tmp_path / "t").glob("bucket=*/*.parquet")}
+    mine = {f"bucket={r[0]}" for r in ids.where("schema_id <> ''").select(table._bucket()).collect()}
+    for folder in kept:
+        if folder.name not in mine:
+            for file in folder.glob("*.parquet"):
+                file.write_bytes(b"damaged")
+            for crc in folder.glob(".*.crc"):
+                crc.unlink()
+    assert [tuple(r) for r in table.needed(ids).collect()] == [("7", "body 7")]
+    with pytest.raises(Exception):
+        table.all().collect()
+
+
+def test_a_schema_table_grows_and_keeps_one_row_per_id(spark, tmp_path):
+    table = registry.SchemaTable(spark, str(tmp_path / "t"), buckets=4)
+    table.write(_schema_rows(spark, range(10)))
+    table.write(_schema_rows(spark, [3, 11, 11], "a newer"))
+    rows = dict(map(tuple, table.all().collect()))
+    assert rows == {str(i): f"body {i}" for i in range(10)} | {"3": "a newer 3", "11": "a newer 11"}
+    assert table.needed(_schema_rows(spark, [])).count() == 0
