@@ -16,7 +16,7 @@ Learning takes whole documents of each language in the order of a hash until
 ``sample_chars`` characters, at most ``sample_docs`` of them: a bounded sample,
 and the same bound for each language.
 
-Nulls: a null text, or one without a letter that some sample has, is ``und`` with
+Nulls: a null text, or one without any letter, is ``und`` with
 score 0. Rows are kept
 one for one. Documents of null language teach nothing; when nothing can be
 learned, all texts are ``und``. Ties go to the language that sorts first. An
@@ -243,7 +243,7 @@ class Parser:
     def _decide(self, first: int, coded: list[np.ndarray], langs: list, scores: list, bits: list) -> None:
         entropy = self.phrases(coded) * self.scale
         for at, text in enumerate(coded):
-            if not (text > 1).any():
+            if not (text != 1).any():  # no letter; letters that no sample has are a phrase each, in any language
                 continue
             rates = entropy[at] / len(text)
             best = int(np.argmin(rates))

@@ -1,6 +1,7 @@
 """Subword ids of whole texts from public vocabulary files.
 
-Both encoders give exactly the ids of ``Tokenizer.encode(text)``. They remember
+Both encoders give exactly the ids of ``Tokenizer.encode(text, add_special_tokens=False)``;
+the mark of a special token in a text is that token, as the library has it. They remember
 the ids of words by a hash: a space or a line break between two other characters
 always ends a pre-token, and so does the place between a letter and a comma or
 full stop that ends a word. Words are hashed and looked up by numpy, and the
@@ -51,7 +52,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.spaces = spaces
         vocabulary = self.tokenizer.get_vocab()
         self.width = 2 if len(vocabulary) <= 1 << 16 else 4

@@ -28,7 +28,6 @@ ODD_TEXTS = [
 def test_ids_are_those_of_the_library(documents, path, spaces):
     texts = [r.text for r in documents.collect()] + ODD_TEXTS
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     expected = [np.array(e.ids, "<u2").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     encoder = subwords.Encoder(path, spaces)
     assert encoder.encode(pa.array(texts)) == expected
@@ -90,7 +89,6 @@ def test_equal_texts_have_equal_fingerprints():
 
 def encoded(path, rows):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return [(d, np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [0], "<u4")) for d, t in rows]
 
 
