@@ -6,8 +6,12 @@ different texts decides about the groups, and none is lost to a cap.
 
 1. Documents of one set are one node per input partition (``sets``).
 2. A node's set is cut by hash range into more segments than a linked pair can
-   have differing n-grams, so linked nodes share a whole segment (pigeonhole).
-   Nodes that share a segment are joined to its first node, first within the
+   have differing n-grams, so linked nodes share a whole segment (pigeonhole); or,
+   with ``route="rare"``, it has its rarest n-grams as keys, as many as it may miss in a
+   partner and one more, so linked nodes share one of these. The order by rarity comes
+   from a table of counts of fixed size; any order loses no link. At lower similarities
+   segments get short and are met by chance, rare n-grams are not.
+   Nodes that share a key are joined to its first node, first within the
    input partition, then across: at most one row per key and partition is
    shuffled, however many documents share it. Components of these stars are
    candidate groups: supersets of the groups that are wanted.
@@ -100,12 +104,63 @@ def segment_keys(grams: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint64)
 
 
+# Places of the table of n-gram counts, and the parts it is summed in.
+COUNT_PLACES, COUNT_PARTS = 1 << 20, 64
+
+
+def _tables(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a partition's n-grams, by document, in parts of the table."""
+    table = np.zeros(COUNT_PLACES, dtype=np.uint64)
+    for batch in batches:
+        held, size = [], 0
+        for _, grams in words.shingle_rows(batch.column("text"), width):
+            held.append(np.unique(grams) & np.uint64(COUNT_PLACES - 1))
+            size += len(grams)
+            if size > COUNT_PLACES:
+                table += np.bincount(np.concatenate(held).view(np.int64), minlength=COUNT_PLACES).astype(np.uint64)
+                held, size = [], 0
+        if held:
+            table += np.bincount(np.concatenate(held).view(np.int64), minlength=COUNT_PLACES).astype(np.uint64)
+    parts = [part.tobytes() for part in np.split(table, COUNT_PARTS)]
+    yield pa.RecordBatch.from_arrays([pa.array(range(COUNT_PARTS), pa.int32()), pa.array(parts, pa.binary())], ["part", "counts"])
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
+            sums[part] = sums.get(part, 0) + np.frombuffer(counts, np.uint64)
+    columns = [pa.array(sums, pa.int32()), pa.array([c.tobytes() for c in sums.values()], pa.binary())]
+    yield pa.RecordBatch.from_arrays(columns, ["part", "counts"])
+
+
+def gram_counts(docs: DataFrame, width: int):
+    """A broadcast table, of fixed size, of how many documents have an n-gram of each place."""
+    ddl = "part int, counts binary"
+    tables = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(partial(_tables, width), ddl)
+    found = tables.repartition("part").mapInArrow(_sums, ddl).toArrow().sort_by("part")["counts"].to_pylist()
+    counts = np.frombuffer(b"".join(found), np.uint64) if found else np.zeros(COUNT_PLACES, np.uint64)
+    return docs.sparkSession.sparkContext.broadcast(counts)
+
+
+def rare_keys(grams: np.ndarray, percent: int, counts: np.ndarray) -> np.ndarray:
+    """The first n-grams of a set in the order of their counts, such that two linked sets share one.
+
+    A partner has at least ``percent`` of the set, so of the set's first n-grams, one
+    more than may be missing, the partner has one; the first one that both have is among
+    the first ones of both.
+    """
+    kept = len(grams) - -(-len(grams) * percent // 100) + 1
+    rarity = counts[(grams & np.uint64(COUNT_PLACES - 1)).astype(np.int64)]
+    return grams[np.lexsort((grams, rarity))[:kept]] if len(grams) else grams
+
+
 def _signature(grams: np.ndarray) -> str:
     """128 bits of the set and its size."""
     return f"{xxhash.xxh3_128_hexdigest(grams.tobytes())}{len(grams):x}"
 
 
-def _node_rows(width: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _node_rows(width: int, percent: int, counts, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of ``SETS``; keys only where this partition saw them first, else a hub."""
     rows, docs, sizes, sigs, nodes = [], [], [], [], []
     first: dict[str, int] = {}
@@ -120,7 +175,7 @@ def _node_rows(width: int, percent: int, batches: Iterator[pa.RecordBatch]) -> I
             rows.append(ids[at]), docs.append(names[at]), sizes.append(len(grams))
             sigs.append(sig), nodes.append(node)
             if node == ids[at]:
-                keys = segment_keys(grams, percent)
+                keys = segment_keys(grams, percent) if counts is None else rare_keys(grams, percent, counts.value)
                 all_keys.append(keys)
                 owners.append(np.full(len(keys), len(rows) - 1, dtype=np.int64))
     if not rows:
@@ -153,14 +208,14 @@ def _node_rows(width: int, percent: int, batches: Iterator[pa.RecordBatch]) -> I
         yield whole.slice(at, 2048)
 
 
-def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """One row per document: its set's size and signature, and segment keys of new sets."""
+def sets(docs: DataFrame, width: int, percent: int, counts=None) -> DataFrame:
+    """One row per document: its set's size and signature, and keys of new sets."""
     numbered = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )
-    return stored(numbered.mapInArrow(partial(_node_rows, width, percent), SETS), "sets")
+    return stored(numbered.mapInArrow(partial(_node_rows, width, percent, counts), SETS), "sets")
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -419,9 +474,11 @@ def _with_groups(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.join(side, texts["doc_id"].eqNullSafe(side["wanted_id"])).drop("doc_id", "wanted_id")
 
 
-def ngram_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text)."""
-    rows = sets(docs, width, percent)
+def ngram_components(docs: DataFrame, width: int = 3, percent: int = 90, route: str = "segments") -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text); ``route``: segments or rare."""
+    if route not in ("segments", "rare"):
+        raise ValueError(f"unknown route {route!r}")
+    rows = sets(docs, width, percent, gram_counts(docs, width) if route == "rare" else None)
     nodes = rows.where("node = row").select("node", "sig", "n", "doc_id")
     uids = nodes.where("n > 0").groupBy("sig").agg(F.min("node").alias("uid"))
     keyed = rows.where("size(keys) > 0").select(F.explode("keys").alias("key"), "node")

@@ -56,6 +56,27 @@ def test_ngram_components_of_the_table(documents):
     assert components(documents, 3, 90) == brute_components(rows, 3, 90)
 
 
+@pytest.mark.parametrize(("width", "percent"), [(5, 80), (3, 90), (2, 50)])
+def test_rare_keys_lose_no_link(spark, documents, edge_docs, no_docs, width, percent):
+    docs = documents.select("doc_id", "text").limit(120).unionByName(edge_docs.select("doc_id", "text"))
+    near = docs.where("doc_id % 3 = 0").selectExpr("doc_id + 5000 as doc_id", "concat(text, ' and a tail') as text")
+    docs = docs.unionByName(near).repartition(4, "text")
+    rows = [tuple(r) for r in docs.collect()]
+    found = ngram_join.ngram_components(docs, width, percent, route="rare").collect()
+    assert sorted(map(tuple, found), key=str) == brute_components(rows, width, percent)
+    assert ngram_join.ngram_components(no_docs, route="rare").count() == 0
+
+
+def test_rare_keys_of_a_pair_meet():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 9, ngram_join.COUNT_PLACES).astype(np.uint64)
+    for percent in (50, 80, 90):
+        for size in range(1, 60):
+            whole = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+            other = np.union1d(whole, rng.integers(0, 1 << 63, size * (100 - percent) // percent).astype(np.uint64))
+            assert set(ngram_join.rare_keys(whole, percent, counts)) & set(ngram_join.rare_keys(other, percent, counts))
+
+
 def test_ngram_components_of_edges(edge_docs, no_docs):
     rows = [tuple(r) for r in edge_docs.select("doc_id", "text").collect()]
     assert components(edge_docs, 3, 90) == brute_components(rows, 3, 90)
