@@ -40,7 +40,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one of the smallest id."""
-    groups = ngram_join.ngram_components(docs, width=5, percent=80)
+    groups = ngram_join.ngram_components(docs, width=5, percent=80, route="rare")
     copies = groups.where("component_id <> doc_id").select("doc_id")
     return without(docs, copies)
 
