@@ -28,8 +28,8 @@ LONGEST = 4
 BREAKS = words.separators(*((ord(c), ord(c)) for c in ".,;:!?"), (0x0A, 0x0D))
 SEPARATORS = BREAKS | words.separators((0x20, 0x20), (0x09, 0x09))
 
-# Phrases that a task gathers before it hands their counts on.
-GATHERED = 3 << 19
+# Phrases that a task gathers before it hands their counts on, and those it gathers with their text.
+GATHERED, GATHERED_TEXTS = 1 << 20, 1 << 19
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -117,6 +117,7 @@ def _mine(orders: tuple[int, ...], pairs=None, bits: int = 0):
                         yield _counts(*held[k].take(), k, shard, seed)
             for k in orders:
                 yield _counts(*held[k].take(), k, shard, seed)
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -187,11 +188,12 @@ def _count(candidates, bits: int):
                     size += len(at)
                 chunks.append(grams.data)
                 base += len(grams.data)
-                if size > GATHERED:
+                if size > GATHERED_TEXTS:
                     yield from gathered(parts, chunks, lang)
                     parts, chunks, size, base = [], [], 0, 0
             if size:
                 yield from gathered(parts, chunks, lang)
+            pa.default_memory_pool().release_unused()
 
     return run
 
