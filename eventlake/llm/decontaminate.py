@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm import words
-from eventlake.llm.store import stored
+from eventlake.llm.store import stored, without
 from eventlake.llm.worker import kept
 
 WINDOW = 8
@@ -235,3 +235,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_coverage: float = 0.5) -> D
         coverage.alias("coverage"),
         F.when(F.col("own"), "verbatim").otherwise("reparameterised").alias("kind"),
     )
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, min_coverage: float = 0.5) -> DataFrame:
+    """``docs`` (doc_id, text, ...) without the rows that hold a benchmark item.
+
+    A row is known by 64 bits of its id and text: another text of the same id stays, and rows
+    of a null id are judged one by one.
+    """
+    row = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    found = leaks(docs.select(row.alias("doc_id"), "text"), benchmark, min_coverage)
+    return without(docs, found.select("doc_id"), row)

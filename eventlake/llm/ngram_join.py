@@ -36,12 +36,13 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm import words
@@ -56,7 +57,11 @@ PIVOTS = 24
 # Candidate rows that are small enough to be broadcast.
 BROADCAST_ROWS = 200_000
 
-SETS = "row long, doc_id long, n long, sig string, node long, keys array<long>, hubs array<long>"
+SETS = (
+    "row long, doc_id long, n long, sig string, node long, keys array<long>, hubs array<long>, t1 long, t2 long"
+)
+# What tells rows apart: the id, and two hashes of the text.
+ROW = ("doc_id", "t1", "t2")
 
 
 # ------------------------------------------------------------ segment keys
@@ -164,8 +169,9 @@ def _node_rows(width: int, percent: int, counts, batches: Iterator[pa.RecordBatc
     """Rows of ``SETS``; keys only where this partition saw them first, else a hub."""
     rows, docs, sizes, sigs, nodes = [], [], [], [], []
     first: dict[str, int] = {}
-    all_keys, owners = [], []
+    all_keys, owners, hashes = [], [], ([], [])
     for batch in batches:
+        own = [batch.column(name).to_numpy() for name in ROW[1:]]
         ids = batch.column("row").to_pylist()
         names = batch.column("doc_id").to_pylist()
         for at, grams in words.shingle_rows(batch.column("text"), width):
@@ -174,6 +180,8 @@ def _node_rows(width: int, percent: int, counts, batches: Iterator[pa.RecordBatc
             node = first.setdefault(sig, ids[at])
             rows.append(ids[at]), docs.append(names[at]), sizes.append(len(grams))
             sigs.append(sig), nodes.append(node)
+            for held, values in zip(hashes, own):
+                held.append(values[at])
             if node == ids[at]:
                 keys = segment_keys(grams, percent) if counts is None else rare_keys(grams, percent, counts.value)
                 all_keys.append(keys)
@@ -201,19 +209,26 @@ def _node_rows(width: int, percent: int, counts, batches: Iterator[pa.RecordBatc
         pa.ListArray.from_arrays(
             pa.array(np.searchsorted(links[:, 0], span), pa.int32()), pa.array(links[:, 1])
         ),
+        *(pa.array(held, pa.int64()) for held in hashes),
     ]
-    names = ["row", "doc_id", "n", "sig", "node", "keys", "hubs"]
+    names = ["row", "doc_id", "n", "sig", "node", "keys", "hubs", *ROW[1:]]
     whole = pa.RecordBatch.from_arrays(columns, names)
     for at in range(0, len(rows), 2048):
         yield whole.slice(at, 2048)
 
 
+def _row_keys(text: str = "text") -> list[Column]:
+    text = F.col(text).cast("string")
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(text, F.lit(1)).alias("t2")]
+
+
 def sets(docs: DataFrame, width: int, percent: int, counts=None) -> DataFrame:
     """One row per document: its set's size and signature, and keys of new sets."""
     numbered = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
+        *_row_keys(),
     )
     return stored(numbered.mapInArrow(partial(_node_rows, width, percent, counts), SETS), "sets")
 
@@ -466,20 +481,29 @@ def _large_group_edges(members: DataFrame, percent: int) -> DataFrame:
 # ------------------------------------------------------------ the operator
 
 
+def _same_row(left: DataFrame, right: DataFrame, prefix: str) -> Column:
+    """Whether two rows have the same id, or none, and the same text."""
+    same = [left[c].eqNullSafe(right[f"{prefix}{c}"]) for c in ROW[:1]]
+    return reduce(and_, same + [left[c] == right[f"{prefix}{c}"] for c in ROW[1:]])
+
+
 def _with_groups(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Candidate documents' texts; the candidate list is broadcast only when it is short."""
     count = wanted.count()
     side = F.broadcast(wanted) if count <= BROADCAST_ROWS else wanted
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(side, texts["doc_id"].eqNullSafe(side["wanted_id"])).drop("doc_id", "wanted_id")
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *_row_keys()
+    )
+    names = [f"wanted_{c}" for c in ROW]
+    return texts.join(side, _same_row(texts, side, "wanted_")).drop(*ROW, *names)
 
 
-def ngram_components(docs: DataFrame, width: int = 3, percent: int = 90, route: str = "segments") -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text); ``route``: segments or rare."""
+def _linked_rows(docs: DataFrame, width: int, percent: int, route: str) -> DataFrame:
+    """(doc_id, t1, t2, n, root, component_id) per row; root tells groups apart and is null without a set."""
     if route not in ("segments", "rare"):
         raise ValueError(f"unknown route {route!r}")
     rows = sets(docs, width, percent, gram_counts(docs, width) if route == "rare" else None)
-    nodes = rows.where("node = row").select("node", "sig", "n", "doc_id")
+    nodes = rows.where("node = row").select("node", "sig", "n", *ROW)
     uids = nodes.where("n > 0").groupBy("sig").agg(F.min("node").alias("uid"))
     keyed = rows.where("size(keys) > 0").select(F.explode("keys").alias("key"), "node")
     across = keyed.repartition("key").mapInArrow(_stars, "u long, v long")
@@ -492,7 +516,7 @@ def ngram_components(docs: DataFrame, width: int = 3, percent: int = 90, route:
         nodes.join(of_node, "node")
         .join(uids, "sig")
         .where("node = uid")
-        .select(F.col("doc_id").alias("wanted_id"), "sig", "uid", "group", "n")
+        .select(*(F.col(c).alias(f"wanted_{c}") for c in ROW), "sig", "uid", "group", "n")
     )
     candidates = stored(candidates, "candidates")
     # A group of one set is copies only.
@@ -517,9 +541,38 @@ def ngram_components(docs: DataFrame, width: int = 3, percent: int = 90, route:
     low = rows.groupBy("node").agg(F.min("doc_id").alias("low"))
     labelled = nodes.select("node", "sig").join(roots, "sig").select("node", "root").join(low, "node")
     ids = labelled.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = labelled.select("node", "root").join(ids, "root").select("node", "component_id")
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left").select(
+    named = labelled.select("node", "root").join(ids, "root").select("node", "root", "component_id")
+    return rows.select(*ROW, "n", "node").join(named, "node", "left").drop("node")
+
+
+def ngram_components(docs: DataFrame, width: int = 3, percent: int = 90, route: str = "segments") -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text); ``route``: segments or rare."""
+    return _linked_rows(docs, width, percent, route).select(
         "doc_id",
-        "n_shingles",
-        F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def without_copies(docs: DataFrame, width: int = 5, percent: int = 80, route: str = "rare") -> DataFrame:
+    """``docs`` (doc_id, text, ...) with one row of each group: the smallest id that is not null, then the smallest hash.
+
+    Rows are told apart by id and text, so another text under a copy's id stays and null
+    ids are no exception; rows equal in both are copies, and one of them stays, whichever
+    it is. Rows without words link with nothing and all stay.
+    """
+    rows = stored(_linked_rows(docs, width, percent, route).where("root is not null").select("root", *ROW), "grouped")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), *ROW)
+    first = rows.groupBy("root").agg(F.min(order).alias("first"))
+    # Equal rows are one before anything is joined, also where a third of the rows are equal.
+    keys = rows.groupBy("root", *ROW).agg(F.count("*").alias("times"))
+    keys = keys.join(first, "root").withColumn("stays", order == F.col("first"))
+    keys = keys.where("not stays or times > 1").select(*(F.col(c).alias(f"_of_{c}") for c in ROW), "stays")
+    keys = stored(keys.withColumnRenamed("stays", "_stays"), "copies")
+    texts = docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("whole"), F.col("doc_id").cast("long").alias("doc_id"), *_row_keys()
     )
+    side = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+    marked = texts.join(side, _same_row(texts, side, "_of_"), "left")
+    repeated = marked.where("_stays").groupBy(*ROW).agg(F.first("whole").alias("whole"))
+    return marked.where("_stays is null").select("whole.*").unionByName(repeated.select("whole.*"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.scratch import new_folder
@@ -25,11 +25,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 BROADCAST_IDS = 500_000
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` but for rows of these ``doc_id``; a null id never matches."""
-    ids = stored(ids.select(F.col("doc_id").cast("long").alias("_out_id")).where("_out_id is not null").distinct(), "ids")
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.join(side, docs["doc_id"].cast("long") == side["_out_id"], "left_anti")
+def without(docs: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
+    """``docs`` but for rows whose ``key`` is in the one column of ``keys``; a null key never matches."""
+    keys = stored(keys.toDF("_out_key").where("_out_key is not null").distinct(), "keys")
+    side = F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
+    return docs.join(side, key == side["_out_key"], "left_anti")
 
 
 class Forest:

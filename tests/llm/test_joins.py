@@ -95,6 +95,29 @@ def near_copies(count, seed, length=120):
     return out
 
 
+def test_copies_go_by_id_and_text(spark):
+    a = " ".join(f"w{i}" for i in range(60))
+    near = a.replace("w59", "x59")
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, a), (2, a), (2, other), (None, near), (None, near), (3, "no"), (3, "no"), (4, ""), (4, ""), (5, None)]
+    docs = spark.createDataFrame([(*r, "n") for r in rows], "doc_id long, text string, root string")
+    left = sorted(ngram_join.without_copies(docs).collect(), key=str)
+    assert left == sorted([(1, a, "n"), (2, other, "n"), (3, "no", "n"), (4, "", "n"), (4, "", "n"), (5, None, "n")], key=str)
+    alone = ngram_join.without_copies(docs.where("doc_id is null")).collect()
+    assert [r.text for r in alone] == [near]
+    assert ngram_join.without_copies(docs.limit(0)).columns == docs.columns
+
+
+def test_leaks_go_by_id_and_text(spark):
+    item = "the quick brown fox that jumps over a lazy dog near the river bank every morning"
+    clean = "another text that nobody asks about, with words enough to make some windows of it"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, item), (1, clean), (None, f"so {item}"), (None, clean)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, key string")
+    left = decontaminate.without_leaks(docs, bench).collect()
+    assert sorted(map(str, left)) == sorted(map(str, docs.where(f"text = '{clean}'").collect()))
+
+
 @pytest.mark.parametrize("limit", [1 << 20, 600])
 def test_large_groups_are_dealt_without_losing_links(spark, monkeypatch, limit):
     monkeypatch.setattr(ngram_join, "TASK_GRAMS", limit)
