@@ -4,8 +4,9 @@ Stages, in order: language ID, line dedup, n-gram Jaccard join, benchmark
 decontamination, best-fit packing. All but the last return the columns of
 ``documents``; packing returns a row per piece.
 
-Nulls, empty texts and repeated rows are handled as the operators say; a null
-``doc_id`` is never decided against by id.
+Nulls, empty texts and repeated rows are handled as the operators say. Every stage knows
+a row by its id and its text: another text under the id of a row that goes stays, and
+rows without an id are judged like others.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import decontaminate, language_id, line_dedup, ngram_join, packing
-from eventlake.llm.store import stored, table, without
+from eventlake.llm.store import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -40,15 +41,12 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one of the smallest id."""
-    groups = ngram_join.ngram_components(docs, width=5, percent=80, route="rare")
-    copies = groups.where("component_id <> doc_id").select("doc_id")
-    return without(docs, copies)
+    return ngram_join.without_copies(docs, width=5, percent=80, route="rare")
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, found.select("doc_id"))
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
