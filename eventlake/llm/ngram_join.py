@@ -13,8 +13,11 @@ different texts decides about the groups, and none is lost to a cap.
    segments get short and are met by chance, rare n-grams are not.
    Nodes that share a key are joined to its first node, first within the
    input partition, then across: at most one row per key and partition is
-   shuffled, however many documents share it. Components of these stars are
-   candidate groups: supersets of the groups that are wanted.
+   shuffled, however many documents share it. A rare n-gram that few nodes have makes
+   pairs of them instead, and a pair stays only if the parity bits of its sets differ
+   in no more places than linked sets may have differing n-grams. So documents that share
+   a passage do not chain. Components of stars and pairs are candidate groups:
+   supersets of the groups that are wanted.
 3. The sets of candidate groups meet in tasks, once each. There every set is a
    query against an inverted index of the others. ``divide_skip`` heap-merges the
    query's short inverted lists with skips, probes its long ones by binary
@@ -50,6 +53,10 @@ from eventlake.llm.store import Forest, components, stored
 
 # Segments a pair may share that are empty in both: those keys are left out.
 SPARE = 2
+# Nodes that share a rare n-gram and are paired; more of them are a star.
+PAIRED = 16
+# Parity bits of a set of so many n-grams; each size divides the next one.
+BIT_SIZES = ((1 << 9, 1 << 9), (1 << 12, 1 << 12), (1 << 40, 1 << 15))
 # N-grams of the sets that one task holds at a time.
 TASK_GRAMS = 1 << 20
 # Pivots per group that does not fit into a task, and in a task per round.
@@ -58,7 +65,8 @@ PIVOTS = 24
 BROADCAST_ROWS = 200_000
 
 SETS = (
-    "row long, doc_id long, n long, sig string, node long, keys array<long>, hubs array<long>, t1 long, t2 long"
+    "row long, doc_id long, n long, sig string, node long, keys array<long>, crowded array<long>, "
+    "hubs array<long>, bits binary, t1 long, t2 long"
 )
 # What tells rows apart: the id, and two hashes of the text.
 ROW = ("doc_id", "t1", "t2")
@@ -165,11 +173,54 @@ def _signature(grams: np.ndarray) -> str:
     return f"{xxhash.xxh3_128_hexdigest(grams.tobytes())}{len(grams):x}"
 
 
+def parity_bits(grams: np.ndarray) -> bytes:
+    """For each place whether an odd number of the set's n-grams falls there."""
+    places = next(places for top, places in BIT_SIZES if len(grams) <= top)
+    counts = np.bincount((words.mix(grams) & np.uint64(places - 1)).astype(np.int64), minlength=places)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(a: bytes, b: bytes, size_a: int, size_b: int, percent: int) -> bool:
+    """Whether sets of these sizes and parity bits can reach the similarity.
+
+    Places in which the bits differ are n-grams that one set lacks, each at least one. The
+    longer bits, folded, are what the set has in the places of the shorter.
+    """
+    need = -(-(size_a + size_b) * percent // (100 + percent))
+    if min(size_a, size_b) < need:
+        return False
+    short, long = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    folded = np.bitwise_xor.reduce(long.reshape(-1, len(short)), axis=0)
+    return size_a + size_b - int(np.bitwise_count(folded ^ short).sum()) >= 2 * need
+
+
+def _possible(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs that may link."""
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("u_bits", "v_bits", "u_n", "v_n"))
+        keep = [may_link(*pair, percent) for pair in zip(*columns)]
+        yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin, and how long they are."""
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return starts, np.diff(np.append(starts, len(keys)))
+
+
+def _lists(holder: np.ndarray, values: np.ndarray, count: int) -> pa.ListArray:
+    """The values of each holder from 0 to ``count``."""
+    order = np.argsort(holder, kind="stable")
+    limits = np.searchsorted(holder[order], np.arange(count + 1))
+    return pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.array(values[order]))
+
+
 def _node_rows(width: int, percent: int, counts, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of ``SETS``; keys only where this partition saw them first, else a hub."""
-    rows, docs, sizes, sigs, nodes = [], [], [], [], []
+    """Rows of ``SETS``; a key that too many nodes of the partition have is crowded: its first node has it, the others a hub."""
+    rows, docs, sizes, sigs, nodes, bits = [], [], [], [], [], []
     first: dict[str, int] = {}
     all_keys, owners, hashes = [], [], ([], [])
+    paired = 1 if counts is None else PAIRED
     for batch in batches:
         own = [batch.column(name).to_numpy() for name in ROW[1:]]
         ids = batch.column("row").to_pylist()
@@ -182,36 +233,37 @@ def _node_rows(width: int, percent: int, counts, batches: Iterator[pa.RecordBatc
             sigs.append(sig), nodes.append(node)
             for held, values in zip(hashes, own):
                 held.append(values[at])
-            if node == ids[at]:
+            is_new = node == ids[at]
+            if is_new:
                 keys = segment_keys(grams, percent) if counts is None else rare_keys(grams, percent, counts.value)
                 all_keys.append(keys)
                 owners.append(np.full(len(keys), len(rows) - 1, dtype=np.int64))
+            bits.append(parity_bits(grams) if is_new and counts is not None else None)
     if not rows:
         return
     keys = np.concatenate(all_keys).view(np.int64)
     owner = np.concatenate(owners)
     order = np.argsort(keys, kind="stable")
     keys, owner = keys[order], owner[order]
-    heads = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
-    hub = owner[heads][np.cumsum(heads) - 1] if len(keys) else owner
+    starts, lengths = _runs(keys)
+    crowded = np.repeat(lengths > paired, lengths)
+    hub = np.repeat(owner[starts], lengths)
     ids = np.array(rows, dtype=np.int64)
-    links = np.unique(np.stack([owner, ids[hub]], axis=1)[owner != hub], axis=0)
-    own_order = np.argsort(owner[heads], kind="stable")
-    kept, holder = keys[heads][own_order], owner[heads][own_order]
-    span = np.arange(len(rows) + 1)
+    links = np.unique(np.stack([owner, ids[hub]], axis=1)[crowded & (owner != hub)], axis=0)
+    tops = starts[lengths > paired]
     columns = [
         pa.array(ids),
         pa.array(docs, pa.int64()),
         pa.array(sizes, pa.int64()),
         pa.array(sigs),
         pa.array(nodes, pa.int64()),
-        pa.ListArray.from_arrays(pa.array(np.searchsorted(holder, span), pa.int32()), pa.array(kept)),
-        pa.ListArray.from_arrays(
-            pa.array(np.searchsorted(links[:, 0], span), pa.int32()), pa.array(links[:, 1])
-        ),
+        _lists(owner[~crowded], keys[~crowded], len(rows)),
+        _lists(owner[tops], keys[tops], len(rows)),
+        _lists(links[:, 0], links[:, 1], len(rows)),
+        pa.array(bits, pa.binary()),
         *(pa.array(held, pa.int64()) for held in hashes),
     ]
-    names = ["row", "doc_id", "n", "sig", "node", "keys", "hubs", *ROW[1:]]
+    names = ["row", "doc_id", "n", "sig", "node", "keys", "crowded", "hubs", "bits", *ROW[1:]]
     whole = pa.RecordBatch.from_arrays(columns, names)
     for at in range(0, len(rows), 2048):
         yield whole.slice(at, 2048)
@@ -233,19 +285,48 @@ def sets(docs: DataFrame, width: int, percent: int, counts=None) -> DataFrame:
     return stored(numbered.mapInArrow(partial(_node_rows, width, percent, counts), SETS), "sets")
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (node, first node) of every key of a partition that holds all rows of its keys."""
-    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+def _key_edges(paired: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v, sure) of a partition that holds all rows of its keys: stars of crowded keys, pairs of the others."""
+    parts = [[b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "node", "crowded")] for b in batches]
     if not parts:
         return
-    keys = np.concatenate([k for k, _ in parts])
-    nodes = np.concatenate([n for _, n in parts])
+    keys, nodes, crowded = (np.concatenate(c) for c in zip(*parts))
     order = np.lexsort((nodes, keys))
-    keys, nodes = keys[order], nodes[order]
-    heads = np.concatenate([[True], keys[1:] != keys[:-1]])
-    hub = nodes[heads][np.cumsum(heads) - 1]
-    links = np.unique(np.stack([nodes, hub], axis=1)[nodes != hub], axis=0)
-    yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["u", "v"])
+    keys, nodes, crowded = keys[order], nodes[order], crowded[order]
+    starts, lengths = _runs(keys)
+    if not len(starts):
+        return
+    star = np.repeat((lengths > paired) | np.logical_or.reduceat(crowded, starts), lengths)
+    edges = [(nodes[star], np.repeat(nodes[starts], lengths)[star], True)]
+    for gap in range(1, paired):
+        at = np.flatnonzero((keys[gap:] == keys[: max(0, len(keys) - gap)]) & ~star[gap:])
+        edges.append((nodes[at + gap], nodes[at], False))
+    for sure in (True, False):
+        u, v = (np.concatenate([e[side] for e in edges if e[2] == sure] or [np.zeros(0, np.int64)]) for side in (0, 1))
+        order = np.lexsort((v, u))
+        u, v = u[order], v[order]
+        new = np.concatenate([[True], (u[1:] != u[:-1]) | (v[1:] != v[:-1])])[: len(u)] & (u != v)
+        u, v = u[new], v[new]
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(np.full(len(u), sure))], ["u", "v", "sure"])
+
+
+def _candidate_edges(rows: DataFrame, percent: int, paired: int) -> DataFrame:
+    """Edges (u, v) between nodes whose components hold all groups."""
+    keyed = rows.where("size(keys) > 0").select(F.explode("keys").alias("key"), "node", F.lit(False).alias("crowded"))
+    tops = rows.where("size(crowded) > 0").select(F.explode("crowded").alias("key"), "node", F.lit(True).alias("crowded"))
+    across = keyed.unionByName(tops).repartition("key")
+    across = across.mapInArrow(partial(_key_edges, paired), "u long, v long, sure boolean")
+    within = rows.where("size(hubs) > 0").select(F.col("node").alias("u"), F.explode("hubs").alias("v"))
+    if paired > 1:
+        across = stored(across, "key-edges")
+        pairs = across.where("not sure").select("u", "v").distinct()
+        of_node = rows.where("bits is not null").select("node", "n", "bits")
+        for side in ("u", "v"):
+            pairs = pairs.join(of_node.toDF(side, f"{side}_n", f"{side}_bits"), side)
+        pairs = pairs.mapInArrow(partial(_possible, percent), "u long, v long")
+        within = within.unionByName(pairs)
+    edges = across.where("sure").select("u", "v").unionByName(within)
+    return edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
 
 
 # ------------------------------------------------------------ T-occurrence search
@@ -505,10 +586,7 @@ def _linked_rows(docs: DataFrame, width: int, percent: int, route: str) -> DataF
     rows = sets(docs, width, percent, gram_counts(docs, width) if route == "rare" else None)
     nodes = rows.where("node = row").select("node", "sig", "n", *ROW)
     uids = nodes.where("n > 0").groupBy("sig").agg(F.min("node").alias("uid"))
-    keyed = rows.where("size(keys) > 0").select(F.explode("keys").alias("key"), "node")
-    across = keyed.repartition("key").mapInArrow(_stars, "u long, v long")
-    within = rows.where("size(hubs) > 0").select(F.col("node").alias("u"), F.explode("hubs").alias("v"))
-    groups = components(across.unionByName(within).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+    groups = components(_candidate_edges(rows, percent, PAIRED if route == "rare" else 1))
     lone = groups.select(F.col("root").alias("node"), "root").distinct()
     of_node = groups.unionByName(lone).select("node", F.col("root").alias("group"))
 

@@ -95,6 +95,25 @@ def near_copies(count, seed, length=120):
     return out
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_parity_bits_refuse_no_link(percent):
+    rng = np.random.default_rng(percent)
+    refused = 0
+    for size in (1, 3, 40, 500, 530, 4000, 4300):
+        for lost in range(0, size // 3 + 1, max(1, size // 40)):
+            a = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+            b = np.concatenate([a[lost:], rng.integers(0, 1 << 63, rng.integers(0, lost + 1), dtype=np.uint64)])
+            same, either = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+            bits = ngram_join.parity_bits(a), ngram_join.parity_bits(b)
+            may = ngram_join.may_link(*bits, len(a), len(b), percent)
+            assert may or 100 * same < percent * either
+            refused += not may
+        other = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        bits = ngram_join.parity_bits(a), ngram_join.parity_bits(other)
+        refused += not ngram_join.may_link(*bits, size, size, percent)
+    assert refused > 20
+
+
 def test_copies_go_by_id_and_text(spark):
     a = " ".join(f"w{i}" for i in range(60))
     near = a.replace("w59", "x59")
