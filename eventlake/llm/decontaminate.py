@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from eventlake.llm import words
 from eventlake.llm.store import stored, without
-from eventlake.llm.worker import kept
+from eventlake.llm.worker import give_back, kept
 
 WINDOW = 8
 # Bits of the map of window hashes.
@@ -177,6 +177,7 @@ def _hits(bitmap: bytes, widths: list[int], batches: Iterator[pa.RecordBatch]) -
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string())]
             columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "position", "hash", "slots"])
+        give_back()
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, min_coverage: float = 0.5) -> DataFrame:

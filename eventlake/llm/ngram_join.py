@@ -50,6 +50,7 @@ from pyspark.sql import functions as F
 
 from eventlake.llm import words
 from eventlake.llm.store import Forest, components, stored
+from eventlake.llm.worker import give_back
 
 # Segments a pair may share that are empty in both: those keys are left out.
 SPARE = 2
@@ -135,6 +136,7 @@ def _tables(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         if held:
             table += np.bincount(np.concatenate(held).view(np.int64), minlength=COUNT_PLACES).astype(np.uint64)
     parts = [part.tobytes() for part in np.split(table, COUNT_PARTS)]
+    give_back()
     yield pa.RecordBatch.from_arrays([pa.array(range(COUNT_PARTS), pa.int32()), pa.array(parts, pa.binary())], ["part", "counts"])
 
 
@@ -265,6 +267,8 @@ def _node_rows(width: int, percent: int, counts, batches: Iterator[pa.RecordBatc
     ]
     names = ["row", "doc_id", "n", "sig", "node", "keys", "crowded", "hubs", "bits", *ROW[1:]]
     whole = pa.RecordBatch.from_arrays(columns, names)
+    del all_keys, owners, keys, owner, order, links, columns, sigs, bits, hashes
+    give_back()
     for at in range(0, len(rows), 2048):
         yield whole.slice(at, 2048)
 

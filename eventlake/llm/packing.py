@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from eventlake.llm.store import stored
 from eventlake.llm.subwords import encoded
+from eventlake.llm.worker import give_back
 
 PIECES = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, part long, rank_in_part long"
@@ -180,6 +181,7 @@ def _pieces(path: str, spaces: bool, end_id: int, capacity: int, batches) -> Ite
                     rows.append((doc_id, piece, start, len(cut), zlib.crc32(cut.tobytes()), part, ranks[len(cut)]))
                     ranks[len(cut)] += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names)
+            give_back()
 
 
 def pack(

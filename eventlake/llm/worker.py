@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Hashable
 from typing import Any
 
+import pyarrow as pa
+
+# Objects that a worker keeps: those of one operator, and a table that all share.
+MOST_KEPT = 2
+
 
 def kept(key: Hashable, make: Callable[[], Any]) -> Any:
     """The worker's object of this key, made on first use.
@@ -17,5 +23,17 @@ def kept(key: Hashable, make: Callable[[], Any]) -> Any:
     holder = sys.modules.setdefault("eventlake_kept", types.ModuleType("eventlake_kept"))
     objects = holder.__dict__.setdefault("objects", {})
     if key not in objects:
+        while len(objects) >= MOST_KEPT:
+            del objects[next(iter(objects))]
         objects[key] = make()
+    # The last one used is the last to go.
+    objects[key] = objects.pop(key)
     return objects[key]
+
+
+def give_back() -> None:
+    """Hands memory that the worker has freed back to the system, as the worker lives on beside other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
