@@ -34,12 +34,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.worker import kept
+from eventlake.llm.worker import give_back, kept
 
 UNDETERMINED = "und"
 # Characters of a lane and lanes that walk together.
 LANE = 512
 LANES = 4096
+# Rows that are parsed at a time.
+PART_ROWS = 2000
 # Places of a table beyond which only its transitions are kept.
 DENSE = 1 << 23
 
@@ -255,11 +257,14 @@ class Parser:
 
 def _predictions(samples: dict[str, str], keep: list[str], names: list[str], batches: Iterator[pa.RecordBatch]):
     parser = kept(("parser", tuple(samples.items())), lambda: Parser(samples))
-    for batch in batches:
-        found = parser.predict(batch.column("text").fill_null("").to_pylist())
-        columns = [batch.column(c) for c in keep]
-        columns += [pa.array(c, kind) for c, kind in zip(found, (pa.string(), pa.float64(), pa.float64()))]
-        yield pa.RecordBatch.from_arrays(columns, [*keep, *names])
+    for whole in batches:
+        for at in range(0, whole.num_rows, PART_ROWS):
+            batch = whole.slice(at, PART_ROWS)
+            found = parser.predict(batch.column("text").fill_null("").to_pylist())
+            columns = [batch.column(c) for c in keep]
+            columns += [pa.array(c, kind) for c, kind in zip(found, (pa.string(), pa.float64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, *names])
+        give_back()
 
 
 def learn(
