@@ -36,8 +36,11 @@ from eventlake.llm import words
 from eventlake.llm.worker import kept
 
 SAMPLES = 64
-# Terms that are sampled at once.
-SLICE_TERMS = 1 << 13
+# Terms that are sampled at once; their arrays stay in a core's cache.
+SLICE_TERMS = 1 << 9
+# Terms of the bags that are sampled together, and of the table of their draws.
+GROUP_TERMS = 1 << 15
+TABLE_TERMS = 1 << 14
 # UTF-8 bytes of text per range of document ids, about.
 RANGE_BYTES = 16 << 20
 
@@ -75,40 +78,67 @@ def draws(terms: np.ndarray, log_weights: np.ndarray) -> tuple[np.ndarray, np.nd
     bits ^= bits >> np.uint64(32)
     bits *= np.uint64(0x9FB21C651E98DF25)
     parts = bits.view(np.uint16).reshape(*bits.shape, 4)
-    r, log_c = r_table[parts[..., 3]], log_c_table[parts[..., 2]]
+    r, log_c = r_table.take(parts[..., 3]), log_c_table.take(parts[..., 2])
     b = parts[..., 1] * np.float32(1 / (1 << 16))
-    single = log_weights == 0
-    if single.all():  # then t is 0
-        return log_c + r * b - r, parts[..., 0]
+    if not log_weights.any():  # then t is 0
+        b *= r
+        b += log_c
+        b -= r
+        return b, parts[..., 0]
     t = np.floor(log_weights[:, None].astype(np.float32) / r + b)
-    codes = parts[..., 0] ^ (t.astype(np.int64) * 0x9E37).astype(np.uint16)
+    codes = parts[..., 0] ^ (t.astype(np.int32) * 0x9E37).astype(np.uint16)
     return log_c - r * (t - b) - r, codes
 
 
+def samples(bags: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """The samples of each bag of weighted terms.
+
+    A term draws once per weight that it has among the bags; a bag then looks its terms up.
+    """
+    bounds = np.concatenate([[0], np.cumsum([len(terms) for terms, _ in bags])])
+    terms, weights = (np.concatenate(x) for x in zip(*bags))
+    keys = terms + words.mix(weights.astype(np.uint64) - np.uint64(1))
+    _, at, place = np.unique(keys, return_index=True, return_inverse=True)
+    # Terms of weight one need no logarithm; keep them together.
+    order = np.argsort(weights[at] > 1, kind="stable")
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    place, terms, weights = rank[place], terms[at][order], weights[at][order]
+    ones, logs = int(np.searchsorted(weights > 1, True)), np.log(weights)
+    best = np.full((len(bags), SAMPLES), np.inf, dtype=np.float32)
+    code = np.zeros((len(bags), SAMPLES), dtype=np.uint16)
+    column = np.arange(SAMPLES)
+    for low in range(0, len(terms), TABLE_TERMS):
+        high = min(low + TABLE_TERMS, len(terms))
+        cut = min(max(ones, low), high)
+        scores = np.empty((high - low, SAMPLES), dtype=np.float32)
+        codes = np.empty((high - low, SAMPLES), dtype=np.uint16)
+        edges = [*range(low, cut, SLICE_TERMS), *range(cut, high, SLICE_TERMS), high]
+        for first, last in zip(edges, edges[1:]):
+            scores[first - low : last - low], codes[first - low : last - low] = draws(terms[first:last], logs[first:last])
+        for bag in range(len(bags)):
+            own = place[bounds[bag] : bounds[bag + 1]]
+            if len(terms) > TABLE_TERMS:
+                own = own[(own >= low) & (own < high)] - low
+            if not len(own):
+                continue
+            drawn = scores.take(own, axis=0)
+            least = drawn.argmin(axis=0)
+            found = drawn[least, column]
+            better = found < best[bag]
+            best[bag][better] = found[better]
+            code[bag][better] = codes[own[least], column][better]
+    return list(code)
+
+
 def signature(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """The samples of a document's weighted terms."""
-    best = np.full(SAMPLES, np.inf, dtype=np.float32)
-    code = np.zeros(SAMPLES, dtype=np.uint16)
-    # Terms of weight one need no logarithm; keep them together.
-    order = np.argsort(weights, kind="stable")
-    terms, logs = terms[order], np.log(weights[order])
-    cut = int(np.searchsorted(weights[order], 1, side="right"))
-    edges = [*range(0, cut, SLICE_TERMS), *range(cut, len(terms), SLICE_TERMS), len(terms)]
-    for first, last in zip(edges, edges[1:]):
-        scores, codes = draws(terms[first:last], logs[first:last])
-        at = scores.argmin(axis=0)
-        column = np.arange(SAMPLES)
-        found = scores[at, column]
-        better = found < best
-        best[better] = found[better]
-        code[better] = codes[at, column][better]
-    return code
+    return samples([(terms, weights)])[0]
 
 
-def signatures(texts: list[str]) -> list[np.ndarray]:
-    """The fingerprint of each text, as numbers."""
-    out = []
-    for first, data, offsets in words.slices(pa.array(texts, pa.large_string())):
+def _bags(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Weighted terms of each text."""
+    for _, data, offsets in words.slices(pa.array(texts, pa.large_string())):
         hashes, bounds, _, _ = words.word_hashes(data, offsets)
         for row in range(len(offsets) - 1):
             own = hashes[bounds[row] : bounds[row + 1]]
@@ -116,9 +146,19 @@ def signatures(texts: list[str]) -> list[np.ndarray]:
                 term = xxhash.xxh3_64_intdigest(data[offsets[row] : offsets[row + 1]].tobytes())
                 own = np.array([term], dtype=np.uint64)
             pairs = words.mix(own[:-1] * np.uint64(0xD6E8FEB86659FD93) + own[1:])
-            terms, weights = np.unique(np.concatenate([own, pairs]), return_counts=True)
-            out.append(signature(terms, weights))
-    return out
+            yield np.unique(np.concatenate([own, pairs]), return_counts=True)
+
+
+def signatures(texts: list[str]) -> list[np.ndarray]:
+    """The fingerprint of each text, as numbers. Neighbours that share terms share draws."""
+    out, group, size = [], [], 0
+    for bag in _bags(texts):
+        if group and size + len(bag[0]) > GROUP_TERMS:
+            out += samples(group)
+            group, size = [], 0
+        group.append(bag)
+        size += len(bag[0])
+    return out + samples(group) if group else out
 
 
 def as_text(code: np.ndarray) -> str:
@@ -159,8 +199,8 @@ def _pairs(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
             last += 1
         texts = [r[3] or "" for r in rows[first : last + 1]]
         changed = [edited(x, y) for x, y in zip(texts, texts[1:])]
-        found = signatures(texts)
-        after = signatures(changed)
+        codes = signatures([x for pair in zip(texts, changed) for x in pair] + texts[-1:])
+        found, after = codes[::2], codes[1::2]
         out = []
         for at, (span, guest, doc_id, _) in enumerate(rows[first:last]):
             if guest or rows[first + at + 1][0] != span:

@@ -50,6 +50,11 @@ def _letters(fold: bool) -> np.ndarray:
     return table
 
 
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What hashing needs for every slice: powers, and letters with and without case."""
+    return *_powers(SLICE_BYTES), _letters(False), _letters(True)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, modulo 2**64."""
     out = []
@@ -104,10 +109,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bo
     """Hashes of byte spans; ``fold`` makes upper and lower case alike."""
     size = len(data)
     length = max(SLICE_BYTES, 1 << int(size).bit_length())
-    # Tables for one very long text are not kept.
-    up, down = kept("powers", lambda: _powers(SLICE_BYTES)) if length == SLICE_BYTES else _powers(length)
+    up, down, *letters = kept("words", _tables)
+    if length > SLICE_BYTES:  # tables for one very long text are not kept
+        up, down = _powers(length)
     sums = np.zeros(size + 1, dtype=np.uint64)
-    np.cumsum(kept(("letters", fold), lambda: _letters(fold))[data] * up[:size], out=sums[1:])
+    np.cumsum(letters[fold][data] * up[:size], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _ODD)
 
 

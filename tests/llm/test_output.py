@@ -84,6 +84,28 @@ def test_equal_texts_have_equal_fingerprints():
     assert fingerprint.as_text(a) == fingerprint.as_text(b) != fingerprint.as_text(c)
 
 
+def direct_signature(terms, weights):
+    """The samples of one bag by the formula of the module, all terms at once."""
+    scores, codes = fingerprint.draws(terms, np.log(weights))
+    at = scores.argmin(axis=0)
+    return codes[at, np.arange(fingerprint.SAMPLES)]
+
+
+@pytest.mark.parametrize("group, table, slice_terms", [(1 << 15, 1 << 14, 1 << 9), (100, 37, 5), (1, 8, 8)])
+def test_shared_draws_are_those_of_each_document(documents, monkeypatch, group, table, slice_terms):
+    texts = [r.text or "" for r in documents.select("text").limit(200).collect()]
+    texts += [fingerprint.edited(x, y) for x, y in zip(texts, texts[1:])] + [" ".join(texts[:20])]
+    monkeypatch.setattr(fingerprint, "GROUP_TERMS", group)
+    monkeypatch.setattr(fingerprint, "TABLE_TERMS", table)
+    monkeypatch.setattr(fingerprint, "SLICE_TERMS", slice_terms)
+    if group < 1000:
+        texts = texts[::8]
+    found = fingerprint.signatures(texts)
+    assert len(found) == len(texts)
+    for code, (terms, weights) in zip(found, fingerprint._bags(texts)):
+        assert (code == direct_signature(terms, weights)).all()
+
+
 # ------------------------------------------------------------ binary records
 
 
