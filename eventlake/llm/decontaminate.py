@@ -13,8 +13,8 @@ not begin a sentence, and is not in capitals throughout, is a name. Neighbouring
 numbers, and neighbouring names, are one.
 
 A window needs literal words for at least half of its tokens. An item of fewer
-tokens than a window is one window of its own length. An item without such a
-window is not found.
+tokens than a window is one window of its own length, and is found where it is a whole
+sentence, or stands with its own values. An item without such a window is not found.
 
 Only windows that pass a bitmap of the items' hashes, which has a fixed size,
 leave a document's task.
@@ -64,7 +64,7 @@ BETWEEN = words.separators((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F
 # What ends a sentence.
 ENDS = b".!?:;|\n\""
 
-HITS = "doc_id long, position long, hash long, slots array<string>"
+HITS = "doc_id long, position long, hash long, whole boolean, slots array<string>"
 
 
 def _word_set(entries: list[str]) -> np.ndarray:
@@ -81,7 +81,7 @@ def _lexicon() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def templates(data: np.ndarray, offsets: np.ndarray):
-    """Template tokens of a slice of texts: hash, kind, first byte, end byte, and bounds per row."""
+    """Template tokens of a slice of texts: hash, kind, first byte, end byte, bounds per row, and if a sentence begins."""
     numbers, units, ends_table, digits_table = kept("lexicon", _lexicon)
     hashes, bounds, starts, ends = words.word_hashes(data, offsets, BETWEEN)
     count = len(hashes)
@@ -107,7 +107,8 @@ def templates(data: np.ndarray, offsets: np.ndarray):
     keep = np.flatnonzero(~joined)
     last = np.append(keep[1:], count) - 1
     tokens = np.where(kinds[keep] == LITERAL, hashes[keep], kinds[keep].astype(np.uint64))
-    return tokens, kinds[keep], starts[keep], ends[last] if count else ends, np.searchsorted(keep, bounds)
+    bounds = np.searchsorted(keep, bounds)
+    return tokens, kinds[keep], starts[keep], ends[last] if count else ends, bounds, np.append(begins[keep], True)
 
 
 def windows(tokens: np.ndarray, kinds: np.ndarray, bounds: np.ndarray, width: int):
@@ -141,7 +142,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         ids = batch.column("item_id").to_pylist()
         out = []
         for row, data, offsets in words.slices(batch.column("text")):
-            tokens, kinds, starts, ends, bounds = templates(data, offsets)
+            tokens, kinds, starts, ends, bounds, _ = templates(data, offsets)
             for r in range(len(offsets) - 1):
                 low, high = bounds[r], bounds[r + 1]
                 width = min(WINDOW, int(high - low))
@@ -164,19 +165,20 @@ def _hits(bitmap: bytes, widths: list[int], batches: Iterator[pa.RecordBatch]) -
         ids = batch.column("doc_id").to_pylist()
         out = []
         for row, data, offsets in words.slices(batch.column("text")):
-            tokens, kinds, starts, ends, bounds = templates(data, offsets)
+            tokens, kinds, starts, ends, bounds, begins = templates(data, offsets)
             for width in widths:
                 at, hashes = windows(tokens, kinds, bounds, width)
                 on = bits[(hashes & np.uint64(MAP_BITS - 1)).astype(np.int64)]
                 at, hashes = at[on], hashes[on].view(np.int64)
                 rows = np.searchsorted(bounds, at, side="right") - 1
-                for r, first, value in zip(rows.tolist(), at.tolist(), hashes.tolist()):
+                whole = begins[at] & begins[at + width] if width < WINDOW else np.ones(len(at), dtype=bool)
+                for r, first, value, alone in zip(rows.tolist(), at.tolist(), hashes.tolist(), whole.tolist()):
                     slots = _slots(data, kinds, starts, ends, first, width)
-                    out.append((ids[row + r], first - int(bounds[r]), value, slots))
+                    out.append((ids[row + r], first - int(bounds[r]), value, alone, slots))
         if out:
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string())]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.string())]
             columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "position", "hash", "slots"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "position", "hash", "whole", "slots"])
         give_back()
 
 
@@ -199,7 +201,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_coverage: float = 0.5) -> D
         bitmap[lane] = bits
     widths = [r["width"] for r in indexed.select("width").distinct().collect()]
     hits = docs.mapInArrow(partial(_hits, bitmap.tobytes(), sorted(widths)), HITS)
-    found = hits.join(indexed, "hash").where("size(slots) = size(item_slots)")
+    found = hits.join(indexed, "hash").where("size(slots) = size(item_slots) and (whole or slots = item_slots)")
     key = ["doc_id", "item_id", "shift"]
     found = stored(
         found.select(

@@ -289,6 +289,11 @@ def test_reparameterised_items_are_found_and_inconsistent_slots_are_not(spark):
     assert found == {(0, 0): "verbatim", (1, 0): "reparameterised"}
 
 
+def test_short_items_are_sentences_or_have_their_own_values(spark):
+    texts = ["She asked what is 5 doing here", "I see what is 9", "Hello. What is 3 + 4? Bye", "so what is 12 + 7 then", "What is 8"]
+    assert leaks(spark, texts, ("What is 12 + 7?",)) == {(2, 0): "reparameterised", (3, 0): "verbatim", (4, 0): "reparameterised"}
+
+
 def test_leaks_match_a_search_for_the_items(spark, documents, sf_dir):
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(documents, bench).collect()}
