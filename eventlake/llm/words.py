@@ -11,10 +11,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from eventlake.llm.worker import kept
+from eventlake.llm.worker import SHARED, kept
 
-# Bytes that are hashed at once; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 21
+# Bytes that are hashed at once, at some 60 bytes of arrays each; a longer text is a slice of its own.
+SLICE_BYTES = 1 << 19
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
@@ -109,7 +109,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bo
     """Hashes of byte spans; ``fold`` makes upper and lower case alike."""
     size = len(data)
     length = max(SLICE_BYTES, 1 << int(size).bit_length())
-    up, down, *letters = kept("words", _tables)
+    up, down, *letters = kept(SHARED, _tables)
     if length > SLICE_BYTES:  # tables for one very long text are not kept
         up, down = _powers(length)
     sums = np.zeros(size + 1, dtype=np.uint64)

@@ -10,8 +10,8 @@ from typing import Any
 
 import pyarrow as pa
 
-# Objects that a worker keeps: those of one operator, and a table that all share.
-MOST_KEPT = 2
+# The key of the object that all operators share; of the others a worker keeps one.
+SHARED = "words"
 
 
 def kept(key: Hashable, make: Callable[[], Any]) -> Any:
@@ -23,11 +23,11 @@ def kept(key: Hashable, make: Callable[[], Any]) -> Any:
     holder = sys.modules.setdefault("eventlake_kept", types.ModuleType("eventlake_kept"))
     objects = holder.__dict__.setdefault("objects", {})
     if key not in objects:
-        while len(objects) >= MOST_KEPT:
-            del objects[next(iter(objects))]
+        if key != SHARED:
+            for other in [k for k in objects if k != SHARED]:
+                del objects[other]
+            give_back()
         objects[key] = make()
-    # The last one used is the last to go.
-    objects[key] = objects.pop(key)
     return objects[key]
 
 
