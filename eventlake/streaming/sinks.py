@@ -30,7 +30,8 @@ class Route:
     """One destination of landed rows.
 
     ``rebalance`` as in :func:`write_landing`. ``where`` is a SQL condition on the rows it takes, for instance
-    ``decode_error IS NOT NULL`` for a quarantine zone.
+    ``decode_error IS NOT NULL`` for a quarantine zone. ``table`` is a catalog table over
+    the zone, to which each batch adds the partitions that it landed.
     """
 
     destination: str
@@ -38,6 +39,7 @@ class Route:
     partition: Sequence[str] = TIME_PARTITIONS
     where: str | None = None
     rebalance: bool = True
+    table: str | None = None
 
 
 def _check_columns(df: DataFrame, columns: Sequence[str], partition: Sequence[str]) -> None:
@@ -125,6 +127,8 @@ def _begin(spark: SparkSession, route: Route, batch: str) -> None:
         leaves, _ = file_system(spark, f"{route.destination}/{levels}{BATCH}={batch}")
         for leaf in files.globStatus(leaves) or ():
             files.delete(leaf.getPath(), True)
+            if route.table:  # the table knows the partition already
+                files.mkdirs(leaf.getPath())
     else:
         files.create(marker, True).close()
 
@@ -141,6 +145,10 @@ def land(df: DataFrame, routes: Sequence[Route], batch: str) -> None:
     for route in routes:
         _begin(df.sparkSession, route, batch)
     fan_out(df, routes, batch=batch)
+    for route in routes:
+        if route.table:
+            rows = df if route.where is None else df.filter(route.where)
+            register_landed(rows, route, batch)
 
 
 def landing_batches(
@@ -326,9 +334,61 @@ def register_landing(
             ddl += f", {BATCH} string"
     elif found and found != [*partition]:
         raise ValueError(f"the zone {path} is laid out by {found}, not by {[*partition]}")
-    name = ".".join(f"`{part}`" for part in table.split("."))
+    _create_table(spark, table, path, ddl, partition)
+    if partition and discover:
+        spark.sql(f"MSCK REPAIR TABLE {_quoted(table)}")
+
+
+def _quoted(table: str) -> str:
+    return ".".join(f"`{part}`" for part in table.split("."))
+
+
+def _create_table(spark: SparkSession, table: str, path: str, ddl: str, partition: Sequence[str]) -> None:
     location = path.replace("'", "\\'")
     by = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partition)})" if partition else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet {by} LOCATION '{location}'")
-    if partition and discover:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(table)} ({ddl}) USING parquet {by} LOCATION '{location}'")
+
+
+# Partitions that one statement adds.
+ADDED_AT_ONCE = 200
+
+
+def register_landed(df: DataFrame, route: Route, batch: str | None = None) -> int:
+    """Add the partitions of landed rows to the route's table; the number of partitions.
+
+    They are taken from the rows, whose partition columns alone are computed, so neither
+    the zone nor the table's earlier partitions are listed. The table is created with the
+    columns of the route on first use. Rows and ``batch`` are those handed to :func:`land`;
+    partitions that the table has are left as they are. Null and empty text are the zone's
+    default partition.
+    """
+    if route.table is None:
+        raise ValueError(f"the route to {route.destination} has no table")
+    if not route.partition:
+        raise ValueError("a zone without partitions has nothing to add")
+    _check_columns(df, route.columns, route.partition)
+    spark, partition, ddl = df.sparkSession, [*route.partition], _ddl(df.select(*route.columns).schema)
+    values = {c: F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")) for c in partition}
+    rows = df.select(*(v.alias(c) for c, v in values.items())).distinct()
+    if batch is not None:
+        rows, partition, ddl = rows.withColumn(BATCH, F.lit(batch)), [*partition, BATCH], f"{ddl}, {BATCH} string"
+    _create_table(spark, route.table, route.destination, ddl, partition)
+    specs, count = [], 0
+    # One row per partition of the batch, a part at a time.
+    for row in rows.toLocalIterator():
+        specs.append(f"PARTITION ({', '.join(f'`{c}` = {_literal(row[c])}' for c in partition)})")
+        count += 1
+        if len(specs) == ADDED_AT_ONCE:
+            _add(spark, route.table, specs)
+            specs = []
+    if specs:
+        _add(spark, route.table, specs)
+    return count
+
+
+def _literal(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _add(spark: SparkSession, table: str, specs: list[str]) -> None:
+    spark.sql(f"ALTER TABLE {_quoted(table)} ADD IF NOT EXISTS {' '.join(specs)}")

@@ -200,6 +200,36 @@ def test_registered_batch_directories(spark, tmp_path, source):
         sinks.register_landing(spark, "wrong_zone", zone, schema, ("month", "year"))
 
 
+def test_landed_partitions_are_added_without_listing_the_zone(spark, tmp_path, monkeypatch):
+    zone = str(tmp_path / "zone")
+    spark.sql("drop table if exists added_zone")
+    route = sinks.Route(zone, COLUMNS, table="added_zone")
+    monkeypatch.setattr(sinks, "ADDED_AT_ONCE", 1)
+    sinks.land(batch(spark, 0, 5), [route], "r-0")
+    # A partition that no registered batch has landed: a listing would find it.
+    sinks.write_landing(batch(spark, 90, 95, ts=2023010101), zone, COLUMNS, batch="stray")
+    later = batch(spark, 5, 8).unionByName(batch(spark, 8, 9, ts=2024010101))
+    sinks.land(later, [route], "r-1")
+    assert sorted(r.id for r in spark.table("added_zone").collect()) == list(range(9))
+    shown = {r.partition for r in spark.sql("show partitions added_zone").collect()}
+    assert len(shown) == 3 and not any("stray" in x for x in shown)
+    # A replay whose rows fall elsewhere leaves no row of the earlier attempt.
+    sinks.land(batch(spark, 5, 9, ts=2025010101), [route], "r-1")
+    assert sorted(r.id for r in spark.table("added_zone").collect()) == list(range(9))
+    assert spark.table("added_zone").where("ts = 2025010101").count() == 4
+
+
+def test_added_partitions_with_unusual_values(spark, tmp_path):
+    spark.sql("drop table if exists odd_zone")
+    rows = spark.createDataFrame([(1, "it's"), (2, "a/b=c \\d"), (3, None), (4, "")], "id int, key string")
+    route = sinks.Route(str(tmp_path / "odd"), ["id", "key"], ["key"], table="odd_zone")
+    sinks.land(rows, [route], "x")
+    found = {(r.id, r.key, r.batch) for r in spark.table("odd_zone").collect()}
+    assert found == {(1, "it's", "x"), (2, "a/b=c \\d", "x"), (3, None, "x"), (4, None, "x")}
+    with pytest.raises(ValueError, match="no table"):
+        sinks.register_landed(rows, sinks.Route("p", ["id", "key"], ["key"]))
+
+
 def test_only_the_marker_of_the_last_batch_stays(spark, tmp_path, source):
     add, stream = source
     zone, place = tmp_path / "zone", str(tmp_path / "c")
