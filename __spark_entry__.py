@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -621,6 +622,19 @@ def register_landing(spark: SparkSession, sf: str) -> DataFrame:
     return rows.agg(F.count("events").alias("n"))
 
 
+def register_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches by event time; each adds what it landed to the table, and the second is landed twice."""
+    folder = new_folder(spark, "batches")
+    landed = transforms.decode_json(samples.json_messages(_events(spark, sf)), as_of=EVENT_TIME)
+    table = folder.rsplit("/", 1)[-1].replace("-", "_")
+    route = replace(_route(folder, ("year", "month")), table=table)
+    for half in (0, 1, 1):
+        rows = landed.where(F.pmod("kafka_metadata_offset", F.lit(2)) == half)
+        sinks.land(rows, [route], f"half-{half}")
+    columns = ("kafka_metadata_topic", "kafka_metadata_offset", "year", "month", "batch")
+    return _flat_columns(spark.table(table), samples.landed_json(), *columns)
+
+
 # ------------------------------------------------------------ monitors
 
 def _is_error() -> Column:
@@ -738,6 +752,7 @@ QUERIES: dict[str, Query] = {
     "align_to_table": align_to_table,
     "table_append": table_append,
     "register_landing": register_landing,
+    "register_batches": register_batches,
     "error_rate": error_rate,
     "windowed_sum": windowed_sum,
     "error_rate_stream": error_rate_stream,
@@ -912,6 +927,9 @@ ORACLES: dict[str, str] = {
         false as processed, {FLAT_SQL} from events""",
     "register_landing": f"""select cast(year(ts) as integer) as year, strftime(ts, '%m') as month,
         {TOPIC_SQL} as kafka_metadata_topic, count(*) as n from events group by 1, 2, 3""",
+    "register_batches": f"""select {TOPIC_SQL} as kafka_metadata_topic,
+        event_id as kafka_metadata_offset, cast(year(ts) as integer) as year,
+        strftime(ts, '%m') as month, 'half-' || event_id % 2 as batch, {FLAT_SQL} from events""",
     "error_rate": """select strftime(time_bucket(interval 5 minute, ts), '%Y-%m-%d %H:%M:%S')
         as window_start, count(*) as errors, count(*) >= 2 as alarm
         from events where event_type = 'error' group by 1""",
