@@ -86,9 +86,11 @@ def alphabet(samples: dict[str, str]) -> dict[str, int]:
 def symbol_table(letters: dict[str, int]) -> np.ndarray:
     """Symbol of every code point."""
     table = np.ones(0x110000, dtype=np.int32)
-    points = "".join(map(chr, (p for p in range(0x110000) if not 0xD800 <= p < 0xE000)))
+    # The code points as one string, without a Python object for each on the way.
+    at = np.arange(0x110000, dtype=np.uint32)
+    at = at[(at < 0xD800) | (at >= 0xE000)]
+    points = at.tobytes().decode("utf-32-le")
     is_letter = np.fromiter((c.isalpha() for c in points), bool, len(points))
-    at = np.frombuffer(points.encode("utf-32-le"), np.uint32)
     table[at[is_letter]] = 0
     for letter, symbol in letters.items():
         table[ord(letter)] = symbol
