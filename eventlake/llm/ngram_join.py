@@ -9,12 +9,13 @@ different texts decides about the groups, and none is lost to a cap.
    have differing n-grams, so linked nodes share a whole segment (pigeonhole); or,
    with ``route="rare"``, it has its rarest n-grams as keys, as many as it may miss in a
    partner and one more, so linked nodes share one of these. The order by rarity comes
-   from a table of counts of fixed size; any order loses no link. At lower similarities
-   segments get short and are met by chance, rare n-grams are not.
+   from a table of counts and bits of common places, both of fixed size; any order loses
+   no link. At lower similarities segments get short and are met by chance, rare n-grams are not.
    Nodes that share a key are joined to its first node, first within the
    input partition, then across: at most one row per key and partition is
    shuffled, however many documents share it. A rare n-gram that few nodes have makes
-   pairs of them instead, and a pair stays only if the parity bits of its sets differ
+   pairs of them instead, unless the n-grams of a set that come after it are too few to
+   link, and a pair stays only if the parity bits of its sets differ
    in no more places than linked sets may have differing n-grams. So documents that share
    a passage do not chain. Components of stars and pairs are candidate groups:
    supersets of the groups that are wanted.
@@ -118,56 +119,113 @@ def segment_keys(grams: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint64)
 
 
-# Places of the table of n-gram counts, and the parts it is summed in.
-COUNT_PLACES, COUNT_PARTS = 1 << 20, 64
+# Places of the table of n-gram counts, places that are told common or not, and the parts both are summed in.
+COUNT_PLACES, COMMON_PLACES, COUNT_PARTS = 1 << 20, 1 << 27, 64
+# N-grams whose places a task sends at once.
+SENT_GRAMS = 1 << 21
+# The step that leads to no place but goes on.
+LONGEST_STEP = 255
+
+
+def _codes(grams: np.ndarray) -> np.ndarray:
+    """Where the n-grams are among the common places: the part, then the place in it."""
+    places = grams & np.uint64(COMMON_PLACES - 1)
+    return (places % COUNT_PARTS * np.uint64(COMMON_PLACES // COUNT_PARTS) + places // COUNT_PARTS).astype(np.int64)
+
+
+def _steps(places: np.ndarray) -> bytes:
+    """Ascending places as a byte per step from one to the next, more where they are far apart."""
+    gaps = np.diff(places, prepend=0)
+    far = gaps // LONGEST_STEP
+    out = np.full(len(gaps) + far.sum(), LONGEST_STEP, dtype=np.uint8)
+    out[np.arange(len(gaps)) + np.cumsum(far)] = gaps % LONGEST_STEP
+    return out.tobytes()
+
+
+def _places(steps: bytes) -> np.ndarray:
+    """What :func:`_steps` was given."""
+    steps = np.frombuffer(steps, np.uint8)
+    return np.cumsum(steps, dtype=np.int64)[steps < LONGEST_STEP]
+
+
+def _sent(held: list[np.ndarray]) -> pa.RecordBatch:
+    """A row per part of the table: the places of the n-grams in it."""
+    codes = np.sort(_codes(np.concatenate(held)))
+    first = np.arange(COUNT_PARTS + 1) * (COMMON_PLACES // COUNT_PARTS)
+    edges = np.searchsorted(codes, first)
+    steps = [_steps(codes[low:high] - start) for low, high, start in zip(edges, edges[1:], first)]
+    return pa.RecordBatch.from_arrays([pa.array(range(COUNT_PARTS), pa.int32()), pa.array(steps, pa.binary())], ["part", "steps"])
 
 
 def _tables(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a partition's n-grams, by document, in parts of the table."""
-    table = np.zeros(COUNT_PLACES, dtype=np.uint64)
+    """Places of a partition's n-grams, by document, in parts of the table."""
+    held, size = [], 0
     for batch in batches:
-        held, size = [], 0
         for _, grams in words.shingle_rows(batch.column("text"), width):
-            held.append(np.unique(grams) & np.uint64(COUNT_PLACES - 1))
-            size += len(grams)
-            if size > COUNT_PLACES:
-                table += np.bincount(np.concatenate(held).view(np.int64), minlength=COUNT_PLACES).astype(np.uint64)
+            held.append(np.unique(grams))
+            size += len(held[-1])
+            if size >= SENT_GRAMS:
+                yield _sent(held)
                 held, size = [], 0
-        if held:
-            table += np.bincount(np.concatenate(held).view(np.int64), minlength=COUNT_PLACES).astype(np.uint64)
-    parts = [part.tobytes() for part in np.split(table, COUNT_PARTS)]
+    if size:
+        yield _sent(held)
+    del held
     give_back()
-    yield pa.RecordBatch.from_arrays([pa.array(range(COUNT_PARTS), pa.int32()), pa.array(parts, pa.binary())], ["part", "counts"])
+
+
+def _summed(part: int, sums: np.ndarray) -> pa.RecordBatch:
+    """Counts of a part, and bits of its common places: more have them than are paired, or than come by chance."""
+    counts = sums.reshape(-1, COUNT_PLACES // COUNT_PARTS).sum(axis=0, dtype=np.uint64)
+    mean = sums.mean()
+    common = np.packbits(sums > max(PAIRED, mean + 2 * mean**0.5), bitorder="little")
+    columns = [pa.array([part], pa.int32()), pa.array([counts.tobytes()], pa.binary()), pa.array([common.tobytes()], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["part", "counts", "common"])
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
+    """A row per part, which the partition is sorted by."""
+    now, sums = None, None
     for batch in batches:
-        for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
-            sums[part] = sums.get(part, 0) + np.frombuffer(counts, np.uint64)
-    columns = [pa.array(sums, pa.int32()), pa.array([c.tobytes() for c in sums.values()], pa.binary())]
-    yield pa.RecordBatch.from_arrays(columns, ["part", "counts"])
+        for part, steps in zip(batch.column("part").to_pylist(), batch.column("steps")):
+            if part != now:
+                if now is not None:
+                    yield _summed(now, sums)
+                now, sums = part, np.zeros(COMMON_PLACES // COUNT_PARTS, dtype=np.uint32)
+            np.add.at(sums, _places(steps.as_buffer()), 1)
+    if now is not None:
+        yield _summed(now, sums)
+    del sums
+    give_back()
 
 
 def gram_counts(docs: DataFrame, width: int):
-    """A broadcast table, of fixed size, of how many documents have an n-gram of each place."""
-    ddl = "part int, counts binary"
-    tables = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(partial(_tables, width), ddl)
-    found = tables.repartition("part").mapInArrow(_sums, ddl).toArrow().sort_by("part")["counts"].to_pylist()
-    counts = np.frombuffer(b"".join(found), np.uint64) if found else np.zeros(COUNT_PLACES, np.uint64)
-    return docs.sparkSession.sparkContext.broadcast(counts)
+    """A broadcast pair, of fixed size: how many documents have an n-gram of each place, and bits of the common places."""
+    tables = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(partial(_tables, width), "part int, steps binary")
+    found = tables.repartition("part").sortWithinPartitions("part").mapInArrow(_sums, "part int, counts binary, common binary")
+    counts = np.zeros((COUNT_PLACES // COUNT_PARTS, COUNT_PARTS), dtype=np.uint64)
+    common = np.zeros((COUNT_PARTS, COMMON_PLACES // COUNT_PARTS // 8), dtype=np.uint8)
+    for row in found.toArrow().to_batches():
+        for part, some, bits in zip(row.column("part").to_pylist(), row.column("counts"), row.column("common")):
+            counts[:, part] = np.frombuffer(some.as_buffer(), np.uint64)
+            common[part] = np.frombuffer(bits.as_buffer(), np.uint8)
+    return docs.sparkSession.sparkContext.broadcast((counts.ravel(), common.ravel()))
 
 
-def rare_keys(grams: np.ndarray, percent: int, counts: np.ndarray) -> np.ndarray:
-    """The first n-grams of a set in the order of their counts, such that two linked sets share one.
+def rare_keys(grams: np.ndarray, percent: int, counts: np.ndarray, common: np.ndarray | None = None) -> np.ndarray:
+    """The first n-grams of a set in the order of their counts, common ones last, such that two linked sets share one.
 
     A partner has at least ``percent`` of the set, so of the set's first n-grams, one
     more than may be missing, the partner has one; the first one that both have is among
     the first ones of both.
     """
     kept = len(grams) - -(-len(grams) * percent // 100) + 1
-    rarity = counts[(grams & np.uint64(COUNT_PLACES - 1)).astype(np.int64)]
-    return grams[np.lexsort((grams, rarity))[:kept]] if len(grams) else grams
+    if not len(grams):
+        return grams
+    order = [grams, counts[(grams & np.uint64(COUNT_PLACES - 1)).astype(np.int64)]]
+    if common is not None:
+        codes = _codes(grams)
+        order.append(common[codes >> 3] >> (codes & 7).astype(np.uint8) & 1)
+    return grams[np.lexsort(order)[:kept]]
 
 
 def _signature(grams: np.ndarray) -> str:
@@ -237,18 +295,20 @@ def _node_rows(width: int, percent: int, counts, batches: Iterator[pa.RecordBatc
                 held.append(values[at])
             is_new = node == ids[at]
             if is_new:
-                keys = segment_keys(grams, percent) if counts is None else rare_keys(grams, percent, counts.value)
+                keys = segment_keys(grams, percent) if counts is None else rare_keys(grams, percent, *counts.value)
                 all_keys.append(keys)
                 owners.append(np.full(len(keys), len(rows) - 1, dtype=np.int64))
             bits.append(parity_bits(grams) if is_new and counts is not None else None)
     if not rows:
         return
-    keys = np.concatenate(all_keys).view(np.int64)
-    owner = np.concatenate(owners)
+    keys = own_keys = np.concatenate(all_keys).view(np.int64)
+    owner = own_rows = np.concatenate(owners)
     order = np.argsort(keys, kind="stable")
     keys, owner = keys[order], owner[order]
     starts, lengths = _runs(keys)
     crowded = np.repeat(lengths > paired, lengths)
+    # The others stay in the order in which the set has them.
+    others = np.sort(order[~crowded])
     hub = np.repeat(owner[starts], lengths)
     ids = np.array(rows, dtype=np.int64)
     links = np.unique(np.stack([owner, ids[hub]], axis=1)[crowded & (owner != hub)], axis=0)
@@ -259,7 +319,7 @@ def _node_rows(width: int, percent: int, counts, batches: Iterator[pa.RecordBatc
         pa.array(sizes, pa.int64()),
         pa.array(sigs),
         pa.array(nodes, pa.int64()),
-        _lists(owner[~crowded], keys[~crowded], len(rows)),
+        _lists(own_rows[others], own_keys[others], len(rows)),
         _lists(owner[tops], keys[tops], len(rows)),
         _lists(links[:, 0], links[:, 1], len(rows)),
         pa.array(bits, pa.binary()),
@@ -267,7 +327,7 @@ def _node_rows(width: int, percent: int, counts, batches: Iterator[pa.RecordBatc
     ]
     names = ["row", "doc_id", "n", "sig", "node", "keys", "crowded", "hubs", "bits", *ROW[1:]]
     whole = pa.RecordBatch.from_arrays(columns, names)
-    del all_keys, owners, keys, owner, order, links, columns, sigs, bits, hashes
+    del all_keys, owners, keys, owner, own_keys, own_rows, order, others, links, columns, sigs, bits, hashes
     give_back()
     for at in range(0, len(rows), 2048):
         yield whole.slice(at, 2048)
@@ -289,21 +349,31 @@ def sets(docs: DataFrame, width: int, percent: int, counts=None) -> DataFrame:
     return stored(numbered.mapInArrow(partial(_node_rows, width, percent, counts), SETS), "sets")
 
 
-def _key_edges(paired: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (u, v, sure) of a partition that holds all rows of its keys: stars of crowded keys, pairs of the others."""
-    parts = [[b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "node", "crowded")] for b in batches]
+def _key_edges(paired: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v, sure) of a partition that holds all rows of its keys: stars of crowded keys, pairs of the others.
+
+    ``reach`` has the size of a node's set and, in the lower half, one more than the n-grams
+    before the key; 0 is a crowded key. Without pairs it is 1 else. All that a pair shares comes at or after the first key
+    that both have, so a pair is made only where this is enough to link it.
+    """
+    parts = [[b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "node", "reach")] for b in batches]
     if not parts:
         return
-    keys, nodes, crowded = (np.concatenate(c) for c in zip(*parts))
+    keys, nodes, reach = (np.concatenate(c) for c in zip(*parts))
+    del parts
     order = np.lexsort((nodes, keys))
-    keys, nodes, crowded = keys[order], nodes[order], crowded[order]
+    keys, nodes, reach = keys[order], nodes[order], reach[order]
     starts, lengths = _runs(keys)
     if not len(starts):
         return
-    star = np.repeat((lengths > paired) | np.logical_or.reduceat(crowded, starts), lengths)
+    star = np.repeat((lengths > paired) | np.logical_or.reduceat(reach == 0, starts), lengths)
     edges = [(nodes[star], np.repeat(nodes[starts], lengths)[star], True)]
+    sizes = reach >> 32
+    rest = sizes + 1 - (reach & ((1 << 32) - 1))
     for gap in range(1, paired):
         at = np.flatnonzero((keys[gap:] == keys[: max(0, len(keys) - gap)]) & ~star[gap:])
+        need = -(-(sizes[at] + sizes[at + gap]) * percent // (100 + percent))
+        at = at[np.minimum(rest[at], rest[at + gap]) >= need]
         edges.append((nodes[at + gap], nodes[at], False))
     for sure in (True, False):
         u, v = (np.concatenate([e[side] for e in edges if e[2] == sure] or [np.zeros(0, np.int64)]) for side in (0, 1))
@@ -316,10 +386,13 @@ def _key_edges(paired: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
 
 def _candidate_edges(rows: DataFrame, percent: int, paired: int) -> DataFrame:
     """Edges (u, v) between nodes whose components hold all groups."""
-    keyed = rows.where("size(keys) > 0").select(F.explode("keys").alias("key"), "node", F.lit(False).alias("crowded"))
-    tops = rows.where("size(crowded) > 0").select(F.explode("crowded").alias("key"), "node", F.lit(True).alias("crowded"))
+    # The place of a key in a list without the crowded ones is at most its place among all.
+    keyed = rows.where("size(keys) > 0").select("n", "node", F.posexplode("keys").alias("place", "key"))
+    reach = F.shiftleft("n", 32) + F.col("place") + 1 if paired > 1 else F.lit(1).cast("long")
+    keyed = keyed.select("key", "node", reach.alias("reach"))
+    tops = rows.where("size(crowded) > 0").select(F.explode("crowded").alias("key"), "node", F.lit(0).cast("long").alias("reach"))
     across = keyed.unionByName(tops).repartition("key")
-    across = across.mapInArrow(partial(_key_edges, paired), "u long, v long, sure boolean")
+    across = across.mapInArrow(partial(_key_edges, paired, percent), "u long, v long, sure boolean")
     within = rows.where("size(hubs) > 0").select(F.col("node").alias("u"), F.explode("hubs").alias("v"))
     if paired > 1:
         across = stored(across, "key-edges")
@@ -327,8 +400,8 @@ def _candidate_edges(rows: DataFrame, percent: int, paired: int) -> DataFrame:
         of_node = rows.where("bits is not null").select("node", "n", "bits")
         for side in ("u", "v"):
             pairs = pairs.join(of_node.toDF(side, f"{side}_n", f"{side}_bits"), side)
-        pairs = pairs.mapInArrow(partial(_possible, percent), "u long, v long")
-        within = within.unionByName(pairs)
+        # Stored, as a task that runs two Python functions holds two workers.
+        within = within.unionByName(stored(pairs.mapInArrow(partial(_possible, percent), "u long, v long"), "pairs"))
     edges = across.where("sure").select("u", "v").unionByName(within)
     return edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
 
@@ -614,7 +687,7 @@ def _linked_rows(docs: DataFrame, width: int, percent: int, route: str) -> DataF
     if not split_rows.isEmpty():
         large = _with_groups(docs, split_rows)
         large = large.mapInArrow(partial(_set_rows, width), "group long, uid long, grams binary").distinct()
-        links = links.unionByName(_large_group_edges(large, percent))
+        links = links.unionByName(stored(_large_group_edges(large, percent), "large-links"))
         links = components(links).select(F.col("node").alias("u"), F.col("root").alias("v"))
 
     # Labels go from sets to nodes to rows: no key has more rows than a partition.

@@ -77,6 +77,58 @@ def test_rare_keys_of_a_pair_meet():
             assert set(ngram_join.rare_keys(whole, percent, counts)) & set(ngram_join.rare_keys(other, percent, counts))
 
 
+def shared_passages(count):
+    """Texts of 70 own words and 30 of one of two passages that many share."""
+    rng = random.Random(5)
+    passages = [" ".join(f"p{x}w{i}" for i in range(30)) for x in range(2)]
+    return [" ".join(f"w{rng.randrange(10**9)}" for _ in range(70)) + " " + passages[at % 2] for at in range(count)]
+
+
+def test_rare_keys_are_rare_where_places_are_shared(monkeypatch):
+    """As in a large corpus, each place of the counts has many n-grams."""
+    monkeypatch.setattr(ngram_join, "COUNT_PLACES", 64)
+    texts = shared_passages(120)
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[low : low + 40])], ["text"]) for low in (0, 40, 80)]
+    sent = [row for batch in batches for row in ngram_join._tables(5, iter([batch]))]
+    sent = pa.Table.from_batches(sent).sort_by("part").combine_chunks().to_batches()
+    parts = sorted(
+        (part, *(np.frombuffer(x, kind) for x, kind in zip(row, (np.uint64, np.uint8))))
+        for batch in ngram_join._sums(iter(sent))
+        for part, *row in zip(*(c.to_pylist() for c in batch.columns))
+    )
+    counts, common = (np.stack([p[at] for p in parts], axis=axis).ravel() for at, axis in ((1, 1), (2, 0)))
+    sets = [np.unique(grams) for batch in batches for _, grams in words.shingle_rows(batch.column(0), 5)]
+    expected = np.bincount(np.concatenate(sets).astype(np.int64) & 63, minlength=64)
+    assert counts.tolist() == expected.tolist()
+    keys = [set(ngram_join.rare_keys(x, 80, counts, common).tolist()) for x in sets]
+    assert not any(keys[x] & keys[y] for x in range(120) for y in range(x))
+
+
+def test_steps_lead_to_their_places():
+    rng = np.random.default_rng(2)
+    for size, top in ((0, 9), (1, 1), (50, 20), (300, 70_000)):
+        places = np.sort(rng.integers(0, top, size))
+        assert ngram_join._places(ngram_join._steps(places)).tolist() == places.tolist()
+
+
+def test_pairs_are_made_where_enough_is_left():
+    """Nodes of 100 n-grams: 89 in common are needed at 80 %."""
+
+    def pairs(*rows):
+        columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
+        batch = pa.RecordBatch.from_arrays(columns, ["key", "node", "reach"])
+        found = ngram_join._key_edges(ngram_join.PAIRED, 80, iter([batch]))
+        return [e for b in found for e in zip(*(c.to_pylist() for c in b.columns))]
+
+    def reach(size, place):
+        return (size << 32) + place + 1
+
+    assert pairs((7, 1, reach(100, 0)), (7, 2, reach(100, 11))) == [(2, 1, False)]
+    assert pairs((7, 1, reach(100, 0)), (7, 2, reach(100, 12))) == []
+    assert pairs((7, 1, reach(100, 0)), (7, 2, reach(126, 0))) == []
+    assert pairs((7, 1, 0), (7, 2, reach(100, 12))) == [(2, 1, True)]
+
+
 def test_ngram_components_of_edges(edge_docs, no_docs):
     rows = [tuple(r) for r in edge_docs.select("doc_id", "text").collect()]
     assert components(edge_docs, 3, 90) == brute_components(rows, 3, 90)
