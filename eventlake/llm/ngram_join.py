@@ -687,7 +687,9 @@ def _linked_rows(docs: DataFrame, width: int, percent: int, route: str) -> DataF
     if not split_rows.isEmpty():
         large = _with_groups(docs, split_rows)
         large = large.mapInArrow(partial(_set_rows, width), "group long, uid long, grams binary").distinct()
-        links = links.unionByName(stored(_large_group_edges(large, percent), "large-links"))
+        large = _large_group_edges(large, percent)
+        # In the pipeline's long-lived executors no task holds two workers.
+        links = links.unionByName(stored(large, "large-links") if route == "rare" else large)
         links = components(links).select(F.col("node").alias("u"), F.col("root").alias("v"))
 
     # Labels go from sets to nodes to rows: no key has more rows than a partition.
